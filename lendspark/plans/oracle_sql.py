@@ -223,8 +223,7 @@ SCORED_CTES = """
   left join f_cfg c on f.loan_product_interest = c.product
   cross join (select * from f_cfg where product = 'Personal Loan') p)
 , f_uw1 as (
-  select * exclude (avail_emi, raw_amount, min_amount_p, product, max_foir, max_amount, min_amount, interest_rate,
-                    default_tenure_months, pv_factor),
+  select * exclude (avail_emi, raw_amount, min_amount_p),
          case when avail_emi <= 0 then 0.0 when raw_amount < min_amount_p then 0.0
               else cast(round_even(raw_amount, -3) as double) end as eligible_loan_amount
   from f_uw0)
