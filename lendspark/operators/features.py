@@ -87,173 +87,236 @@ CREDIT, DEBIT = "credit", "debit"
 # shared reductions
 # ---------------------------------------------------------------------------
 
-def txn_rollup(txns: DataFrame) -> DataFrame:
-    """(customer, month, type, category) partial sums, partitioned by customer.
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage (reliable checkpoint in the
+    cluster's shared ``spark.checkpoint.dir``).  Used where several consumers
+    (feature groups, global statistics) read one reduced table: without it
+    column pruning gives every consumer a different plan and the raw scan
+    would be repeated per consumer."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
-    Accepts either raw transactions or an existing rollup (idempotent), so
-    every feature operator can be called alone or share one reduction.
-    """
-    if "_rollup" in txns.columns:
-        return txns
+
+def txn_rollup(txns: DataFrame) -> DataFrame:
+    """(customer, month, type, category) partial sums, partitioned by customer."""
     cols = set(txns.columns)
     cat = F.col("category") if "category" in cols else F.lit(None).cast("string")
-    return (txns.groupBy(F.col("customer_id"),
-                         month_bucket(F.col("txn_date").cast("date")).alias("month"),
-                         F.col("txn_type"), cat.alias("category"))
+    # Rows without a customer cannot be attributed (pandas drops NaN group
+    # keys too).
+    return (txns.filter(F.col("customer_id").isNotNull())
+            .groupBy(F.col("customer_id"),
+                     month_bucket(F.col("txn_date").cast("date")).alias("month"),
+                     F.col("txn_type"), cat.alias("category"))
             .agg(F.sum("amount").alias("amt"),
                  F.count("amount").alias("n"),
                  F.count(F.lit(1)).alias("rows"),
                  F.max("amount").alias("max_amt"),
                  F.max(F.col("txn_date").cast("date")).alias("last_date"))
-            .withColumn("_rollup", F.lit(True))
             .repartition("customer_id"))
 
 
-def monthly_credits(txns: DataFrame) -> DataFrame:
-    """(customer, month) credit totals plus the salary / max-credit parts."""
-    r = txn_rollup(txns).filter(F.col("txn_type") == CREDIT)
-    is_sal = F.col("category") == "Salary"
-    return (r.groupBy("customer_id", "month")
-            .agg(F.sum("amt").alias("credit_total"),
-                 F.sum(F.when(is_sal, F.col("amt"))).alias("salary_total"),
-                 F.sum(F.when(is_sal, F.col("rows")).otherwise(0)).alias("salary_rows"),
-                 F.max("max_amt").alias("max_credit")))
-
-
-def category_debits(txns: DataFrame) -> DataFrame:
-    """(customer, category) debit totals."""
-    r = txn_rollup(txns).filter(F.col("txn_type") == DEBIT)
-    return r.groupBy("customer_id", "category").agg(F.sum("amt").alias("spend"))
+def _levels(r: DataFrame) -> DataFrame:
+    """Grouping sets {(customer, month), (customer, category)} over the
+    rollup.  Runs inside the customer partitioning: no shuffle."""
+    credit = F.col("txn_type") == CREDIT
+    debit = F.col("txn_type") == DEBIT
+    is_sal = credit & (F.col("category") == "Salary")
+    month_side = F.struct(F.lit(0).alias("lvl"), F.col("month").alias("k_month"),
+                          F.lit(None).cast("string").alias("k_cat"))
+    cat_side = F.struct(F.lit(1).alias("lvl"), F.lit(None).cast("date").alias("k_month"),
+                        F.col("category").alias("k_cat"))
+    x = r.select("*", F.explode(F.array(month_side, cat_side)).alias("_g")).select("*", "_g.*").drop("_g")
+    return x.groupBy("customer_id", "lvl", "k_month", "k_cat").agg(
+        F.sum(F.when(credit, F.col("rows")).otherwise(0)).alias("credit_rows"),
+        F.sum(F.when(credit, F.col("amt"))).alias("credit_total"),
+        F.sum(F.when(is_sal, F.col("amt"))).alias("salary_total"),
+        F.sum(F.when(is_sal, F.col("rows")).otherwise(0)).alias("salary_rows"),
+        F.max(F.when(credit, F.col("max_amt"))).alias("max_credit"),
+        F.sum(F.when(debit, F.col("rows")).otherwise(0)).alias("debit_rows"),
+        F.sum(F.when(debit, F.col("amt"))).alias("spend"),
+        F.sum(F.when(debit, F.col("n")).otherwise(0)).alias("debit_n"),
+        F.sum("n").alias("n_all"),
+        F.max("last_date").alias("last_date"))
+
+
+def transaction_aggregates(txns: DataFrame) -> DataFrame:
+    """Every raw per-customer transaction statistic in one row.
+
+    raw → (customer, month, type, category) partial aggregate [shuffle 1]
+    → repartition by customer [shuffle 2, reduced data] → grouping sets
+    → customer aggregate.  The last two steps reuse the partitioning.
+    """
+    lv = _levels(txn_rollup(txns))
+    m = (F.col("lvl") == 0) & (F.col("credit_rows") > 0)  # observed credit month
+    c = (F.col("lvl") == 1) & (F.col("debit_rows") > 0)   # observed debit category
+    l0 = F.col("lvl") == 0
+    emi = (F.col("lvl") == 1) & (F.col("k_cat") == "EMI")
+    flags = [F.max(F.when(c, (F.col("k_cat") == cat).cast("int"))).alias(name) for cat, name in INTENT_FLAGS]
+    return lv.groupBy("customer_id").agg(
+        F.count(F.when(m, 1)).alias("credit_months"),
+        F.avg(F.when(m, F.col("credit_total"))).alias("credit_mean"),
+        F.stddev_samp(F.when(m, F.col("credit_total"))).alias("credit_std"),
+        F.sum(F.when(m, F.col("credit_total"))).alias("credit_sum"),
+        F.sum(F.when(m, F.col("salary_rows"))).alias("salary_rows"),
+        F.count(F.when(m & (F.col("salary_rows") > 0), 1)).alias("salary_months"),
+        F.avg(F.when(m & (F.col("salary_rows") > 0), F.col("salary_total"))).alias("salary_avg"),
+        F.avg(F.when(m, F.col("max_credit"))).alias("max_credit_mean"),
+        F.stddev_samp(F.when(m, F.col("max_credit"))).alias("max_credit_std"),
+        F.count(F.when(m, F.col("max_credit"))).alias("max_credit_n"),
+        F.sum(F.when(l0, F.col("n_all"))).alias("frequency"),
+        F.max(F.when(l0, F.col("last_date"))).alias("last_date"),
+        F.count(F.when(c, 1)).alias("debit_categories"),
+        F.sum(F.when(c, F.col("spend"))).alias("total_debit"),
+        F.sum(F.when(c, F.col("spend") * F.col("spend"))).alias("spend_ssq"),
+        F.sum(F.when(emi, F.col("spend"))).alias("emi_sum"),
+        F.sum(F.when(emi, F.col("debit_n"))).alias("emi_n"),
+        *flags)
+
+
+def _named(pairs, cond=None):
+    """[(name, expr)] → aliased columns, optionally NULL where ``cond`` fails."""
+    return [(F.when(cond, e) if cond is not None else e).alias(n) for n, e in pairs]
+
+
+def _aggs(txns: DataFrame) -> DataFrame:
+    return txns if "credit_months" in txns.columns else transaction_aggregates(txns)
 
 
 # ---------------------------------------------------------------------------
 # 1. cash-flow stability
 # ---------------------------------------------------------------------------
 
+def cashflow_cols():
+    mean = F.col("credit_mean")
+    std = F.coalesce(F.col("credit_std"), F.lit(0.0))
+    return [("monthly_credit_mean", mean), ("monthly_credit_std", std),
+            ("cashflow_cv", clip(std / nonzero(mean), 0.0, 2.0))]
+
+
 def cashflow_stability(txns: DataFrame) -> DataFrame:
     """mean / sample std of monthly credit totals over observed months;
     cv = std / (mean or 1), clipped to [0, 2].  Customers without credits
     are absent."""
-    m = monthly_credits(txns)
-    s = m.groupBy("customer_id").agg(
-        F.avg("credit_total").alias("monthly_credit_mean"),
-        F.coalesce(F.stddev_samp("credit_total"), F.lit(0.0)).alias("monthly_credit_std"))
-    return s.withColumn("cashflow_cv",
-                        clip(F.col("monthly_credit_std") / nonzero(F.col("monthly_credit_mean")), 0.0, 2.0))
+    a = _aggs(txns)
+    return a.filter(F.col("credit_months") > 0).select("customer_id", *_named(cashflow_cols()))
 
 
 # ---------------------------------------------------------------------------
 # 2. salary detection
 # ---------------------------------------------------------------------------
 
+def salary_cols():
+    has = F.col("salary_rows") > 0
+    mx_cv = F.when(F.col("max_credit_mean") > 0,
+                   F.col("max_credit_std") / F.col("max_credit_mean")).otherwise(F.lit(1.0))
+    fallback = F.when(F.col("max_credit_n") >= 3, F.greatest(F.lit(0.0), F.lit(1.0) - mx_cv)).otherwise(F.lit(0.0))
+    reg = F.when(has, F.col("salary_months") / F.greatest(F.col("credit_months"), F.lit(1))).otherwise(fallback)
+    est = F.when(has, F.col("salary_avg")).otherwise(F.col("max_credit_mean"))
+    return [("has_salary_credit", has.cast("int")),
+            ("salary_regularity_score", F.bround(reg.cast("double"), 4)),
+            ("estimated_salary", F.bround(est, 2))]
+
+
 def salary_pattern(txns: DataFrame) -> DataFrame:
     """has_salary_credit, salary_regularity_score, estimated_salary."""
-    m = monthly_credits(txns)
-    a = m.groupBy("customer_id").agg(
-        F.count("month").alias("_months"),
-        F.sum("salary_rows").alias("_sal_rows"),
-        F.count(F.when(F.col("salary_rows") > 0, 1)).alias("_sal_months"),
-        F.avg(F.when(F.col("salary_rows") > 0, F.col("salary_total"))).alias("_sal_avg"),
-        F.avg("max_credit").alias("_mx_mean"),
-        F.stddev_samp("max_credit").alias("_mx_std"),
-        F.count("max_credit").alias("_mx_n"))
-    has = F.col("_sal_rows") > 0
-    mx_cv = F.when(F.col("_mx_mean") > 0, F.col("_mx_std") / F.col("_mx_mean")).otherwise(F.lit(1.0))
-    fallback_reg = F.when(F.col("_mx_n") >= 3, F.greatest(F.lit(0.0), F.lit(1.0) - mx_cv)).otherwise(F.lit(0.0))
-    reg = F.when(has, F.col("_sal_months") / F.greatest(F.col("_months"), F.lit(1))).otherwise(fallback_reg)
-    est = F.when(has, F.col("_sal_avg")).otherwise(F.col("_mx_mean"))
-    return a.select("customer_id",
-                    has.cast("int").alias("has_salary_credit"),
-                    F.bround(reg.cast("double"), 4).alias("salary_regularity_score"),
-                    F.bround(est, 2).alias("estimated_salary"))
+    a = _aggs(txns)
+    return a.filter(F.col("credit_months") > 0).select("customer_id", *_named(salary_cols()))
 
 
 # ---------------------------------------------------------------------------
 # 3. EMI burden
 # ---------------------------------------------------------------------------
 
+def emi_cols(months: int = 12):
+    inc = F.coalesce(F.col("credit_sum"), F.lit(0.0)) / months
+    emi_m = F.coalesce(F.col("emi_sum"), F.lit(0.0)) / months
+    return [("avg_monthly_income_proxy", inc), ("avg_monthly_emi", emi_m),
+            ("emi_count", F.coalesce(F.col("emi_n"), F.lit(0)) / months),
+            ("emi_to_income_ratio", clip(emi_m / nonzero(inc), 0.0, 1.0))]
+
+
 def emi_burden(txns: DataFrame, months: int = 12) -> DataFrame:
     """Income proxy, EMI and EMI count per month over a fixed ``months``
     horizon (12 by default, as in the reference); ratio clipped to [0, 1].
     Every customer with any transaction is kept."""
-    r = txn_rollup(txns)
-    credit = F.col("txn_type") == CREDIT
-    emi = (F.col("txn_type") == DEBIT) & (F.col("category") == "EMI")
-    a = r.groupBy("customer_id").agg(
-        F.coalesce(F.sum(F.when(credit, F.col("amt"))), F.lit(0.0)).alias("_credit"),
-        F.coalesce(F.sum(F.when(emi, F.col("amt"))), F.lit(0.0)).alias("_emi"),
-        F.coalesce(F.sum(F.when(emi, F.col("n"))), F.lit(0)).alias("_emi_n"))
-    inc = F.col("_credit") / months
-    emi_m = F.col("_emi") / months
-    return a.select("customer_id",
-                    inc.alias("avg_monthly_income_proxy"),
-                    emi_m.alias("avg_monthly_emi"),
-                    (F.col("_emi_n") / months).alias("emi_count"),
-                    clip(emi_m / nonzero(inc), 0.0, 1.0).alias("emi_to_income_ratio"))
+    return _aggs(txns).select("customer_id", *_named(emi_cols(months)))
 
 
 # ---------------------------------------------------------------------------
 # 4. RFM
 # ---------------------------------------------------------------------------
 
-def _minmax(c: str, lo: str, hi: str):
-    return F.when(F.col(hi) > F.col(lo), (F.col(c) - F.col(lo)) / (F.col(hi) - F.col(lo))).otherwise(F.lit(0.5))
+def _minmax(c, lo: str, hi: str):
+    return F.when(F.col(hi) > F.col(lo), (c - F.col(lo)) / (F.col(hi) - F.col(lo))).otherwise(F.lit(0.5))
+
 
+def rfm_globals(a: DataFrame) -> DataFrame:
+    """One row: reference date (latest + 1 day) and min/max of the raw RFM
+    values.  Broadcast size bound: one row."""
+    g = a.agg(F.date_add(F.max("last_date"), 1).alias("_ref"),
+              F.min("last_date").alias("_first_last"),
+              F.min("frequency").alias("_fmin"), F.max("frequency").alias("_fmax"),
+              F.min(F.coalesce(F.col("credit_sum"), F.lit(0.0))).alias("_mmin"),
+              F.max(F.coalesce(F.col("credit_sum"), F.lit(0.0))).alias("_mmax"))
+    return g.select("*", F.lit(1).alias("_rmin"), F.datediff("_ref", "_first_last").alias("_rmax"))
 
-def rfm_raw(txns: DataFrame) -> DataFrame:
-    r = txn_rollup(txns)
-    return r.groupBy("customer_id").agg(
-        F.max("last_date").alias("last_date"),
-        F.sum("n").alias("frequency"),
-        F.coalesce(F.sum(F.when(F.col("txn_type") == CREDIT, F.col("amt"))), F.lit(0.0)).alias("monetary"))
+
+def rfm_cols():
+    recency = F.datediff("_ref", "last_date")
+    monetary = F.coalesce(F.col("credit_sum"), F.lit(0.0))
+    return [("recency_score", F.lit(1.0) - _minmax(recency, "_rmin", "_rmax")),
+            ("frequency_score", _minmax(F.col("frequency"), "_fmin", "_fmax")),
+            ("monetary_score", _minmax(monetary, "_mmin", "_mmax"))]
 
 
 def rfm_scores(txns: DataFrame) -> DataFrame:
     """Recency (days from the day after the latest transaction overall),
     frequency, monetary; min-max scaled (constant → 0.5), recency inverted."""
-    pc = rfm_raw(txns)
-    g = pc.agg(F.date_add(F.max("last_date"), 1).alias("_ref"),
-               F.min("last_date").alias("_first_last"),
-               F.min("frequency").alias("_fmin"), F.max("frequency").alias("_fmax"),
-               F.min("monetary").alias("_mmin"), F.max("monetary").alias("_mmax"))
-    g = g.select("*", F.datediff("_ref", F.date_sub("_ref", 1)).alias("_rmin"),
-                 F.datediff("_ref", "_first_last").alias("_rmax"))
-    j = pc.crossJoin(F.broadcast(g)).withColumn("recency", F.datediff("_ref", "last_date"))
-    return j.select("customer_id",
-                    (F.lit(1.0) - _minmax("recency", "_rmin", "_rmax")).alias("recency_score"),
-                    _minmax("frequency", "_fmin", "_fmax").alias("frequency_score"),
-                    _minmax("monetary", "_mmin", "_mmax").alias("monetary_score"))
+    a = _aggs(txns)
+    if "credit_months" not in txns.columns:
+        a = materialize(a)  # read twice: the global row and the per-customer rows
+    return a.crossJoin(F.broadcast(rfm_globals(a))).select("customer_id", *_named(rfm_cols()))
 
 
 # ---------------------------------------------------------------------------
 # 5. spend patterns + intent flags
 # ---------------------------------------------------------------------------
 
+def spend_cols(months: int = 12):
+    tot = F.col("total_debit")
+    hhi = F.when(tot > 0, F.col("spend_ssq") / (tot * tot)).otherwise(F.col("spend_ssq"))
+    return ([("spend_concentration_hhi", F.bround(hhi, 4))]
+            + [(name, F.col(name)) for _, name in INTENT_FLAGS]
+            + [("total_monthly_debit", F.bround(tot / months, 2)), ("total_debit", tot)])
+
+
 def spend_patterns(txns: DataFrame, months: int = 12) -> DataFrame:
     """HHI of category shares, six intent flags, monthly and total debit.
     Customers without debits are absent."""
-    c = category_debits(txns)
-    flags = [F.max(F.when(F.col("category") == cat, 1).otherwise(0)).alias(name) for cat, name in INTENT_FLAGS]
-    a = c.groupBy("customer_id").agg(F.sum("spend").alias("total_debit"),
-                                     F.sum(F.col("spend") * F.col("spend")).alias("_ssq"), *flags)
-    tot = F.col("total_debit")
-    hhi = F.when(tot > 0, F.col("_ssq") / (tot * tot)).otherwise(F.col("_ssq"))
-    return a.select("customer_id", F.bround(hhi, 4).alias("spend_concentration_hhi"),
-                    *[name for _, name in INTENT_FLAGS],
-                    F.bround(tot / months, 2).alias("total_monthly_debit"), "total_debit")
+    a = _aggs(txns)
+    return a.filter(F.col("debit_categories") > 0).select("customer_id", *_named(spend_cols(months)))
 
 
 def intent_flags(txns: DataFrame) -> DataFrame:
     return spend_patterns(txns).select("customer_id", *[name for _, name in INTENT_FLAGS])
 
 
+def monthly_credits(txns: DataFrame) -> DataFrame:
+    """(customer, month) credit totals with salary parts (observed months)."""
+    lv = _levels(txn_rollup(txns))
+    return (lv.filter((F.col("lvl") == 0) & (F.col("credit_rows") > 0))
+            .select("customer_id", F.col("k_month").alias("month"), "credit_total", "salary_total",
+                    "salary_rows", "max_credit"))
+
+
 # ---------------------------------------------------------------------------
 # 6. digital engagement
 # ---------------------------------------------------------------------------
 
 def _engagement_groups(behavior: DataFrame) -> DataFrame:
     e = F.col("app_logins") + F.col("loan_page_visits")
-    return behavior.groupBy("customer_id", "month", e.alias("_e")).agg(
+    return behavior.filter(F.col("customer_id").isNotNull()).groupBy("customer_id", "month", e.alias("_e")).agg(
         F.count(F.lit(1)).alias("_c"),
         F.sum("app_logins").alias("_sl"), F.count("app_logins").alias("_nl"),
         F.sum("emi_calculator_views").alias("_se"), F.count("emi_calculator_views").alias("_ne"),
@@ -293,7 +356,7 @@ def engagement_stats(behavior: DataFrame) -> DataFrame:
 
 def digital_engagement(behavior: DataFrame) -> DataFrame:
     """Engagement stats + the 0–1 composite (maxima floored at 1)."""
-    s = engagement_stats(behavior)
+    s = behavior if "engagement_trend" in behavior.columns else materialize(engagement_stats(behavior))
     mx = s.agg(F.greatest(F.max("avg_app_logins"), F.lit(1.0)).alias("_ml"),
                F.greatest(F.max("avg_emi_calc_views"), F.lit(1.0)).alias("_me"),
                F.greatest(F.max("avg_loan_page_visits"), F.lit(1.0)).alias("_mv"))
@@ -331,19 +394,29 @@ def add_encodings(df: DataFrame) -> DataFrame:
     return out
 
 
-def transaction_features(txns: DataFrame, months: int = 12) -> list[DataFrame]:
-    r = txn_rollup(txns)
-    return [cashflow_stability(r), salary_pattern(r), emi_burden(r, months), rfm_scores(r),
-            spend_patterns(r, months)]
+def transaction_features(txns: DataFrame, months: int = 12) -> DataFrame:
+    """All transaction feature groups as one per-customer frame.  Values of
+    a group are NULL where the reference's group frame has no row (no
+    credits / no debits), which the matrix then fills with 0."""
+    a = txns if "credit_months" in txns.columns else materialize(transaction_aggregates(txns))
+    has_credit = F.col("credit_months") > 0
+    has_debit = F.col("debit_categories") > 0
+    j = a.crossJoin(F.broadcast(rfm_globals(a)))
+    cols = (_named(cashflow_cols(), has_credit) + _named(salary_cols(), has_credit) + _named(emi_cols(months))
+            + _named(rfm_cols()) + _named(spend_cols(months), has_debit))
+    return j.select("customer_id", *cols)
 
 
 def build_feature_matrix(customers: DataFrame, txns: DataFrame, behavior: DataFrame,
                          months: int = 12) -> DataFrame:
-    """customers ⟕ six feature groups on customer_id, encodings, one-hots,
-    numeric NULL → 0.  All feature frames share one transaction reduction
-    and the customer_id partitioning, so the joins add no exchange on the
-    feature side."""
+    """customers ⟕ transaction features ⟕ engagement on customer_id,
+    encodings, one-hots, numeric NULL → 0.
+
+    Transactions are reduced to one per-customer row (two shuffles of
+    reduced data) and materialised once; every transaction feature group is
+    a projection of that row, so the matrix needs two joins, both keyed on
+    the same customer partitioning."""
     out = base_projection(customers)
-    for f in transaction_features(txns, months) + [digital_engagement(behavior)]:
-        out = out.join(f, "customer_id", "left")
+    out = out.join(transaction_features(txns, months), "customer_id", "left")
+    out = out.join(digital_engagement(behavior), "customer_id", "left")
     return add_encodings(out).na.fill(0)
