@@ -1 +1,159 @@
-"""(filled in below)"""
+"""Metric, band and deviation queries (§2.9) on the scored frame."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import income as inc
+from ..operators import metrics as mx
+from .catalog import register, round_cols
+from .oracle_sql import with_scored
+from .scored import scored
+
+RANK_CTE = """
+, f_rank as (select customer_id, lead_score, loan_converted,
+                    row_number() over (order by lead_score desc, customer_id) as rn,
+                    count(*) over () as n from f_scored)
+"""
+ST_CTE = """
+, f_st as (select lead_score as s, cast(sum(loan_converted) as double) as pos,
+                  cast(sum(1 - loan_converted) as double) as neg from f_scored group by 1)
+, f_stc as (select *, sum(pos) over (order by s desc rows between unbounded preceding and current row) as cum_pos,
+                   sum(neg) over (order by s desc rows between unbounded preceding and current row) as cum_neg,
+                   sum(pos) over () as tp, sum(neg) over () as tn from f_st)
+"""
+CUTS = "(values (5), (10), (15), (20), (25), (30), (50)) c(p)"
+
+
+@register("roc_auc", with_scored(ST_CTE + "select round(sum(pos * (tn - cum_neg + 0.5e0 * neg)) / (max(tp) * max(tn)), 6) "
+                                          "as roc_auc from f_stc"))
+def q_roc_auc(spark, sf):
+    return round_cols(mx.roc_auc_and_ap(scored(spark, sf)).select("roc_auc"), ["roc_auc"])
+
+
+@register("average_precision", with_scored(
+    ST_CTE + "select round(sum((pos / tp) * (cum_pos / (cum_pos + cum_neg))), 6) as average_precision from f_stc"))
+def q_average_precision(spark, sf):
+    return round_cols(mx.roc_auc_and_ap(scored(spark, sf)).select("average_precision"), ["average_precision"])
+
+
+@register("precision_at_top20", with_scored(
+    RANK_CTE + "select round_even(avg(case when rn <= greatest(floor(n * 20 / 100), 1) then loan_converted end), 4) "
+               "as precision_at_top20 from f_rank"))
+def q_precision_top20(spark, sf):
+    return mx.precision_at_top(scored(spark, sf), 20)
+
+
+@register("conversion_at_cutoffs", with_scored(
+    RANK_CTE + "select p as cutoff_pct, cast(greatest(floor(max(n) * p / 100), 1) as bigint) as n_selected, "
+               "round_even(avg(case when rn <= greatest(floor(n * p / 100), 1) then loan_converted end) * 100, 1) "
+               f"as conversion_rate from f_rank cross join {CUTS} group by p"))
+def q_conversion_cutoffs(spark, sf):
+    return mx.conversion_at_cutoffs(scored(spark, sf))
+
+
+@register("top_pct_selection", with_scored(
+    RANK_CTE + "select customer_id, rn as score_rank, cast(min(case when rn <= greatest(floor(n * p / 100), 1) then p end) "
+               f"as integer) as top_pct from f_rank cross join {CUTS} group by customer_id, rn"))
+def q_top_pct(spark, sf):
+    return mx.top_pct_selection(scored(spark, sf))
+
+
+@register("base_rate", with_scored("select round_even(avg(loan_converted) * 100, 1) as base_conversion_rate "
+                                   "from f_scored"))
+def q_base_rate(spark, sf):
+    return mx.base_rate(scored(spark, sf))
+
+
+@register("threshold_class", with_scored(
+    "select customer_id, cast(lead_score / 100 >= 0.5 as integer) as y_pred from f_scored"))
+def q_threshold(spark, sf):
+    s = scored(spark, sf).withColumn("_p", F.col("lead_score") / 100)
+    return mx.threshold_class(s, "_p").select("customer_id", "y_pred")
+
+
+@register("class_weight", with_scored(
+    "select round(sum(case when loan_converted = 0 then 1 else 0 end) / "
+    "greatest(sum(case when loan_converted = 1 then 1 else 0 end), 1), 6) as scale_pos_weight from f_scored"))
+def q_class_weight(spark, sf):
+    return round_cols(mx.class_weight(scored(spark, sf)), ["scale_pos_weight"])
+
+
+@register("training_profile", with_scored(
+    "select count(*) as n_rows, count(case when loan_converted = 1 then 1 end) as n_positive, "
+    "count(case when loan_converted = 0 then 1 end) as n_negative, round_even(avg(loan_converted) * 100, 1) as base_rate_pct, "
+    "round(min(true_monthly_income), 6) as income_min, round(max(true_monthly_income), 6) as income_max, "
+    "round(median(true_monthly_income), 6) as income_median from f_scored"))
+def q_training_profile(spark, sf):
+    return round_cols(mx.training_profile(scored(spark, sf)), ["income_min", "income_max", "income_median"])
+
+
+@register("regression_metrics", with_scored(
+    "select round_even(avg(abs(true_monthly_income - estimated_income)), 2) as mae, "
+    "round_even(sqrt(avg((true_monthly_income - estimated_income) * (true_monthly_income - estimated_income))), 2) as rmse, "
+    "round_even(1 - sum((true_monthly_income - estimated_income) * (true_monthly_income - estimated_income)) / "
+    "sum((true_monthly_income - mu) * (true_monthly_income - mu)), 4) as r2_score "
+    "from f_scored cross join (select avg(true_monthly_income) as mu from f_scored) m"))
+def q_regression(spark, sf):
+    return mx.regression_metrics(scored(spark, sf), "true_monthly_income", "estimated_income")
+
+
+@register("mape_mdape", with_scored(
+    "select round_even(avg(ape) * 100, 1) as mape_pct, round_even(median(ape) * 100, 1) as mdape_pct from "
+    "(select abs(true_monthly_income - estimated_income) / true_monthly_income as ape from f_scored "
+    "where true_monthly_income > 1000) t"))
+def q_mape(spark, sf):
+    return mx.percentage_errors(scored(spark, sf), "true_monthly_income", "estimated_income")
+
+
+@register("near_zero_exclusion", with_scored(
+    "select count(*) filter (where true_monthly_income > 1000) as n_included, "
+    "count(*) filter (where not (true_monthly_income > 1000)) as n_excluded from f_scored"))
+def q_near_zero(spark, sf):
+    s = scored(spark, sf)
+    keep = F.col("true_monthly_income") > 1000
+    return s.agg(F.count(F.when(keep, 1)).alias("n_included"), F.count(F.when(~keep, 1)).alias("n_excluded"))
+
+
+@register("band_distribution", with_scored(
+    "select income_confidence_band, count(*) as n_customers from f_scored group by 1"))
+def q_band_distribution(spark, sf):
+    return mx.band_metrics(scored(spark, sf), "true_monthly_income", "estimated_income") \
+        .select("income_confidence_band", "n_customers")
+
+
+@register("band_mape", with_scored(
+    "select income_confidence_band, round_even(avg(abs(true_monthly_income - estimated_income) / "
+    "greatest(true_monthly_income, 1)) * 100, 1) as band_mape from f_scored group by 1"))
+def q_band_mape(spark, sf):
+    return mx.band_metrics(scored(spark, sf), "true_monthly_income", "estimated_income") \
+        .select("income_confidence_band", "band_mape")
+
+
+@register("confidence_band_train", with_scored("select customer_id, income_confidence_band from f_scored"))
+def q_band_train(spark, sf):
+    return scored(spark, sf).select("customer_id", "income_confidence_band")
+
+
+@register("confidence_band_infer", with_scored(
+    "select customer_id, case when cashflow_cv > 0.40 then 'Low' "
+    "when cashflow_cv < 0.10 and b0 = 'Medium' then 'High' else b0 end as income_confidence_band from "
+    "(select customer_id, cashflow_cv, case occupation when 'salaried' then 'High' when 'gig_worker' then 'Low' "
+    "else 'Medium' end as b0 from f_scored) t"))
+def q_band_infer(spark, sf):
+    s = scored(spark, sf).select("customer_id", "occupation", "cashflow_cv", "estimated_income")
+    return inc.assign_confidence_band(s, true_col=None).select("customer_id", "income_confidence_band")
+
+
+@register("income_deviation", with_scored(
+    "select customer_id, income_deviation_pct, income_deviation_flag from f_scored"))
+def q_income_deviation(spark, sf):
+    return scored(spark, sf).select("customer_id", "income_deviation_pct", "income_deviation_flag")
+
+
+@register("deviation_flag_rate", with_scored(
+    "select count(case when abs(d) > 20 then 1 end) as n_flagged, "
+    "round_even(count(case when abs(d) > 20 then 1 end) / count(*) * 100, 1) as pct_flagged from "
+    "(select (declared_monthly_income - estimated_income) / greatest(estimated_income, 1) * 100 as d from f_scored) t"))
+def q_deviation_rate(spark, sf):
+    return mx.deviation_flag_rate(scored(spark, sf))
