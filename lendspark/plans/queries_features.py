@@ -10,7 +10,7 @@ from ..operators import features as fx
 from ..sources import adapters as ad
 from .catalog import register, round_cols, sql_round
 from .oracle_sql import with_features
-from .scored import feature_matrix
+from .scored import build_matrix, feature_matrix
 
 INTENT_CATEGORIES = [c for c, _ in fx.INTENT_FLAGS]
 _INTENT_SQL = ", ".join(f"'{c}'" for c in INTENT_CATEGORIES)
@@ -195,6 +195,12 @@ def q_feature_matrix(spark, sf):
     return round_cols(feature_matrix(spark, sf).select(*MATRIX_COLS), MATRIX_D)
 
 
+@register("feature_matrix_cold", with_features(f"select {sql_round(MATRIX_D)} from f_matrix"))
+def q_feature_matrix_cold(spark, sf):
+    """The full build from raw tables, bypassing the session's shared copy."""
+    return round_cols(build_matrix(spark, sf).select(*MATRIX_COLS), MATRIX_D)
+
+
 @register("feature_left_joins", with_features(
     "select customer_id, round(cashflow_cv, 6) as cashflow_cv, has_salary_credit, "
     "round(emi_to_income_ratio, 6) as emi_to_income_ratio, round(recency_score, 6) as recency_score, "
