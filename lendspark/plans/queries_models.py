@@ -1 +1,127 @@
-"""(filled in below)"""
+"""Model operators (§2.9, §2.11 tree attribution).  Rows-only checks in the
+driver (trained models are not SQL); invariants are asserted in tests."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from ..operators import metrics as mx
+from ..operators import models as md
+from ..operators import stats as st
+from ..operators import treeshap as ts
+from .catalog import register
+from .scored import feature_matrix
+
+_MODELS: dict[tuple, object] = {}
+
+
+def _key(spark, sf, kind):
+    return (spark.sparkContext.applicationId, os.path.abspath(sf), kind)
+
+
+def labelled(spark, sf):
+    """Feature matrix with labels calibrated to a 10 % base rate."""
+    k = _key(spark, sf, "labelled")
+    if k not in _MODELS:
+        _MODELS[k] = md.materialize(st.assign_conversion_from_features(feature_matrix(spark, sf), 0.10))
+    return _MODELS[k]
+
+
+def lead(spark, sf):
+    k = _key(spark, sf, "lead")
+    if k not in _MODELS:
+        _MODELS[k] = md.train_lead_model(labelled(spark, sf))
+    return _MODELS[k]
+
+
+def income(spark, sf):
+    k = _key(spark, sf, "income")
+    if k not in _MODELS:
+        model, cols, pred = md.train_income_model(feature_matrix(spark, sf))
+        _MODELS[k] = (model, cols, md.materialize(pred))
+    return _MODELS[k]
+
+
+@register("stratified_split")
+def q_stratified(spark, sf):
+    return md.stratified_split(labelled(spark, sf).select("customer_id", "loan_converted"), "loan_converted")
+
+
+@register("random_split")
+def q_random_split(spark, sf):
+    return md.random_split(feature_matrix(spark, sf).select("customer_id"))
+
+
+@register("train_lead_model")
+def q_train_lead(spark, sf):
+    model, test, _all = lead(spark, sf)
+    s = test.select("customer_id", F.col("lead_score_raw").alias("p"), F.col("label").cast("int").alias("y"))
+    auc = mx.roc_auc_and_ap(s, "p", "y")
+    p20 = mx.precision_at_top(s, 20, "p", "y")
+    counts = s.agg(F.count(F.lit(1)).alias("n_test"))
+    return auc.crossJoin(p20).crossJoin(counts).withColumn("n_features", F.lit(len(model.feature_cols)))
+
+
+@register("isotonic_calibration")
+def q_isotonic(spark, sf):
+    model, test, _all = lead(spark, sf)
+    raw = model.raw_probability(test.select("customer_id", *model.feature_cols), "raw_probability")
+    return raw.join(test.select("customer_id", "lead_score_raw"), "customer_id")
+
+
+@register("score_leads")
+def q_score_leads(spark, sf):
+    _model, _test, scored_all = lead(spark, sf)
+    return scored_all.select("customer_id", "lead_score", "lead_score_raw")
+
+
+@register("lead_conversion_at_cutoffs")
+def q_lead_cutoffs(spark, sf):
+    _model, test, _all = lead(spark, sf)
+    s = test.select("customer_id", F.col("lead_score_raw").alias("p"), F.col("label").cast("int").alias("y"))
+    return mx.conversion_at_cutoffs(s, "p", "y")
+
+
+@register("feature_importance")
+def q_importance(spark, sf):
+    model, _t, _a = lead(spark, sf)
+    return md.feature_importance(model.base, model.feature_cols)
+
+
+@register("importance_topk")
+def q_importance_topk(spark, sf):
+    model, _t, _a = lead(spark, sf)
+    imp = md.feature_importance(model.base, model.feature_cols)
+    return imp.orderBy(F.col("importance").desc(), F.col("feature")).limit(10)
+
+
+@register("train_income_model")
+def q_train_income(spark, sf):
+    _model, _cols, pred = income(spark, sf)
+    test = pred.filter(F.col("is_test"))
+    reg = mx.regression_metrics(test, "label", "estimated_income")
+    pe = mx.percentage_errors(test, "label", "estimated_income")
+    dev = mx.deviation_flag_rate(test)
+    return reg.crossJoin(pe).crossJoin(dev)
+
+
+@register("predict_income")
+def q_predict_income(spark, sf):
+    _model, _cols, pred = income(spark, sf)
+    return pred.select("customer_id", "estimated_income", "income_confidence_band", "income_deviation_pct",
+                       "income_deviation_flag")
+
+
+@register("income_band_metrics")
+def q_income_bands(spark, sf):
+    _model, _cols, pred = income(spark, sf)
+    return mx.band_metrics(pred.filter(F.col("is_test")), "label", "estimated_income")
+
+
+@register("tree_attribution")
+def q_tree_attribution(spark, sf):
+    model, _t, _a = lead(spark, sf)
+    x = labelled(spark, sf)
+    return ts.tree_attribution(x, model.base, model.feature_cols)
