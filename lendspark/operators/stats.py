@@ -176,7 +176,7 @@ def solve_base_rate_bias(z: DataFrame, zcol: str, target: float, scale: float =
             lo = b
         if abs(f) < tol or hi - lo < 1e-14:
             break
-        d = (row["d"] or 0.0) * scale
+        d = row["d"] or 0.0  # d/db mean σ(scale·z + b) = mean σ(1 − σ)
         nb = b - f / d if d > 0 else (lo + hi) / 2
         b = nb if lo < nb < hi else (lo + hi) / 2
     return b

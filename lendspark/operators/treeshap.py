@@ -177,17 +177,22 @@ def tree_attribution(df: DataFrame, gbt_model, feature_cols: list[str], id_col:
             phi *= margin_scale
             out = pd.DataFrame({id_col: pdf[id_col].values})
             out["shap_values"] = list(phi)
+            out["feature_values"] = list(X)
             out["attribution_base"] = base
             yield out
 
     id_type = df.schema[id_col].dataType
     schema = T.StructType([T.StructField(id_col, id_type),
                            T.StructField("shap_values", T.ArrayType(T.DoubleType())),
+                           T.StructField("feature_values", T.ArrayType(T.DoubleType())),
                            T.StructField("attribution_base", T.DoubleType())])
     x = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in feature_cols])
     out = x.mapInPandas(run, schema)
     names = F.array(*[F.lit(c) for c in feature_cols])
+    pos = F.sequence(F.lit(0), F.lit(nf - 1))
+    z = F.arrays_zip(names.alias("f"), F.col("shap_values").alias("v"), F.col("feature_values").alias("x"),
+                     pos.alias("p"))
     return out.select(id_col, "attribution_base",
-                      F.transform(F.arrays_zip(names.alias("f"), F.col("shap_values").alias("v")),
-                                  lambda z: F.struct(z["f"].alias("feature"), z["v"].alias("shap_value")))
-                      .alias("tree_attributions"))
+                      F.transform(z, lambda e: F.struct(e["f"].alias("feature"), e["v"].alias("shap_value"),
+                                                        e["x"].alias("feature_value"), e["p"].alias("position")))
+                      .alias("attributions"))

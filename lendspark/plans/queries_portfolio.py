@@ -48,7 +48,7 @@ LB_SQL = ("select customer_id, name, format('{:.1f}', lead_score) as lead_score,
           "format('{:.1f}', loan_readiness_score) as loan_readiness_score, loan_product_interest, "
           "'₹' || format('{:,.0f}', estimated_income) as estimated_income, income_confidence_band, "
           "'₹' || format('{:,.0f}', eligible_loan_amount) as eligible_loan_amount, recommendation, risk_flag_count, "
-          "city, occupation from f_uw order by lead_score desc, customer_id limit 100")
+          "city, occupation from (select * from f_uw order by lead_score desc, customer_id limit 100) top")
 
 
 @register("leaderboard_topk", with_scored(LB_SQL))
