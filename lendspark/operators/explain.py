@@ -268,3 +268,19 @@ def top_drivers(df: DataFrame, n: int = 12) -> DataFrame:
     return df.select("customer_id", F.posexplode(top).alias("pos", "t")).select(
         "customer_id", (F.col("pos") + 1).alias("rank"), title_from_snake(F.col("t.feature")).alias("driver"),
         F.col("t.value").alias("shap_value"))
+
+
+def generate_explanation(spark, shap_values, feature_values: dict, feature_names: list[str],
+                         loan_product: str = "", top_n: int = 4) -> dict:
+    """Single-customer convenience API: runs the batch operator on a
+    one-row frame and returns {summary, details, shap_dict}."""
+    structs = [(f, float(s), float(feature_values.get(f, 0) or 0), i)
+               for i, (f, s) in enumerate(zip(feature_names, shap_values))]
+    df = spark.createDataFrame(
+        [("_one", loan_product, structs)],
+        "customer_id string, loan_product_interest string, "
+        "attributions array<struct<feature:string, shap_value:double, feature_value:double, position:int>>")
+    row = batch_explanations(df, top_n).collect()[0]
+    return {"summary": row.explanation_summary,
+            "details": [d.asDict() for d in row.explanation_details],
+            "shap_dict": dict(row.shap_values_dict)}

@@ -157,3 +157,17 @@ def q_income_deviation(spark, sf):
     "(select (declared_monthly_income - estimated_income) / greatest(estimated_income, 1) * 100 as d from f_scored) t"))
 def q_deviation_rate(spark, sf):
     return mx.deviation_flag_rate(scored(spark, sf))
+
+
+@register("mape", with_scored(
+    "select round_even(avg(abs(true_monthly_income - estimated_income) / true_monthly_income) * 100, 1) as mape_pct "
+    "from f_scored where true_monthly_income > 1000"))
+def q_mape_only(spark, sf):
+    return mx.percentage_errors(scored(spark, sf), "true_monthly_income", "estimated_income").select("mape_pct")
+
+
+@register("mdape", with_scored(
+    "select round_even(median(abs(true_monthly_income - estimated_income) / true_monthly_income) * 100, 1) as mdape_pct "
+    "from f_scored where true_monthly_income > 1000"))
+def q_mdape_only(spark, sf):
+    return mx.percentage_errors(scored(spark, sf), "true_monthly_income", "estimated_income").select("mdape_pct")

@@ -189,3 +189,26 @@ def q_bernoulli(spark, sf):
 @register("label_summary")
 def q_label_summary(spark, sf):
     return st.label_summary(st.assign_conversion_from_features(feature_matrix(spark, sf), 0.10))
+
+
+@register("global_scalar_join", with_features(
+    "select r.customer_id, cast(g.ref - r.last_date as bigint) as recency_days, "
+    "round((r.monetary - g.mu) / greatest(g.sd, 0.01), 6) as monetary_z, "
+    "round((r.frequency - g.fmin) / greatest(g.fmax - g.fmin, 1), 6) as frequency_scaled "
+    "from f_rfm_raw r cross join (select max(last_date) + 1 as ref, avg(monetary) as mu, stddev_samp(monetary) as sd, "
+    "min(frequency) as fmin, max(frequency) as fmax from f_rfm_raw) g"))
+def q_global_scalar_join(spark, sf):
+    """Per-row use of global scalars (latest date, mean/std, min/max): one
+    aggregate row broadcast to every customer."""
+    from ..operators.features import materialize, transaction_aggregates
+    a = materialize(transaction_aggregates(ad.transactions(spark, sf)).select(
+        "customer_id", "last_date", "frequency", F.coalesce(F.col("credit_sum"), F.lit(0.0)).alias("monetary")))
+    g = a.agg(F.date_add(F.max("last_date"), 1).alias("_ref"), F.avg("monetary").alias("_mu"),
+              F.stddev_samp("monetary").alias("_sd"), F.min("frequency").alias("_fmin"),
+              F.max("frequency").alias("_fmax"))
+    j = a.crossJoin(F.broadcast(g))
+    out = j.select("customer_id", F.datediff("_ref", "last_date").cast("bigint").alias("recency_days"),
+                   ((F.col("monetary") - F.col("_mu")) / F.greatest(F.col("_sd"), F.lit(0.01))).alias("monetary_z"),
+                   ((F.col("frequency") - F.col("_fmin")) / F.greatest(F.col("_fmax") - F.col("_fmin"), F.lit(1)))
+                   .alias("frequency_scaled"))
+    return round_cols(out, ["monetary_z", "frequency_scaled"])

@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # delete checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # broadcast joins only below this size; the planner falls back to
     # sort-merge joins above it, so a growing side is never broadcast.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),

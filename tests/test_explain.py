@@ -69,3 +69,11 @@ def test_linear_attribution_is_additive(spark):
                  F.aggregate("attributions", F.lit(0.0), lambda acc, x: acc + x["shap_value"]).alias("s")).join(p, "customer_id")
     for r in j.collect():
         assert r.attribution_base + r.s == pytest.approx(r.propensity, abs=1e-9)
+
+
+def test_single_row_api_matches_reference_case(spark):
+    names = [f for f, _ in REF_SHAP]
+    out = ex.generate_explanation(spark, [s for _, s in REF_SHAP], REF_VALUES, names, "Home Loan", top_n=3)
+    assert set(out) == {"summary", "details", "shap_dict"}
+    assert len(out["details"]) == 3 and out["details"][0]["feature"] == "monthly_credit_mean"
+    assert out["shap_dict"]["emi_to_income_ratio"] == -0.3

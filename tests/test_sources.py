@@ -73,3 +73,10 @@ def test_pipeline_end_to_end_and_model_store(spark):
     a = {r.customer_id: r.lead_score for r in again.collect()}
     b = {r.customer_id: r.lead_score for r in out.select("customer_id", "lead_score").collect()}
     assert a == b
+
+
+def test_available_features_reports_missing(spark):
+    from lendspark.operators.models import available_features
+    df = spark.createDataFrame([(1, 2.0)], "age int, cashflow_cv double")
+    present, missing = available_features(df, ["age", "cashflow_cv", "emi_count"])
+    assert present == ["age", "cashflow_cv"] and missing == ["emi_count"]
