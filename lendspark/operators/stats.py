@@ -89,15 +89,17 @@ def global_cumsum(df: DataFrame, order: list[Column], cols: list[str], prefix: s
 def grouped_exact_median(df: DataFrame, group_cols: list[str], value: str, out: str = "median") -> DataFrame:
     """Exact median per group (mean of the two middle values for even n),
     without collecting any group: rows are globally ranked by (group, value),
-    and each group's middle positions are selected."""
+    each group's middle positions are computed on the per-group table, and
+    rows are matched on their unique rank — never joined on the (possibly
+    hot) group key."""
     key = F.monotonically_increasing_id()
     base = df.select(*group_cols, F.col(value).alias("_v")).filter(F.col("_v").isNotNull()).withColumn("_k", key)
     r = global_rank(base, [*[F.col(g) for g in group_cols], F.col("_v"), F.col("_k")], "_r")
     stats = r.groupBy(*group_cols).agg(F.min("_r").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    j = r.join(stats, group_cols) if group_cols else r.crossJoin(F.broadcast(stats))
-    lo = F.col("_start") + F.floor((F.col("_n") - 1) / 2)
-    hi = F.col("_start") + F.floor(F.col("_n") / 2)
-    mid = j.filter((F.col("_r") == lo) | (F.col("_r") == hi))
+    lo = (F.col("_start") + F.floor((F.col("_n") - 1) / 2)).cast("long")
+    hi = (F.col("_start") + F.floor(F.col("_n") / 2)).cast("long")
+    targets = stats.select(F.explode(F.array_distinct(F.array(lo, hi))).alias("_r"))  # ≤ 2 rows per group
+    mid = r.join(targets, "_r")  # unique key: no skew whatever the group sizes
     return mid.groupBy(*group_cols).agg(F.avg("_v").alias(out))
 
 

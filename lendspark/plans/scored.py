@@ -10,8 +10,6 @@ queries (cashflow_stability, …) still run from the raw tables.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.features import build_feature_matrix, materialize
@@ -22,14 +20,18 @@ from ..sources import adapters
 _VIEWS: dict[tuple, DataFrame] = {}
 
 
-def _snapshot(sf_dir: str) -> tuple:
-    """Identity of the input files (path, size, mtime); empty off-host."""
+def _snapshot(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identity of the input files (name, size, modification time) through
+    the Hadoop FileSystem API, so it also works on HDFS / object stores: new
+    data at the same path gives a new snapshot and a fresh materialisation."""
     try:
-        return tuple(sorted((f, st.st_size, st.st_mtime_ns)
-                            for f in os.listdir(sf_dir)
-                            for st in [os.stat(os.path.join(sf_dir, f))]))
-    except OSError:
-        return ()
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(sf_dir)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return tuple(sorted((str(st.getPath().getName()), int(st.getLen()), int(st.getModificationTime()))
+                            for st in fs.listStatus(path)))
+    except Exception:  # noqa: BLE001 - unreadable listing: never reuse
+        return None
 
 
 def inputs(spark: SparkSession, sf_dir: str):
@@ -43,9 +45,18 @@ def build_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), _snapshot(sf_dir))
+    """The session's materialised matrix for the current input snapshot.
+    Only the latest snapshot per input path is kept (older copies are
+    released, so their checkpoint files can be cleaned)."""
+    snap = _snapshot(spark, sf_dir)
+    if snap is None:
+        return build_matrix(spark, sf_dir)
+    where = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = where + (snap,)
     fm = _VIEWS.get(key)
     if fm is None:
+        for old in [k for k in _VIEWS if k[:2] == where]:
+            del _VIEWS[old]
         fm = _VIEWS[key] = build_matrix(spark, sf_dir)
     return fm
 
