@@ -18,7 +18,13 @@ _MODELS: dict[tuple, object] = {}
 
 
 def _key(spark, sf, kind):
-    return (spark.sparkContext.applicationId, os.path.abspath(sf), kind)
+    """Keyed on the session's current feature-matrix copy: new input data
+    (a new snapshot) means new labels and models; older entries are dropped."""
+    fm_id = id(feature_matrix(spark, sf))
+    where = (spark.sparkContext.applicationId, os.path.abspath(sf), kind)
+    for old in [k for k in _MODELS if k[:3] == where and k[3] != fm_id]:
+        del _MODELS[old]
+    return where + (fm_id,)
 
 
 def labelled(spark, sf):

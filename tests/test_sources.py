@@ -80,3 +80,25 @@ def test_available_features_reports_missing(spark):
     df = spark.createDataFrame([(1, 2.0)], "age int, cashflow_cv double")
     present, missing = available_features(df, ["age", "cashflow_cv", "emi_count"])
     assert present == ["age", "cashflow_cv"] and missing == ["emi_count"]
+
+
+def test_streaming_scoring_matches_batch(spark):
+    """Saved models applied to a file stream give the batch scores."""
+    from lendspark.operators.models import GBTParams, train_lead_model
+    from lendspark.operators import stats as st
+    from lendspark.plans.scored import feature_matrix
+    from lendspark.streaming.scoring import start_scoring_stream
+    lab = st.assign_conversion_from_features(feature_matrix(spark, SF001), 0.10)
+    model, _test, scored_all = train_lead_model(lab, params=GBTParams(max_iter=3, max_depth=3))
+    d = tempfile.mkdtemp()
+    model.save(os.path.join(d, "lead"))
+    src = os.path.join(d, "incoming")
+    feats = lab.select("customer_id", *model.feature_cols)
+    feats.write.parquet(src)
+    q = start_scoring_stream(spark, src, feats.schema, os.path.join(d, "lead"), os.path.join(d, "out"),
+                             os.path.join(d, "ckpt"))
+    q.processAllAvailable()
+    q.stop()
+    got = {r.customer_id: r.lead_score for r in spark.read.parquet(os.path.join(d, "out")).collect()}
+    want = {r.customer_id: r.lead_score for r in scored_all.select("customer_id", "lead_score").collect()}
+    assert got == want
