@@ -57,6 +57,24 @@ def available_features(df: DataFrame, wanted: list[str]) -> tuple[list[str], lis
 # splits
 # ---------------------------------------------------------------------------
 
+ROWS_PER_TRAINING_PARTITION = 500_000
+
+
+def training_layout(df: DataFrame, n_rows: int) -> DataFrame:
+    """Partition a training frame by its size: one partition per ~500k rows,
+    at least one per core.  Iterative fits run a job per boosting round, so a
+    frame that inherited hundreds of tiny shuffle partitions would pay that
+    task overhead on every round; a 100 TB-scale frame keeps its thousands."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    target = max(cores, -(-n_rows // ROWS_PER_TRAINING_PARTITION))
+    current = df.rdd.getNumPartitions()
+    if current > target:
+        return df.coalesce(target)
+    if current < cores:
+        return df.repartition(target)
+    return df
+
+
 def _hash_order(key: str, seed: int):
     return F.xxhash64(F.col(key).cast("string"), F.lit(seed))
 
@@ -176,7 +194,7 @@ def train_lead_model(features: DataFrame, label: str = "loan_converted", feature
     spw = (counts["n"] - counts["p"]) / max(counts["p"], 1)
     train = train.withColumn("_w", F.when(F.col("label") == 1, F.lit(float(spw))).otherwise(F.lit(1.0))) \
                  .withColumn("_val", hash_fold(F.col("customer_id"), SEED + 1, 10) == 0)
-    train = materialize(train)
+    train = materialize(training_layout(train, int(counts["n"])))
     fold = hash_fold(F.col("customer_id"), SEED + 2, n_folds)
 
     def fit_base():
@@ -224,7 +242,8 @@ def train_income_model(features: DataFrame, target: str = "true_monthly_income",
     data = features.select(*keep, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols],
                            F.col(target).cast("double").alias("label"))
     data = materialize(random_split(data))
-    train = data.filter(~F.col("is_test"))
+    n_rows = data.count()
+    train = materialize(training_layout(data.filter(~F.col("is_test")), n_rows))
     asm = _assembler(cols)
     gbt = GBTRegressor(labelCol="label", featuresCol="features", maxIter=params.max_iter, maxDepth=params.max_depth,
                        stepSize=params.step_size, subsamplingRate=params.subsampling_rate,

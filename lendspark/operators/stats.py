@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_normal, hash_uniform
 from ..functions.scalar import sigmoid
-from ..session import shuffle_partitions
 from .features import materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | row index
@@ -49,8 +48,10 @@ def zscore(df: DataFrame, col: str, out: str, floor: float = 0.01) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _numbered(df: DataFrame, order: list[Column], num_partitions: int | None) -> DataFrame:
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    keyed = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count the range exchange may be coalesced by AQE;
+    # merged partitions are contiguous ranges, so the global order holds.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    keyed = (ranged.sortWithinPartitions(*order)
              .withColumn("_mid", F.monotonically_increasing_id()))
     # one materialisation: the numbering and the offsets must see the same partitions
     keyed = materialize(keyed)
