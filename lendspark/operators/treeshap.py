@@ -16,7 +16,6 @@ partition and nothing is collected.
 from __future__ import annotations
 
 import os
-import tempfile
 
 import numpy as np
 import pandas as pd
@@ -159,7 +158,8 @@ def tree_attribution(df: DataFrame, gbt_model, feature_cols: list[str], id_col:
     PipelineModel ending with one.  Σ attributions + base = logit."""
     spark = df.sparkSession
     m = gbt_model.stages[-1] if hasattr(gbt_model, "stages") else gbt_model
-    ckpt = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp()
+    from ..session import ensure_checkpoint_dir
+    ckpt = ensure_checkpoint_dir(spark)  # shared folder: executors read the node table from it
     path = os.path.join(ckpt, f"treeshap-model-{m.uid}")
     m.write().overwrite().save(path)
     trees, weights = load_gbt_trees(spark, path)

@@ -207,8 +207,7 @@ def whatif_scenarios(customers: DataFrame, grid: DataFrame, config: DataFrame |
     (scenario_id, income_factor, emi_add, cv_override, lead_delta,
     confidence, tenure_add); it is a small parameter table and is broadcast.
     """
-    g = F.broadcast(grid)
-    j = customers.crossJoin(g)
+    j = customers.crossJoin(_checked_broadcast(grid))  # a parameter table, size-checked
     income = F.col("estimated_income") * F.col("income_factor")
     emi = F.col("avg_monthly_emi") + F.col("emi_add")
     cv = F.coalesce(F.col("cv_override"), F.col("cashflow_cv"))

@@ -59,7 +59,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="lendspark-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(lendspark materialises intermediates there)")
+        configured = tempfile.mkdtemp(prefix="lendspark-ckpt-")  # single-machine runs only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
