@@ -40,11 +40,20 @@ def q_capacity_top100(spark, sf):
     return round_cols(top, ["estimated_income", "avg_monthly_emi"])
 
 
-@register("loan_config", with_scored("select * from f_cfg"))
+@register("loan_config", with_scored(
+    "select c.product, c.max_foir, c.max_amount, c.min_amount, c.interest_rate, c.default_tenure_months, "
+    "c.pv_factor, coalesce(n.n_customers, 0) as n_customers from f_cfg c left join "
+    "(select loan_product_interest, count(*) as n_customers from v_customers group by 1) n "
+    "on c.product = n.loan_product_interest"))
 def q_loan_config(spark, sf):
-    # a parameter table; the query still runs on the session of the driver tables
-    return uw.loan_config(spark).select("product", "max_foir", "max_amount", "min_amount", "interest_rate",
-                                        "default_tenure_months", "pv_factor")
+    """The product dimension with the demand it serves (customers per product)."""
+    from ..sources import adapters as ad
+    cfg = uw.loan_config(spark).select("product", "max_foir", "max_amount", "min_amount", "interest_rate",
+                                       "default_tenure_months", "pv_factor")
+    demand = ad.customers(spark, sf).groupBy(F.col("loan_product_interest").alias("product")) \
+        .agg(F.count(F.lit(1)).alias("n_customers"))
+    return cfg.join(F.broadcast(demand.join(F.broadcast(cfg.select("product")), "product")), "product", "left") \
+        .select(*cfg.columns, F.coalesce(F.col("n_customers"), F.lit(0)).cast("bigint").alias("n_customers"))
 
 
 @register("dimension_lookup", with_scored(
