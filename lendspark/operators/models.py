@@ -231,33 +231,42 @@ def feature_importance(model: PipelineModel, cols: list[str]) -> DataFrame:
 # Engine B — income estimation
 # ---------------------------------------------------------------------------
 
+_X = "__x_"  # prefix of the model's own zero-filled copies of its inputs
+
+
+def _model_inputs(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Zero-filled double copies of the feature columns (missing → 0, as the
+    reference fills before predicting); the caller's columns keep their types."""
+    return df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(_X + c) for c in cols])
+
+
 def train_income_model(features: DataFrame, target: str = "true_monthly_income", feature_cols=None,
                        params: GBTParams | None = None) -> tuple[PipelineModel, list[str], DataFrame]:
     """GBT regressor (squared error) on an exact 80/20 hash split.  Returns
-    (model, features used, all rows with estimated_income, band, deviation
-    and is_test)."""
+    (model, features used, all rows with estimated_income, band, deviation,
+    ``label`` and ``is_test``)."""
     params = params or GBTParams()
     cols, _ = available_features(features, feature_cols or INCOME_ESTIMATION_FEATURES)
-    keep = [c for c in features.columns if c not in cols and c != "label"]
-    data = features.select(*keep, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in cols],
-                           F.col(target).cast("double").alias("label"))
+    data = _model_inputs(features.drop("label"), cols).withColumn("label", F.col(target).cast("double"))
     data = materialize(random_split(data))
     n_rows = data.count()
     train = materialize(training_layout(data.filter(~F.col("is_test")), n_rows))
-    asm = _assembler(cols)
+    asm = _assembler([_X + c for c in cols])
     gbt = GBTRegressor(labelCol="label", featuresCol="features", maxIter=params.max_iter, maxDepth=params.max_depth,
                        stepSize=params.step_size, subsamplingRate=params.subsampling_rate,
                        featureSubsetStrategy=params.feature_subset,
                        minInstancesPerNode=params.min_instances_per_node, seed=SEED, **params.extra)
     model = PipelineModel(stages=[asm, gbt.fit(asm.transform(train))])
-    return model, cols, predict_income(model, data, true_col="label")
+    return model, cols, predict_income(model, data.drop(*[_X + c for c in cols]), true_col="label")
 
 
 def predict_income(model: PipelineModel, df: DataFrame, true_col: str | None = None) -> DataFrame:
     """estimated_income = round(max(prediction, 0), 2); band by realised error
     when the truth is given, else by occupation; deviation vs declared."""
-    p = model.transform(df).withColumn("estimated_income", F.bround(F.greatest(F.col("prediction"), F.lit(0.0)), 2))
-    p = p.drop("features", "prediction")
+    cols = [c[len(_X):] for c in model.stages[0].getInputCols()]
+    p = model.transform(_model_inputs(df, cols))
+    p = p.withColumn("estimated_income", F.bround(F.greatest(F.col("prediction"), F.lit(0.0)), 2))
+    p = p.drop("features", "prediction", *[_X + c for c in cols])
     p = assign_confidence_band(p, "estimated_income", true_col if true_col and true_col in p.columns else None)
     return income_deviation(p)
 

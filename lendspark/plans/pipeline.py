@@ -34,7 +34,14 @@ def run_pipeline(customers: DataFrame, txns: DataFrame, behavior: DataFrame, out
     fm = materialize(build_feature_matrix(customers, txns, behavior))
     labelled = materialize(st.assign_conversion_from_features(fm, target_base_rate))
 
-    lead_model, lead_test, lead_all = md.train_lead_model(labelled, params=params)
+    # The engines share no inputs beyond the labelled matrix, so they train as
+    # concurrent Spark jobs (income features do not use the lead score).
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        lead_f = pool.submit(md.train_lead_model, labelled, params=params)
+        income_f = pool.submit(md.train_income_model, labelled, params=params)
+        lead_model, lead_test, lead_all = lead_f.result()
+        income_model, income_cols, income_all = income_f.result()
     t = lead_test.select(F.col("lead_score_raw").alias("p"), F.col("label").cast("int").alias("y"), "customer_id")
     lead_metrics = {
         **io.metrics_row(mx.roc_auc_and_ap(t, "p", "y")),
@@ -44,14 +51,12 @@ def run_pipeline(customers: DataFrame, txns: DataFrame, behavior: DataFrame, out
                                        for r in mx.conversion_at_cutoffs(t, "p", "y").collect()},
         "n_features": len(lead_model.feature_cols),
     }
-    scored = labelled.join(lead_all.select("customer_id", "lead_score", "lead_score_raw"), "customer_id")
-
-    income_model, income_cols, income_all = md.train_income_model(scored, params=params)
     test = income_all.filter(F.col("is_test"))
     income_metrics = {**io.metrics_row(mx.regression_metrics(test, "label", "estimated_income")),
                       **io.metrics_row(mx.percentage_errors(test, "label", "estimated_income")),
                       **io.metrics_row(mx.deviation_flag_rate(test))}
-    out = income_all.drop("label", "is_test")
+    out = income_all.drop("label", "is_test").join(
+        lead_all.select("customer_id", "lead_score", "lead_score_raw"), "customer_id")
 
     out = run_underwriting(out)
     if tree_explanations:

@@ -131,3 +131,15 @@ def q_tree_attribution(spark, sf):
     model, _t, _a = lead(spark, sf)
     x = labelled(spark, sf)
     return ts.tree_attribution(x, model.base, model.feature_cols)
+
+
+@register("end_to_end_scoring")
+def q_end_to_end(spark, sf):
+    """Everything the reference's batch run does, from the raw tables:
+    features, calibrated labels, both engines, underwriting, tree
+    explanations.  Returns the flat per-customer result."""
+    from .pipeline import run_from_driver_tables
+    out, _metrics = run_from_driver_tables(spark, sf)
+    return out.select("customer_id", "lead_score", "estimated_income", "income_confidence_band",
+                      "loan_readiness_score", "eligible_loan_amount", "risk_flag_count", "recommendation",
+                      "explanation_summary")

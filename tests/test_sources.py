@@ -102,3 +102,16 @@ def test_streaming_scoring_matches_batch(spark):
     got = {r.customer_id: r.lead_score for r in spark.read.parquet(os.path.join(d, "out")).collect()}
     want = {r.customer_id: r.lead_score for r in scored_all.select("customer_id", "lead_score").collect()}
     assert got == want
+
+
+def test_income_model_keeps_input_types(spark):
+    from lendspark.operators.models import GBTParams, predict_income, train_income_model
+    from lendspark.plans.scored import feature_matrix
+    fm = feature_matrix(spark, SF001)
+    model, cols, pred = train_income_model(fm, params=GBTParams(max_iter=3, max_depth=3))
+    assert dict(pred.dtypes)["tenure_months"] == dict(fm.dtypes)["tenure_months"] == "int"
+    again = predict_income(model, fm.select("customer_id", "occupation", "cashflow_cv", "declared_monthly_income",
+                                            *cols))
+    a = {r.customer_id: r.estimated_income for r in again.collect()}
+    b = {r.customer_id: r.estimated_income for r in pred.collect()}
+    assert a == b
