@@ -93,9 +93,17 @@ def materialize(df: DataFrame) -> DataFrame:
     (feature groups, global statistics) read one reduced table: without it
     column pruning gives every consumer a different plan and the raw scan
     would be repeated per consumer."""
+    from pyspark import StorageLevel
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # An eager checkpoint runs one job to compute the rows and another to
+    # write them; keeping the rows for that moment stops the second job from
+    # recomputing the plan.  The checkpoint files are the lasting copy.
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
 
 
 def txn_rollup(txns: DataFrame) -> DataFrame:

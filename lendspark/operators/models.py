@@ -57,20 +57,20 @@ def available_features(df: DataFrame, wanted: list[str]) -> tuple[list[str], lis
 # splits
 # ---------------------------------------------------------------------------
 
-ROWS_PER_TRAINING_PARTITION = 500_000
+ROWS_PER_TRAINING_PARTITION = 200_000
 
 
 def training_layout(df: DataFrame, n_rows: int) -> DataFrame:
-    """Partition a training frame by its size: one partition per ~500k rows,
-    at least one per core.  Iterative fits run a job per boosting round, so a
-    frame that inherited hundreds of tiny shuffle partitions would pay that
-    task overhead on every round; a 100 TB-scale frame keeps its thousands."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    target = max(cores, -(-n_rows // ROWS_PER_TRAINING_PARTITION))
+    """Partition a training frame by its size: one partition per ~200k rows.
+    Boosting runs several jobs per round, so a frame that inherited hundreds
+    of tiny shuffle partitions would pay that task overhead every round; the
+    concurrent fits (base + folds) keep the cores busy on small data, and a
+    100 TB-scale frame still gets thousands of partitions."""
+    target = max(1, -(-n_rows // ROWS_PER_TRAINING_PARTITION))
     current = df.rdd.getNumPartitions()
     if current > target:
         return df.coalesce(target)
-    if current < cores:
+    if current < target:
         return df.repartition(target)
     return df
 
