@@ -191,6 +191,38 @@ def _aggs(txns: DataFrame) -> DataFrame:
     return txns if "credit_months" in txns.columns else transaction_aggregates(txns)
 
 
+def credit_aggregates(txns: DataFrame) -> DataFrame:
+    """Credit-side per-customer statistics alone (same columns as in
+    :func:`transaction_aggregates`).  The type filter reaches the sources —
+    in a union of credit and debit branches the debit branch is pruned."""
+    credit = txns.filter((F.col("txn_type") == CREDIT) & F.col("customer_id").isNotNull())
+    cat = F.col("category") if "category" in txns.columns else F.lit(None).cast("string")
+    is_sal = cat == "Salary"
+    m = credit.groupBy("customer_id", month_bucket(F.col("txn_date").cast("date")).alias("month")).agg(
+        F.sum("amount").alias("credit_total"),
+        F.sum(F.when(is_sal, F.col("amount"))).alias("salary_total"),
+        F.sum(F.when(is_sal, 1).otherwise(0)).alias("salary_rows"),
+        F.max("amount").alias("max_credit"))
+    return m.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("credit_months"),
+        F.avg("credit_total").alias("credit_mean"), F.stddev_samp("credit_total").alias("credit_std"),
+        F.sum("salary_rows").alias("salary_rows"),
+        F.count(F.when(F.col("salary_rows") > 0, 1)).alias("salary_months"),
+        F.avg(F.when(F.col("salary_rows") > 0, F.col("salary_total"))).alias("salary_avg"),
+        F.avg("max_credit").alias("max_credit_mean"), F.stddev_samp("max_credit").alias("max_credit_std"),
+        F.count("max_credit").alias("max_credit_n"))
+
+
+def debit_aggregates(txns: DataFrame) -> DataFrame:
+    """Debit-side per-customer statistics alone (credit branch pruned)."""
+    debit = txns.filter((F.col("txn_type") == DEBIT) & F.col("customer_id").isNotNull())
+    c = debit.groupBy("customer_id", "category").agg(F.sum("amount").alias("spend"))
+    flags = [F.max((F.col("category") == cat).cast("int")).alias(name) for cat, name in INTENT_FLAGS]
+    return c.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("debit_categories"), F.sum("spend").alias("total_debit"),
+        F.sum(F.col("spend") * F.col("spend")).alias("spend_ssq"), *flags)
+
+
 # ---------------------------------------------------------------------------
 # 1. cash-flow stability
 # ---------------------------------------------------------------------------
@@ -206,7 +238,7 @@ def cashflow_stability(txns: DataFrame) -> DataFrame:
     """mean / sample std of monthly credit totals over observed months;
     cv = std / (mean or 1), clipped to [0, 2].  Customers without credits
     are absent."""
-    a = _aggs(txns)
+    a = txns if "credit_months" in txns.columns else credit_aggregates(txns)
     return a.filter(F.col("credit_months") > 0).select("customer_id", *_named(cashflow_cols()))
 
 
@@ -228,7 +260,7 @@ def salary_cols():
 
 def salary_pattern(txns: DataFrame) -> DataFrame:
     """has_salary_credit, salary_regularity_score, estimated_salary."""
-    a = _aggs(txns)
+    a = txns if "credit_months" in txns.columns else credit_aggregates(txns)
     return a.filter(F.col("credit_months") > 0).select("customer_id", *_named(salary_cols()))
 
 
@@ -302,7 +334,7 @@ def spend_cols(months: int = 12):
 def spend_patterns(txns: DataFrame, months: int = 12) -> DataFrame:
     """HHI of category shares, six intent flags, monthly and total debit.
     Customers without debits are absent."""
-    a = _aggs(txns)
+    a = txns if "debit_categories" in txns.columns else debit_aggregates(txns)
     return a.filter(F.col("debit_categories") > 0).select("customer_id", *_named(spend_cols(months)))
 
 
