@@ -213,6 +213,21 @@ def credit_aggregates(txns: DataFrame) -> DataFrame:
         F.count("max_credit").alias("max_credit_n"))
 
 
+def customer_totals(txns: DataFrame) -> DataFrame:
+    """Per-customer sums, counts and latest date straight from the rows — one
+    map-side-combined aggregation (what EMI burden and RFM need alone)."""
+    t = txns.filter(F.col("customer_id").isNotNull())
+    credit = F.col("txn_type") == CREDIT
+    cat = F.col("category") if "category" in txns.columns else F.lit(None).cast("string")
+    emi = (F.col("txn_type") == DEBIT) & (cat == "EMI")
+    return t.groupBy("customer_id").agg(
+        F.sum(F.when(credit, F.col("amount"))).alias("credit_sum"),
+        F.sum(F.when(emi, F.col("amount"))).alias("emi_sum"),
+        F.count(F.when(emi, F.col("amount"))).alias("emi_n"),
+        F.count("amount").alias("frequency"),
+        F.max(F.col("txn_date").cast("date")).alias("last_date"))
+
+
 def debit_aggregates(txns: DataFrame) -> DataFrame:
     """Debit-side per-customer statistics alone (credit branch pruned)."""
     debit = txns.filter((F.col("txn_type") == DEBIT) & F.col("customer_id").isNotNull())
@@ -280,7 +295,8 @@ def emi_burden(txns: DataFrame, months: int = 12) -> DataFrame:
     """Income proxy, EMI and EMI count per month over a fixed ``months``
     horizon (12 by default, as in the reference); ratio clipped to [0, 1].
     Every customer with any transaction is kept."""
-    return _aggs(txns).select("customer_id", *_named(emi_cols(months)))
+    a = txns if "credit_months" in txns.columns else customer_totals(txns)
+    return a.select("customer_id", *_named(emi_cols(months)))
 
 
 # ---------------------------------------------------------------------------
@@ -313,9 +329,10 @@ def rfm_cols():
 def rfm_scores(txns: DataFrame) -> DataFrame:
     """Recency (days from the day after the latest transaction overall),
     frequency, monetary; min-max scaled (constant → 0.5), recency inverted."""
-    a = _aggs(txns)
-    if "credit_months" not in txns.columns:
-        a = materialize(a)  # read twice: the global row and the per-customer rows
+    if "credit_months" in txns.columns:
+        a = txns
+    else:  # read twice (global row + per-customer rows), so computed once
+        a = materialize(customer_totals(txns))
     return a.crossJoin(F.broadcast(rfm_globals(a))).select("customer_id", *_named(rfm_cols()))
 
 
