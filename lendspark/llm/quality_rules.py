@@ -23,10 +23,10 @@ class Band:
 
 
 #: Whole texts: short ones hold little to repeat and carry the frame's fixed cost.
-DOCUMENT_BANDS = (Band(512, 1.02, 2.6), Band(1024, 1.15, 2.9), Band(4096, 1.3, 3.3), Band(16384, 1.4, 3.8), Band(1 << 62, 1.4, 4.4))
+DOCUMENT_BANDS = (Band(512, 1.02, 2.2), Band(1024, 1.15, 2.4), Band(4096, 1.3, 2.8), Band(16384, 1.4, 3.2), Band(1 << 62, 1.4, 3.8))
 #: Chunks of CHUNK bytes; a text fails if more than CHUNK_SHARE of its bytes are in failing chunks.
 CHUNK, CHUNK_SHARE = 2048, 0.5
-CHUNK_BANDS = (Band(512, 0.8, 4.0), Band(1 << 62, 1.25, 3.2))
+CHUNK_BANDS = (Band(512, 0.8, 4.0), Band(1 << 62, 1.25, 2.8))
 LEVEL = 3
 SYMBOLS = b"#*$%&|<>"
 COLUMNS = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "

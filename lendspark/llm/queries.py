@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, near_dedup, packing, quality_rules
+from . import (exact_dedup, language_id, mixing, near_dedup, packing, quality_model, quality_rules, secrets,
+               substring_dedup, toxicity)
 from .common import documents
 
 
@@ -12,6 +13,22 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir))
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "pages"), documents(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
@@ -24,11 +41,21 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_substrings(documents(spark, sf_dir)).drop("spans")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op5_quality_rules, op6_mixing, op7_packing, op9_exact_dedup)}
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan_secrets(documents(spark, sf_dir)))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_near_dedup, op2_toxicity, op3_quality_model, op4_language_id, op5_quality_rules, op6_mixing, op7_packing,
+    op8_substring_dedup, op9_exact_dedup, op10_secrets)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
