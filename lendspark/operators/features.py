@@ -157,7 +157,8 @@ def transaction_aggregates(txns: DataFrame) -> DataFrame:
     """
     lv = _levels(txn_rollup(txns))
     m = (F.col("lvl") == 0) & (F.col("credit_rows") > 0)  # observed credit month
-    c = (F.col("lvl") == 1) & (F.col("debit_rows") > 0)   # observed debit category
+    d = (F.col("lvl") == 1) & (F.col("debit_rows") > 0)
+    c = d & F.col("k_cat").isNotNull()                    # observed debit category
     l0 = F.col("lvl") == 0
     emi = (F.col("lvl") == 1) & (F.col("k_cat") == "EMI")
     flags = [F.max(F.when(c, (F.col("k_cat") == cat).cast("int"))).alias(name) for cat, name in INTENT_FLAGS]
@@ -175,7 +176,8 @@ def transaction_aggregates(txns: DataFrame) -> DataFrame:
         F.sum(F.when(l0, F.col("n_all"))).alias("frequency"),
         F.max(F.when(l0, F.col("last_date"))).alias("last_date"),
         F.count(F.when(c, 1)).alias("debit_categories"),
-        F.sum(F.when(c, F.col("spend"))).alias("total_debit"),
+        F.sum(F.when(d, F.col("spend"))).alias("total_debit"),
+        F.sum(F.when(c, F.col("spend"))).alias("category_debit"),
         F.sum(F.when(c, F.col("spend") * F.col("spend"))).alias("spend_ssq"),
         F.sum(F.when(emi, F.col("spend"))).alias("emi_sum"),
         F.sum(F.when(emi, F.col("debit_n"))).alias("emi_n"),
@@ -232,10 +234,12 @@ def debit_aggregates(txns: DataFrame) -> DataFrame:
     """Debit-side per-customer statistics alone (credit branch pruned)."""
     debit = txns.filter((F.col("txn_type") == DEBIT) & F.col("customer_id").isNotNull())
     c = debit.groupBy("customer_id", "category").agg(F.sum("amount").alias("spend"))
+    known = F.col("category").isNotNull()
     flags = [F.max((F.col("category") == cat).cast("int")).alias(name) for cat, name in INTENT_FLAGS]
     return c.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("debit_categories"), F.sum("spend").alias("total_debit"),
-        F.sum(F.col("spend") * F.col("spend")).alias("spend_ssq"), *flags)
+        F.count("category").alias("debit_categories"), F.sum("spend").alias("total_debit"),
+        F.sum(F.when(known, F.col("spend"))).alias("category_debit"),
+        F.sum(F.when(known, F.col("spend") * F.col("spend"))).alias("spend_ssq"), *flags)
 
 
 # ---------------------------------------------------------------------------
@@ -341,11 +345,11 @@ def rfm_scores(txns: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def spend_cols(months: int = 12):
-    tot = F.col("total_debit")
+    tot = F.col("category_debit")  # debits without a category count in total_debit alone
     hhi = F.when(tot > 0, F.col("spend_ssq") / (tot * tot)).otherwise(F.col("spend_ssq"))
     return ([("spend_concentration_hhi", F.bround(hhi, 4))]
             + [(name, F.col(name)) for _, name in INTENT_FLAGS]
-            + [("total_monthly_debit", F.bround(tot / months, 2)), ("total_debit", tot)])
+            + [("total_monthly_debit", F.bround(tot / months, 2)), ("total_debit", F.col("total_debit"))])
 
 
 def spend_patterns(txns: DataFrame, months: int = 12) -> DataFrame:

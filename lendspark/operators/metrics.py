@@ -25,14 +25,15 @@ def score_table(df: DataFrame, score: str, label: str) -> DataFrame:
 
 def roc_auc_and_ap(df: DataFrame, score: str = "lead_score", label: str = "loan_converted") -> DataFrame:
     """Exact ROC-AUC (ties count one half) and average precision
-    (Σ ΔRecall · Precision over distinct thresholds, descending)."""
+    (Σ ΔRecall · Precision over distinct thresholds, descending).  NULL where
+    the input has no row of a class that the measure divides by."""
     t = score_table(df, score, label)
     c = global_cumsum(t, [F.col("_s").desc()], ["pos", "neg"])
     tot = t.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     j = c.crossJoin(F.broadcast(tot))
     auc_term = F.col("pos") * (F.col("_N") - F.col("cum_neg") + F.lit(0.5) * F.col("neg"))
-    ap_term = (F.col("pos") / F.col("_P")) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))
-    return j.agg((F.sum(auc_term) / (F.first("_P") * F.first("_N"))).alias("roc_auc"),
+    ap_term = (F.col("pos") / F.nullif(F.col("_P"), F.lit(0))) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))
+    return j.agg((F.sum(auc_term) / F.nullif(F.first("_P").cast("double") * F.first("_N").cast("double"), F.lit(0.0))).alias("roc_auc"),
                  F.sum(ap_term).alias("average_precision"))
 
 

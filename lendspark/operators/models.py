@@ -43,6 +43,7 @@ class GBTParams:
     # patience), which on small validation slices stops after a few trees;
     # off by default, available when the validation slice is large.
     early_stopping: bool = False
+    training_partitions: int | None = None  # default: the cluster's parallelism
     parallelism: int = 4  # concurrent fits (base + calibration folds)
     extra: dict = field(default_factory=dict)
 
@@ -57,22 +58,13 @@ def available_features(df: DataFrame, wanted: list[str]) -> tuple[list[str], lis
 # splits
 # ---------------------------------------------------------------------------
 
-ROWS_PER_TRAINING_PARTITION = 200_000
-
-
-def training_layout(df: DataFrame, n_rows: int) -> DataFrame:
-    """Partition a training frame by its size: one partition per ~200k rows.
-    Boosting runs several jobs per round, so a frame that inherited hundreds
-    of tiny shuffle partitions would pay that task overhead every round; the
-    concurrent fits (base + folds) keep the cores busy on small data, and a
-    100 TB-scale frame still gets thousands of partitions."""
-    target = max(1, -(-n_rows // ROWS_PER_TRAINING_PARTITION))
-    current = df.rdd.getNumPartitions()
-    if current > target:
-        return df.coalesce(target)
-    if current < target:
-        return df.repartition(target)
-    return df
+def training_layout(df: DataFrame, partitions: int | None = None, key: str = "customer_id") -> DataFrame:
+    """Deal a training frame by key over a stated number of partitions, each in
+    key order.  Boosting draws its subsamples per partition, so with this
+    layout the fitted model does not depend on how the input was split.
+    ``partitions`` defaults to the cluster's parallelism."""
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n, key).sortWithinPartitions(key)
 
 
 def _hash_order(key: str, seed: int):
@@ -94,7 +86,8 @@ def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed
     Classes are ranked with the distributed rank (a class may hold most rows)."""
     r = global_rank(df.withColumn("_h", _hash_order(key, seed)), [F.col(label), F.col("_h"), F.col(key)], "_r")
     st = r.groupBy(label).agg(F.min("_r").alias("_start"), F.count(F.lit(1)).alias("_nc"))
-    j = r.join(F.broadcast(st), label)  # one row per class
+    st = st.withColumnRenamed(label, "_class")  # one row per class; NULL is a class
+    j = r.join(st, F.col(label).eqNullSafe(F.col("_class"))).drop("_class")
     pos = F.col("_r") - F.col("_start")
     return j.withColumn(out, pos < F.floor(F.col("_nc") * test_fraction + 0.5)).drop("_h", "_r", "_start", "_nc")
 
@@ -194,7 +187,7 @@ def train_lead_model(features: DataFrame, label: str = "loan_converted", feature
     spw = (counts["n"] - counts["p"]) / max(counts["p"], 1)
     train = train.withColumn("_w", F.when(F.col("label") == 1, F.lit(float(spw))).otherwise(F.lit(1.0))) \
                  .withColumn("_val", hash_fold(F.col("customer_id"), SEED + 1, 10) == 0)
-    train = materialize(training_layout(train, int(counts["n"])))
+    train = materialize(training_layout(train, params.training_partitions))
     fold = hash_fold(F.col("customer_id"), SEED + 2, n_folds)
 
     def fit_base():
@@ -249,8 +242,7 @@ def train_income_model(features: DataFrame, target: str = "true_monthly_income",
     cols, _ = available_features(features, feature_cols or INCOME_ESTIMATION_FEATURES)
     data = _model_inputs(features.drop("label"), cols).withColumn("label", F.col(target).cast("double"))
     data = materialize(random_split(data))
-    n_rows = data.count()
-    train = materialize(training_layout(data.filter(~F.col("is_test")), n_rows))
+    train = materialize(training_layout(data.filter(~F.col("is_test")), params.training_partitions))
     asm = _assembler([_X + c for c in cols])
     gbt = GBTRegressor(labelCol="label", featuresCol="features", maxIter=params.max_iter, maxDepth=params.max_depth,
                        stepSize=params.step_size, subsamplingRate=params.subsampling_rate,

@@ -126,8 +126,11 @@ def cutoff_curve(df: DataFrame) -> DataFrame:
 
 
 def score_histogram(df: DataFrame, bins: int = 30, lo: float = 0.0, hi: float = 100.0) -> DataFrame:
-    """Fixed-edge histogram (the top edge is closed)."""
-    b = F.least(F.greatest(F.floor((F.col("lead_score") - lo) * bins / (hi - lo)), F.lit(0)), F.lit(bins - 1))
+    """Fixed-edge histogram (the top edge is closed).  Scores below ``lo`` or
+    above ``hi`` have rows of their own, bins -1 and ``bins``."""
+    s = F.col("lead_score")
+    b = (F.when(s < lo, F.lit(-1)).when(s > hi, F.lit(bins))
+         .otherwise(F.least(F.floor((s - lo) * bins / (hi - lo)), F.lit(bins - 1))))
     return df.groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n_customers")) \
              .withColumn("bin_start", F.col("bin") * (hi - lo) / bins + lo)
 
@@ -192,7 +195,8 @@ def sorted_distinct_options(df: DataFrame, col: str) -> DataFrame:
 
 def profile_income_by_occupation(df: DataFrame, income: str = "true_monthly_income") -> DataFrame:
     a = df.groupBy("occupation").agg(F.avg(income).alias("mean_income"), F.count(F.lit(1)).alias("n"))
-    return a.join(grouped_exact_median(df, ["occupation"], income, "median_income"), "occupation")
+    m = grouped_exact_median(df, ["occupation"], income, "median_income").withColumnRenamed("occupation", "_occupation")
+    return a.join(m, F.col("occupation").eqNullSafe(F.col("_occupation")), "left").drop("_occupation")
 
 
 def profile_category_counts(df: DataFrame, cols=("occupation", "city_tier", "loan_product_interest")) -> DataFrame:

@@ -38,10 +38,7 @@ class TreeArrays:
 
     def predict(self, X: np.ndarray) -> np.ndarray:
         node = np.zeros(len(X), dtype=int)
-        for _ in range(64):
-            internal = self.left[node] >= 0
-            if not internal.any():
-                break
+        while (internal := self.left[node] >= 0).any():
             go_left = X[np.arange(len(X)), np.maximum(self.feature[node], 0)] <= self.threshold[node]
             nxt = np.where(go_left, self.left[node], self.right[node])
             node = np.where(internal, nxt, node)

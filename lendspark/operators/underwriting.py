@@ -27,7 +27,7 @@ CONFIG_COLUMNS = ["product", "max_foir", "max_amount", "min_amount", "interest_r
 FALLBACK_PRODUCT = "Personal Loan"
 CONFIDENCE_POINTS = {"High": 90, "Medium": 60, "Low": 30}
 UNKNOWN_CONFIDENCE_POINTS = 50
-MAX_CONFIG_ROWS = 10_000  # broadcast bound for a user-supplied product table
+MAX_SCENARIOS = 10_000  # a what-if grid is a parameter table; a larger one is refused
 
 # Fixed texts of the risk flags.
 FLAG_CV_HIGH = "Irregular income pattern (cash-flow CV > 40%)"
@@ -49,38 +49,45 @@ def loan_config(spark: SparkSession, rows=None) -> DataFrame:
 
 
 def with_pv_factor(cfg: DataFrame) -> DataFrame:
-    r = F.col("interest_rate") / 12
-    n = F.col("default_tenure_months")
+    return cfg.withColumn("pv_factor", pv_factor_expr(F.col("interest_rate"), F.col("default_tenure_months")))
+
+
+def pv_factor_expr(interest_rate, n) -> F.Column:
+    r = interest_rate / 12
     growth = F.pow(F.lit(1.0) + r, n)
-    pv = F.when(r > 0, (growth - 1) / (r * growth)).otherwise(n.cast("double"))
-    return cfg.withColumn("pv_factor", pv)
+    return F.when(r > 0, (growth - 1) / (r * growth)).otherwise(n.cast("double"))
 
 
-def _checked_broadcast(cfg: DataFrame) -> DataFrame:
-    """Broadcast the product table only when its size is proven small."""
-    n = cfg.limit(MAX_CONFIG_ROWS + 1).count()
-    return F.broadcast(cfg) if n <= MAX_CONFIG_ROWS else cfg
+def _fallback_row(cfg: DataFrame | None) -> dict:
+    """Parameters of the fallback product as literals: the given table's row,
+    or the built-in one where that table has none."""
+    own = cfg.filter(F.col("product") == FALLBACK_PRODUCT).first() if cfg is not None else None
+    if own is not None:
+        return {c: F.lit(v) for c, v in own.asDict().items() if c != "product"}
+    values = dict(zip(CONFIG_COLUMNS, next(r for r in LOAN_CONFIG if r[0] == FALLBACK_PRODUCT)))
+    row = {c: F.lit(v) for c, v in values.items() if c != "product"}
+    return row | {"pv_factor": pv_factor_expr(row["interest_rate"], row["default_tenure_months"])}
 
 
 def attach_product_config(df: DataFrame, product_col: str = "loan_product_interest",
-                          config: DataFrame | None = None, checked: bool = False) -> DataFrame:
-    """Left-join product parameters; unknown products use the fallback row."""
-    spark = df.sparkSession
-    cfg = config if config is not None else loan_config(spark)
+                          config: DataFrame | None = None) -> DataFrame:
+    """Left-join product parameters; unknown products use the fallback row.
+    Rows in = rows out: a table that repeats a product is refused, one without
+    the fallback product falls back to the built-in row.  The join strategy is
+    left to the planner's size check."""
+    cfg = config if config is not None else loan_config(df.sparkSession)
     if "pv_factor" not in cfg.columns:
         cfg = with_pv_factor(cfg)
+    if config is not None and not cfg.groupBy("product").count().filter("count > 1").isEmpty():
+        raise ValueError("the product table repeats a product")
     params = [c for c in cfg.columns if c != "product"]
     main = cfg.select(F.col("product").alias("_cfg_product"), *[F.col(c).alias("_m_" + c) for c in params])
-    fb = cfg.filter(F.col("product") == FALLBACK_PRODUCT).select(*[F.col(c).alias("_f_" + c) for c in params])
-    if config is not None and not checked:
-        main, fb = _checked_broadcast(main), _checked_broadcast(fb)
-    else:  # the built-in table has four rows
-        main, fb = F.broadcast(main), F.broadcast(fb)
+    fallback = _fallback_row(cfg if config is not None else None)
     pcol = col_or_lit(df.columns, product_col, FALLBACK_PRODUCT)
-    j = df.join(main, pcol == F.col("_cfg_product"), "left").crossJoin(fb)
-    for c in params:
-        j = j.withColumn("_p_" + c, F.coalesce(F.col("_m_" + c), F.col("_f_" + c)))
-    return j.drop("_cfg_product", *["_m_" + c for c in params], *["_f_" + c for c in params])
+    j = df.join(main, pcol == F.col("_cfg_product"), "left")
+    known = F.col("_cfg_product").isNotNull()
+    j = j.select("*", *[F.when(known, F.col("_m_" + c)).otherwise(fallback.get(c, F.lit(None))).alias("_p_" + c) for c in params])
+    return j.drop("_cfg_product", *["_m_" + c for c in params])
 
 
 def eligible_amount_expr(income, existing_emi) -> F.Column:
@@ -205,9 +212,12 @@ def whatif_scenarios(customers: DataFrame, grid: DataFrame, config: DataFrame |
 
     ``grid`` carries per-scenario multipliers / overrides
     (scenario_id, income_factor, emi_add, cv_override, lead_delta,
-    confidence, tenure_add); it is a small parameter table and is broadcast.
+    confidence, tenure_add); it is a small parameter table, refused above
+    ``MAX_SCENARIOS`` rows, and is broadcast.
     """
-    j = customers.crossJoin(_checked_broadcast(grid))  # a parameter table, size-checked
+    if grid.limit(MAX_SCENARIOS + 1).count() > MAX_SCENARIOS:
+        raise ValueError(f"a what-if grid has at most {MAX_SCENARIOS} scenarios")
+    j = customers.crossJoin(F.broadcast(grid))  # bounded just above
     income = F.col("estimated_income") * F.col("income_factor")
     emi = F.col("avg_monthly_emi") + F.col("emi_add")
     cv = F.coalesce(F.col("cv_override"), F.col("cashflow_cv"))

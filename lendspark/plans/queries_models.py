@@ -3,7 +3,7 @@ driver (trained models are not SQL); invariants are asserted in tests."""
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,19 +12,20 @@ from ..operators import models as md
 from ..operators import stats as st
 from ..operators import treeshap as ts
 from .catalog import register
-from .scored import feature_matrix
+from .scored import feature_matrix, input_snapshot
 
 _MODELS: dict[tuple, object] = {}
 
 
 def _key(spark, sf, kind):
-    """Keyed on the session's current feature-matrix copy: new input data
-    (a new snapshot) means new labels and models; older entries are dropped."""
-    fm_id = id(feature_matrix(spark, sf))
-    where = (spark.sparkContext.applicationId, os.path.abspath(sf), kind)
-    for old in [k for k in _MODELS if k[:3] == where and k[3] != fm_id]:
+    """Keyed on the snapshot of the input files: new data at the same path
+    means new labels and models, and older entries are dropped.  Without a
+    snapshot nothing is ever reused."""
+    token = input_snapshot(spark, sf) or uuid.uuid4().hex
+    where = (spark.sparkContext.applicationId, sf.rstrip("/"), kind)
+    for old in [k for k in _MODELS if k[:3] == where and k[3] != token]:
         del _MODELS[old]
-    return where + (fm_id,)
+    return where + (token,)
 
 
 def labelled(spark, sf):

@@ -20,16 +20,19 @@ from ..sources import adapters
 _VIEWS: dict[tuple, DataFrame] = {}
 
 
-def _snapshot(spark: SparkSession, sf_dir: str) -> tuple:
-    """Identity of the input files (name, size, modification time) through
+def input_snapshot(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identity of all input files (path, size, modification time) through
     the Hadoop FileSystem API, so it also works on HDFS / object stores: new
     data at the same path gives a new snapshot and a fresh materialisation."""
     try:
         jvm = spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(sf_dir)
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return tuple(sorted((str(st.getPath().getName()), int(st.getLen()), int(st.getModificationTime()))
-                            for st in fs.listStatus(path)))
+        files, found = fs.listFiles(path, True), []  # recursive: tables may be folders of files
+        while files.hasNext():
+            st = files.next()
+            found.append((str(st.getPath()), int(st.getLen()), int(st.getModificationTime())))
+        return tuple(sorted(found))
     except Exception:  # noqa: BLE001 - unreadable listing: never reuse
         return None
 
@@ -48,7 +51,7 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The session's materialised matrix for the current input snapshot.
     Only the latest snapshot per input path is kept (older copies are
     released, so their checkpoint files can be cleaned)."""
-    snap = _snapshot(spark, sf_dir)
+    snap = input_snapshot(spark, sf_dir)
     if snap is None:
         return build_matrix(spark, sf_dir)
     where = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))

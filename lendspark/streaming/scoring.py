@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.income import assign_confidence_band, income_deviation
-from ..operators.models import LeadModel
+from ..operators.models import LeadModel, predict_income
 from ..operators.underwriting import run_underwriting
 
 
@@ -23,10 +22,7 @@ def score_batch(features: DataFrame, lead_model: LeadModel, income_model=None) -
     filled = features.na.fill(0, subset=[c for c in cols if c in features.columns])
     out = lead_model.predict(filled)
     if income_model is not None:
-        out = income_model.transform(out).withColumn(
-            "estimated_income", F.bround(F.greatest(F.col("prediction"), F.lit(0.0)), 2)).drop("features", "prediction")
-        out = income_deviation(assign_confidence_band(out, true_col=None))
-        out = run_underwriting(out)
+        out = run_underwriting(predict_income(income_model, out))
     return out
 
 
