@@ -20,7 +20,7 @@ from ..session import ensure_checkpoint_dir
 U64 = np.uint64
 DELIMITER = np.zeros(256, bool)
 DELIMITER[[9, 10, 11, 12, 13, 32]] = True
-CHUNK_BYTES = 4 << 20  # texts are worked on in runs of about this size; a longer text is a run of its own
+CHUNK_BYTES = 1 << 20  # texts are worked on in runs of about this size; a longer text is a run of its own
 
 
 # ------------------------------------------------------------------ tables

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER_VALUE, ODD, U64, chunks, mix, span_hashes, stored, windows, word_spans
@@ -86,7 +86,7 @@ def _bounds(doc: np.ndarray, n: int) -> np.ndarray:
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seeds = mix(np.arange(1, BANDS + 1, dtype=U64) * ODD[4])
     for batch in batches:
-        for i, j, data, offs in chunks(batch.column("text"), 2 << 20):
+        for i, j, data, offs in chunks(batch.column("text")):
             n = j - i
             h, doc = shingle_sets(data, offs)
             bits = super_minhash(h, doc, n, BANDS * ROWS).view(U64).reshape(n, BANDS, ROWS)
@@ -116,10 +116,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # -------------------------------------------------------------------- links
 
-def _verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """pairs(a, b) whose full shingle sets are similar enough -> (u, v)."""
-    need = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = stored(docs.join(need, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -134,16 +132,46 @@ def _fitting(percent: int):
     return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
 
 
+def _prefix_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a > b: every pair of different components that can be linked,
+    from open_(cid, component) and their sets.
+
+    In one order of all shingles, rarest first, two sets with the overlap that
+    a link needs have their first common shingle among the first n - overlap +
+    1 of each.  A shingle held once only takes a place there.  So the edited
+    parts of near copies, not what the group has in common, make candidates,
+    and a copy with too many edits makes none.  Rows of a shingle's largest
+    component meet only those of other components.
+    """
+    held = (sets.join(open_, F.col("doc_id") == F.col("cid"))
+            .select("cid", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("s")))
+    shared = held.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    order = Window.partitionBy("cid", "n").orderBy("df", "s")
+    rows = held.join(shared, "s")
+    rows = (rows.withColumn("own", F.col("n") - F.count("*").over(Window.partitionBy("cid", "n")))
+            .withColumn("pos", F.col("own") + F.row_number().over(order))
+            .where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).select("s", "cid", "component", "n", "pos"))
+    rows = stored(rows, "prefix")
+    most = rows.groupBy("s", "component").count().groupBy("s").agg(
+        F.max_by("component", "count").alias("most"), F.count("*").alias("parts")).where("parts > 1").select("s", "most")
+    rows = rows.join(most, "s")
+    few = rows.where("component <> most").select("s", F.col("cid").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("pos").alias("px"))
+    overlap = F.ceil((F.col("n") + F.col("nx")) * percent / (100 + percent))
+    return (rows.join(few, "s")
+            .where((F.col("component") != F.col("cx")) & (F.col("pos") <= F.col("n") - overlap + 1) & (F.col("px") <= F.col("nx") - overlap + 1))
+            .select(F.greatest("cid", "x").alias("a"), F.least("cid", "x").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs(doc_id, text, ...).
 
     Identical sets become one class first, so copies cost no pair.  Classes
-    that share a band are linked in rounds: each class against the leader of
-    most of its buckets; then all in buckets that still hold two components
-    against a leader of each such bucket; then every pair of one bucket whose
-    components still differ.  A pair inside one component adds nothing, so no
-    link that could change a component is left out, and a group of n near
-    copies costs about n pairs, not n squared.
+    that share a band are linked in two rounds.  First each class is tried
+    against one leader, the class of its buckets that shares most with others:
+    n near copies cost n pairs.  Then all classes in buckets that still hold
+    two components meet by their rarest shingles (``_prefix_pairs``), which
+    leaves out only pairs of one component or below the threshold.  So no link
+    that could change a component is lost, and no group is paired out.
 
     Null text: empty set, linked with nothing.  Null doc_id: the row is
     returned with a null component and kept.  Rows with the same doc_id are
@@ -157,43 +185,30 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     head = member.where("doc_id = cid").select("doc_id", "fp1", "fp2")
     entry = (some.join(head, ["doc_id", "fp1", "fp2"], "left_semi")
              .select(F.col("doc_id").alias("cid"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key")))
-    buckets = (entry.groupBy("key").agg(F.min("cid").alias("lead"), F.max("cid").alias("last"))
-               .where("lead < last").select("key", "lead"))
+    buckets = (entry.groupBy("key").agg(F.min("cid").alias("first"), F.max("cid").alias("last"), F.count("*").alias("many"))
+               .where("first < last").select("key", "many"))
     live = stored(entry.join(buckets, "key"), "live")
-
-    # round 1: each class against its most frequent leader
-    votes = live.where("cid <> lead").groupBy("cid", "n", "lead").count()
-    best = votes.groupBy("cid", "n").agg(F.max(F.struct("count", (-F.col("lead")).alias("l"))).alias("x"))
-    size = live.select(F.col("cid").alias("b"), F.col("n").alias("nb")).distinct()
-    pairs = (best.select(F.col("cid").alias("a"), F.col("n").alias("na"), (-F.col("x.l")).alias("b"))
-             .join(size, "b").where(_fitting(percent)).select("a", "b").distinct())
+    weight = live.groupBy("cid", "n").agg(F.sum("many").alias("weight"))
+    need = weight.select(F.col("cid").alias("doc_id")).distinct()
+    sets = stored(docs.join(need.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
+
+    leaders = live.join(weight, ["cid", "n"]).groupBy("key").agg(F.max_by("cid", "weight").alias("b"))
+    votes = live.join(leaders, "key").where("cid <> b").groupBy(F.col("cid").alias("a"), F.col("n").alias("na"), "b").count()
+    best = votes.groupBy("a", "na").agg(F.max_by("b", "count").alias("b"))
+    pairs = best.join(weight.select(F.col("cid").alias("b"), F.col("n").alias("nb")), "b").where(_fitting(percent)).select("a", "b").distinct()
     # a doc_id that stands in several classes joins them
     several = member.groupBy("doc_id").agg(F.min("cid").alias("v"), F.max("cid").alias("w")).where("v < w").select("doc_id", "v")
     several = member.join(several, "doc_id").where("cid <> v").select(F.col("cid").alias("u"), "v")
-    tested = stored(pairs, "pairs")
-    links = stored(_verified(tested, docs, percent).unionByName(several), "links")
+    links = stored(_verified(pairs, sets, percent).unionByName(several), "links")
     parts = stored(connected_components(links), "parts")
 
-    for turn in ("leaders", "all"):
-        marked = (live.join(parts.withColumnRenamed("node", "cid"), "cid", "left")
-                  .select("key", "cid", "n", F.coalesce("component", "cid").alias("component")))
-        mixed = marked.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"),
-                                          F.max("cid").alias("lead")).where("c0 < c1").select("key", "lead")
-        open_ = stored(marked.join(mixed, "key"), "open")
-        other = open_.where("cid = lead") if turn == "leaders" else open_
-        other = other.select("key", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        once = F.col("cid") != F.col("b") if turn == "leaders" else F.col("cid") < F.col("b")
-        pairs = (open_.join(other, "key").where(once & (F.col("component") != F.col("cb")))
-                 .withColumnRenamed("n", "na").where(_fitting(percent))
-                 .select(F.greatest("cid", "b").alias("a"), F.least("cid", "b").alias("b")).distinct())
-        pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            continue
-        tested = tested.unionByName(pairs)
-        new = stored(_verified(pairs, docs, percent), "links")
-        links = links.unionByName(new)
-        if not new.isEmpty():
-            parts = stored(connected_components(links), "parts")
+    marked = (live.join(parts.withColumnRenamed("node", "cid"), "cid", "left")
+              .select("key", "cid", F.coalesce("component", "cid").alias("component")))
+    mixed = marked.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("key")
+    open_ = stored(marked.join(mixed, "key", "left_semi").select("cid", "component").distinct(), "open")
+    new = stored(_verified(_prefix_pairs(open_, sets, percent), sets, percent), "links")
+    if not new.isEmpty():
+        parts = stored(connected_components(links.unionByName(new)), "parts")
 
     final = member.join(parts.withColumnRenamed("node", "cid"), "cid", "left")
     # one node may stand in several classes when doc_ids repeat
