@@ -17,8 +17,8 @@ from .suffix_array import common_prefixes, suffix_array
 
 GRAM = 200                      # bytes of a string that must not start twice
 SEEDS = (32, 150, 190, GRAM)    # bytes of the substring that names a shard key, level by level
-HOT_BYTES = 1 << 20             # different bytes under one key beyond which the next seed splits it
-SHARD_BYTES = 4 << 20           # bytes of one suffix array, about
+HOT_BYTES = 1 << 19             # different bytes under one key beyond which the next seed splits it
+SHARD_BYTES = 1 << 19           # bytes of one suffix array, about: larger ones outgrow the processor cache
 UNITS = "id1 long, id2 long, start int, length int, key long, content long, weight long, again boolean"
 
 

@@ -35,7 +35,7 @@ def _induce(s: np.ndarray, smaller: np.ndarray, k: int, lms: np.ndarray) -> np.n
     bucket or of this one.  A whole bucket is placed at once; predecessors in
     the same bucket make the next wave.
     """
-    n = len(s)
+    n, s = len(s), s.astype(np.uint16, copy=False)  # a short type, whose stable sort is by radix
     count = np.bincount(s, minlength=k)
     tail = np.cumsum(count)
     head = tail - count
@@ -43,7 +43,7 @@ def _induce(s: np.ndarray, smaller: np.ndarray, k: int, lms: np.ndarray) -> np.n
     sa = np.full(n, -1, np.int32)
     n_lms = np.bincount(s[lms], minlength=k)
     at = tail - n_lms
-    _scatter(sa, at.copy(), s[lms].astype(np.int64), lms, 1)
+    _scatter(sa, at.copy(), s[lms], lms, 1)
     present = np.flatnonzero(count)
 
     fill = head.copy()
@@ -57,11 +57,11 @@ def _induce(s: np.ndarray, smaller: np.ndarray, k: int, lms: np.ndarray) -> np.n
             prev = wave[wave > 0] - 1
             prev = prev[~smaller[prev]]
             if len(prev):
-                _scatter(sa, fill, s[prev].astype(np.int64), prev, 1)
+                _scatter(sa, fill, s[prev], prev, 1)
         wave = sa[own_end - n_lms[c]:own_end]
         prev = wave[wave > 0] - 1
         if len(prev):
-            _scatter(sa, fill, s[prev].astype(np.int64), prev, 1)
+            _scatter(sa, fill, s[prev], prev, 1)
 
     fill = tail - 1
     sa[0] = n - 1
@@ -74,39 +74,45 @@ def _induce(s: np.ndarray, smaller: np.ndarray, k: int, lms: np.ndarray) -> np.n
             prev = wave[wave > 0] - 1
             prev = prev[smaller[prev] & (s[prev] <= c)]
             if len(prev):
-                _scatter(sa, fill, s[prev].astype(np.int64), prev, -1)
+                _scatter(sa, fill, s[prev], prev, -1)
         wave = sa[head[c]:head[c] + larger[c]][::-1]
         prev = wave[wave > 0] - 1
         prev = prev[smaller[prev]]
         if len(prev):
-            _scatter(sa, fill, s[prev].astype(np.int64), prev, -1)
+            _scatter(sa, fill, s[prev], prev, -1)
     return sa
 
 
 def _induce_large(s: np.ndarray, smaller: np.ndarray, k: int, lms: np.ndarray) -> np.ndarray:
-    """The same for large alphabets, whose buckets hold a few suffixes each."""
-    n, text, small = len(s), s.tolist(), smaller.tolist()
-    count = np.bincount(s, minlength=k)
-    ends = np.cumsum(count)
-    sa = [-1] * n
-    tail = ends.tolist()
-    for i in reversed(lms.tolist()):
-        tail[text[i]] -= 1
-        sa[tail[text[i]]] = i
-    head = (ends - count).tolist()
+    """The same for large alphabets, whose buckets hold a few suffixes each:
+    a scan over lists.  before[i] is the symbol before i if that position is of
+    the type the scan places, else -1, as it is for an empty place (-1)."""
+    n = len(s)
+    ends = np.cumsum(np.bincount(s, minlength=k))
+    start = np.full(n, -1, np.int64)
+    chars = s[lms]
+    _scatter(start, ends - np.bincount(chars, minlength=k), chars, lms.astype(np.int64), 1)
+    sa = start.tolist()
+
+    before = np.full(n + 1, -1, np.int64)
+    before[1:n][~smaller[:-1]] = s[:-1][~smaller[:-1]]
+    before, at = before.tolist(), (ends - np.bincount(s, minlength=k)).tolist()
     for i in sa:  # it grows ahead of the scan
-        if i > 0 and not small[i - 1]:
-            c = text[i - 1]
-            sa[head[c]] = i - 1
-            head[c] += 1
-    tail = ends.tolist()
-    for r in range(n - 1, -1, -1):
-        i = sa[r]
-        if i > 0 and small[i - 1]:
-            c = text[i - 1]
-            tail[c] -= 1
-            sa[tail[c]] = i - 1
-    tail[text[n - 1]] = 0
+        c = before[i]
+        if c >= 0:
+            place = at[c]
+            sa[place] = i - 1
+            at[c] = place + 1
+
+    before = np.full(n + 1, -1, np.int64)
+    before[1:n][smaller[:-1]] = s[:-1][smaller[:-1]]
+    before, at = before.tolist(), (ends - 1).tolist()
+    for i in reversed(sa):
+        c = before[i]
+        if c >= 0:
+            place = at[c]
+            sa[place] = i - 1
+            at[c] = place - 1
     sa[0] = n - 1
     return np.array(sa, np.int32)
 
