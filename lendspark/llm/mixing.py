@@ -80,7 +80,7 @@ def _choice(rows: DataFrame, weights, most: int) -> DataFrame:
     # a source without a boundary has nothing left to fill
     choice = plan.join(edge, _same("source", "s"), "left").select(
         F.col("source").alias("s"), "source_size", "target", "epochs", F.coalesce("threshold", F.lit(0)).alias("threshold"))
-    return choice
+    return stored(choice, "choice")  # its stored size tells the planner that it is small, so texts stay where they are
 
 
 def _sized(docs: DataFrame) -> DataFrame:
