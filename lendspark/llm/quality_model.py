@@ -18,6 +18,7 @@ NGRAMS = (3, 4)
 FRESH, AGAIN = BUCKETS, BUCKETS + 1  # marks of word pairs that are new in a text, or repeat there
 EPOCHS, BATCH, RATE, SEED = 6, 32, 0.5, 11
 CUT = 0.7
+PART = 100                  # training texts whose features are found together
 
 
 def text_features(p: Points) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -38,13 +39,18 @@ def text_features(p: Points) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _counted(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(vector numbers, shares, bounds): the different features of each text and their share of it."""
-    p = Points(texts)
-    found = list(text_features(p))
-    ids, text = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-    pair, count = np.unique(text * (BUCKETS + 2) + ids, return_counts=True)
-    text, ids = pair // (BUCKETS + 2), pair % (BUCKETS + 2)
-    total = np.bincount(text, count, p.n)
-    return ids, (count / total[text]).astype(np.float32), np.searchsorted(text, np.arange(p.n + 1))
+    parts, sizes = [], []
+    for lo in range(0, len(texts), PART):  # code points are wide, so few texts are open at a time
+        p = Points(texts[lo:lo + PART])
+        found = list(text_features(p))
+        ids, text = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        pair, count = np.unique(text * (BUCKETS + 2) + ids, return_counts=True)
+        text, ids = pair // (BUCKETS + 2), pair % (BUCKETS + 2)
+        total = np.bincount(text, count, p.n)
+        parts.append((ids.astype(np.int32), (count / total[text]).astype(np.float32)))
+        sizes.append(np.bincount(text, minlength=p.n))
+    bound = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)
+    return np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts]), bound
 
 
 def fit(texts: list[str], y: np.ndarray) -> tuple[np.ndarray, float]:

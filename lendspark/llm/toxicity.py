@@ -19,6 +19,7 @@ GRADES = 4           # 0 none, 1 to 3 by how much of a toxic text is toxic wordi
 FEATURES = 4096      # at most so many features get a weight
 LEAST_Z, LEAST_TEXTS = 3.5, 3
 STEPS, RATE, DECAY = 400, 0.05, 1e-3
+PART = 100           # training texts whose features are found together
 SEVERE = 0.5         # expected severity from which a text counts as toxic
 
 
@@ -51,12 +52,14 @@ def grades_of(toxic: np.ndarray, density: np.ndarray) -> np.ndarray:
 def fit(texts: list[str], toxic: np.ndarray) -> dict:
     """chosen features, one weight each, and the ordered thresholds that share
     them: P(grade > k) = logistic(w.x - threshold k), x = log(1 + occurrences)."""
-    p = Points([t.lower() for t in texts])
+    n_texts = len(texts)
+    parts = lambda: ((lo, Points([t.lower() for t in texts[lo:lo + PART]])) for lo in range(0, n_texts, PART))
     held = [np.zeros(BUCKETS), np.zeros(BUCKETS)]
-    for ids, text in text_features(p):
-        pair = np.unique(text * BUCKETS + ids)
-        for c in (0, 1):
-            held[c] += np.bincount(pair[toxic[pair // BUCKETS] == c] % BUCKETS, minlength=BUCKETS)
+    for lo, p in parts():  # code points are wide, so few texts are open at a time
+        for ids, text in text_features(p):
+            pair = np.unique(text * BUCKETS + ids)
+            for c in (0, 1):
+                held[c] += np.bincount(pair[toxic[lo + pair // BUCKETS] == c] % BUCKETS, minlength=BUCKETS)
     n = [max(1, int((toxic == c).sum())) for c in (0, 1)]
     with np.errstate(divide="ignore"):
         odds = [np.log(np.minimum(held[c], n[c]) + 0.5) - np.log(np.maximum(n[c] - held[c], 0) + 0.5) for c in (0, 1)]
@@ -66,9 +69,13 @@ def fit(texts: list[str], toxic: np.ndarray) -> dict:
     best = best[z[best] > 0]
     chosen = np.full(BUCKETS, -1, np.int64)
     chosen[best] = np.arange(len(best))
-    text, ids, count = _counts(p, chosen)
-    words = np.maximum(np.bincount(p.text, minlength=p.n), 1)
-    grade = grades_of(toxic, np.bincount(text, count, p.n) / words)
+    found, words = [], np.ones(n_texts)
+    for lo, p in parts():
+        text, ids, count = _counts(p, chosen)
+        found.append((lo + text, ids, count))
+        words[lo:lo + p.n] = np.maximum(np.bincount(p.text, minlength=p.n), 1)
+    text, ids, count = (np.concatenate([f[k] for f in found]) for k in range(3))
+    grade = grades_of(toxic, np.bincount(text, count, n_texts) / words)
 
     x, k = np.log1p(count), np.arange(GRADES - 1)
     w, low = np.zeros(max(len(best), 1)), np.log((toxic == 0).sum() + 1) - np.log((toxic == 1).sum() + 1)
@@ -78,8 +85,8 @@ def fit(texts: list[str], toxic: np.ndarray) -> dict:
     low = np.array([float(low)])
     for step in range(1, STEPS + 1):
         cuts = low + np.concatenate([[0], np.cumsum(np.exp(gaps))])
-        s = np.bincount(text, w[ids] * x, p.n)
-        err = (1 / (1 + np.exp(-np.clip(s[:, None] - cuts, -60, 60))) - above) / p.n
+        s = np.bincount(text, w[ids] * x, n_texts)
+        err = (1 / (1 + np.exp(-np.clip(s[:, None] - cuts, -60, 60))) - above) / n_texts
         grads = (np.bincount(ids, err.sum(1)[text] * x, len(w)) + DECAY * w / 10, np.array([-err.sum()]),
                  -np.exp(gaps) * np.array([err[:, g + 1:].sum() for g in range(GRADES - 2)]))
         for v, g, (m1, m2) in zip((w, low, gaps), grads, state):
