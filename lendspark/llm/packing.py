@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -19,6 +20,7 @@ from .common import spread, stored
 LENGTH = 2048
 END_ID = 0                # follows each document
 SHARD_PIECES = 50_000     # pieces that one task packs together; each leaves a few part-filled sequences
+LONG_SPACE = re.compile(r"\s{65536}")  # the pattern of rank files backtracks over white space, with a stack of a million
 COLUMNS = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -32,11 +34,14 @@ class TokenBytes:
 
     A .json vocabulary is read by tokenizers, a .tiktoken file of the same
     vocabulary's ranks by tiktoken, which gives the same ids several times
-    faster.  Strings that look like special tokens are ordinary text.
+    faster; a text with a very long run of white space, which its pattern
+    cannot take, is read by the .json beside it.  Strings that look like
+    special tokens are ordinary text.
     """
 
     def __init__(self, path: str):
-        if path.endswith(".json"):
+        self.ranks, self.path = not path.endswith(".json"), path
+        if not self.ranks:
             os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
             from tokenizers import Tokenizer
             self.tokenizer = Tokenizer.from_file(path)
@@ -47,11 +52,11 @@ class TokenBytes:
             with open(path, "rb") as lines:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
             self.tokenizer = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.ranks = not path.endswith(".json")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.ranks:
-            return [np.array(self.tokenizer.encode_ordinary(t), "<u4").tobytes() for t in texts]
+            return [encoder(self.path.removesuffix(".tiktoken") + ".json").encode([t])[0] if len(t) >= 65536 and LONG_SPACE.search(t)
+                    else np.array(self.tokenizer.encode_ordinary(t), "<u4").tobytes() for t in texts]
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 

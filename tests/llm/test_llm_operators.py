@@ -169,6 +169,13 @@ def test_packing(docs, rows):
         assert at <= 2048
 
 
+def test_both_vocabulary_files_give_the_same_ids():
+    import public_tokenizers
+    ranks, json = (packing.encoder(public_tokenizers.path(f"byte_bpe_50k.{kind}")) for kind in ("tiktoken", "json"))
+    for text in (" " * 1_100_000, "\n" * 1_100_000 + "y", "x" + " " * 66_000 + "y", "a" * 70_000, "<|endoftext|>", "é漢 12'll\u200b\t", ""):
+        assert ranks.encode([text]) == json.encode([text])
+
+
 def test_best_fit_takes_the_tightest_bin():
     r = random.Random(5)
     lengths = sorted((r.randint(1, 64) for _ in range(500)), reverse=True)
