@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,7 @@ NAME_PARTS = {"password": 3.0, "passwd": 3.0, "passphrase": 3.0, "pwd": 2.5, "pa
 HARMLESS_PARTS = {"name", "file", "path", "url", "uri", "field", "length", "size", "count", "type", "policy", "expiry", "ttl", "public", "hint", "label", "id"}
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|your\W.*|.*change.?me.*|.*example.*|.*placeholder.*|none|null|true|false|undefined|todo.*|<.*>|\$\{.*|\{\{.*)$")
 THRESHOLD = 4.0
+VALUE_MOST = 4096  # characters of constants that one value may take in, and of a bare word: longer ones are data
 
 _OPERATOR = re.compile(r"=>|:=|(?<![=!<>+*/%&|^-])=(?![=~])|:(?!:)")
 _NAME_BEFORE = re.compile(r"""(?:["'`\]]|\[\s*["'])?([A-Za-z_$][A-Za-z0-9_$.-]*)["'`]?\s?\]?(?:\s*:\s*[A-Za-z_][\w.<>\[\]]*)?[ \t]*\Z""")
@@ -53,27 +55,47 @@ def literal_score(value: str) -> float:
     if len(value) < 6 or PLACEHOLDER.match(value):
         return -10.0
     n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in (value.count(x) for x in set(value)))
-    kinds = sum(any(f(c) for c in value) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    return min(n, 32) / 16 + entropy / 2 + 0.5 * (kinds - 1) - 1.5 * any(c.isspace() for c in value) - 1.5 * value.isalpha() - (value.isdigit() and n < 10)
+    counts = Counter(value)
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    kinds = sum(any(map(f, counts)) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
+    return min(n, 32) / 16 + entropy / 2 + 0.5 * (kinds - 1) - 1.5 * any(map(str.isspace, counts)) - 1.5 * value.isalpha() - (value.isdigit() and n < 10)
 
 
-def _value(text: str, at: int, known: dict[str, str]) -> tuple[str, int, int] | None:
+def _value(text: str, at: int, known: dict[str, str], bare: list[int]) -> tuple[str, int, int] | None:
     """(constant value, start, end) of the expression at ``at``: string
-    literals, names of constants and bare words, joined by concatenation."""
-    out, start, end = [], None, at
+    literals, names of constants and bare words, joined by concatenation.
+    Constants are put in up to VALUE_MOST characters in all, and stay as
+    written beyond, so values that double line by line cannot grow without
+    end.  bare: [start, end] of the bare run last met, as many operators may
+    stand in one run; a run longer than VALUE_MOST is no value."""
+    out, start, end, room = [], None, at, VALUE_MOST
+
+    def put(name: str, written: str) -> str:
+        nonlocal room
+        value = known.get(name, written)
+        if value is not written and len(value) > room:
+            return written
+        room -= len(value) if value is not written else 0
+        return value
+
+    def reference(r: re.Match) -> str:
+        return put(next(g for g in r.groups() if g), r[0])
     while True:
         if m := _STRING.match(text, end):
             body, a, b = m[1][1:-1], m.start(1) + 1, m.end(1) - 1
-            out.append(_REFERENCE.sub(lambda r: known.get(next(g for g in r.groups() if g), r[0]), body))
+            out.append(_REFERENCE.sub(reference, body))
             stop = m.end()
         elif (m := _IDENTIFIER.match(text, end)) and m[0] in known:
-            out.append(known[m[0]])
+            out.append(put(m[0], m[0]))
             a, b = m.span()
             stop = b
-        elif start is None and (m := _BARE.match(text, end)):
-            body = _REFERENCE.sub(lambda r: known.get(next(g for g in r.groups() if g), r[0]), m[0])
-            return body, m.start(), m.end()
+        elif start is None:
+            if not bare[0] <= end < bare[1]:
+                m = _BARE.match(text, end)
+                bare[:] = m.span() if m else (0, 0)
+            if not bare[0] <= end < bare[1] or bare[1] - end > VALUE_MOST:
+                return None
+            return _REFERENCE.sub(reference, text[end:bare[1]]), end, bare[1]
         else:
             break
         start, last = a if start is None else start, b
@@ -92,17 +114,19 @@ def lexed(text: str) -> list[tuple[int, int, str, float]]:
     from earlier names is scored as the text it stands for, at its own place.
     """
     known: dict[str, str] = {}
-    out, done = [], 0
+    out, done, floor, bare = [], 0, 0, [0, 0]
     for op in _OPERATOR.finditer(text):
         if op.start() < done:
             continue
-        line = max(text.rfind("\n", 0, op.start()) + 1, op.start() - 256, done)  # names are shorter
+        line = max(text.rfind("\n", floor, op.start()) + 1, op.start() - 256, floor, done)  # names are shorter
+        if op[0] != ":":
+            floor = op.end()  # a name holds no such operator
         if not (m := _NAME_BEFORE.search(text, line, op.start())):
             continue
         at = op.end()
         while at < len(text) and text[at] in " \t":
             at += 1
-        if at >= len(text) or not (v := _value(text, at, known)):
+        if at >= len(text) or not (v := _value(text, at, known, bare)):
             continue
         value, a, b = v
         if text[a - 1:a] in "\"'`" or op[0] != ":":
@@ -110,8 +134,7 @@ def lexed(text: str) -> list[tuple[int, int, str, float]]:
         if text[a - 1:a] in "\"'`":
             done = b  # an operator inside a string is no assignment
         strength = name_score(m[1])
-        score = strength + literal_score(value)
-        if strength >= 2.0 and score >= THRESHOLD:
+        if strength >= 2.0 and (score := strength + literal_score(value)) >= THRESHOLD:
             out.append((a, b, m[1], round(score, 3)))
     return out
 
@@ -163,7 +186,8 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     Kinds assign, access and hex are fixed patterns.  lexed are the literals
     that assignments in source or configuration syntax give to sensitive names,
-    with constants propagated within the text.  Rows alone, whole texts,
+    with constants propagated within the text (a bare word over VALUE_MOST
+    characters is data, not a literal).  Rows alone, whole texts,
     without a shuffle.  Null or empty text has none; repeated rows give
     repeated results; other columns are ignored; an empty table gives no rows.
     """

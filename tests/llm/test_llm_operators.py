@@ -247,6 +247,16 @@ def test_secrets_base_and_lexed(spark):
     assert not got[8]["spans"] and not got[9]["spans"]     # prose, and a harmless name
 
 
+def test_lexer_on_hostile_texts():
+    """Doubling constants, thousands of operators in one run of characters, many different characters."""
+    doubled = 'x = "ab"\n' + "x = x + x\n" * 60 + 'y = "${x}"\n' + 'y = "${y}${y}"\n' * 60 + 'secret_key = "sk_" + "9fQ2kLm8Zz"\n'
+    assert [doubled[a:b] for a, b, *_ in secrets.lexed(doubled)] == ['sk_" + "9fQ2kLm8Zz']
+    wide = "".join(map(chr, range(0x4E00, 0x4E00 + 8000)))
+    for text in ("a=" * 200_000, "a:" * 200_000, f'token = "{wide * 5}"'):
+        secrets.lexed(text)
+    assert secrets.lexed("token=" + "9fQ2kLm8" * 4)[0][:2] == (6, 38)
+
+
 def _labelled_accuracy(out, labels, column, value):
     both = out.where("held_out").select("doc_id", "predicted").join(labels, "doc_id").select("predicted", F.col(column).alias("y")).collect()
     right = [r["predicted"] == r["y"] for r in both if r["y"] == value]
