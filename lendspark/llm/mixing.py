@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
-LEVEL_BITS, LEVELS = 15, 4  # 60 bits of hash, 32768 buckets a source and level
+LEVEL_BITS, LEVELS = 12, 5  # 60 bits of hash, 4096 buckets a source and level
 MOST = 3                    # a source fills at most this many times its own size
 
 
@@ -100,7 +100,7 @@ def mix_sources(docs: DataFrame, weights=(1, 2, 3), most: int = MOST) -> DataFra
     document on the boundary is taken if that brings the sum nearer.  A
     threshold grows with its budget, so the choice for a smaller budget is part
     of that for a larger one.  Documents are never sorted or gathered: sums are
-    partial aggregates, windows run over at most 32768 buckets a source.
+    partial aggregates, windows run over at most 4096 buckets a source.
 
     Null text has size 0; null source is a source, the last; rows with the same
     doc_id share one hash and are chosen together; a source of size 0 has
