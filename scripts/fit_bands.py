@@ -1,0 +1,45 @@
+"""Measures DOCUMENT_FIT and CHUNK_FIT of lendspark/llm/quality_rules.py.
+
+    python scripts/fit_bands.py [SF_DIR]
+
+Rows: quality 1, base rules passed, outside the held-out part (crc32(doc_id) % 4 == 2).
+"""
+
+import sys
+import zlib
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import zstandard
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from lendspark.llm import quality_rules as q  # noqa: E402
+from lendspark.llm.features import HELD_OUT  # noqa: E402
+
+
+def clean_texts(sf_dir: str) -> list[bytes]:
+    docs = pq.read_table(f"{sf_dir}/documents.parquet", columns=["doc_id", "text"])
+    labels = pq.read_table(f"{sf_dir}/labels.parquet", columns=["doc_id", "quality"]).to_pydict()
+    good = {i for i, y in zip(labels["doc_id"], labels["quality"]) if y == 1 and zlib.crc32(str(i).encode()) % 4 != HELD_OUT}
+    docs = docs.filter(pa.array([i in good for i in docs["doc_id"].to_pylist()]))
+    batches = docs.combine_chunks().to_batches()
+    failed = [x for b in q._measure(iter(batches)) for x in b.column("base_failed").to_pylist()]
+    return [t.encode() for t, f in zip(docs["text"].to_pylist(), failed) if not f]
+
+
+def fit(texts: list[bytes]) -> tuple[dict[int, tuple[float, float]], tuple[float, float]]:
+    press = zstandard.ZstdCompressor(level=q.LEVEL, write_content_size=False, write_checksum=False)
+    n = np.array([len(t) for t in texts])
+    ratio, at = n / np.array([len(press.compress(t)) for t in texts]), q.half_octave(n)
+    chunk = np.concatenate([r[size == q.CHUNK] for r, size in (q.chunk_ratios(press, t) for t in texts if len(t) > q.CHUNK)])
+    both = lambda x: (round(float(x.mean()), 4), round(float(x.std(ddof=1)), 4))
+    return {g: both(ratio[at == g]) for g in np.unique(at).tolist() if (at == g).sum() >= q.FIT_ROWS}, both(chunk)
+
+
+if __name__ == "__main__":
+    texts = clean_texts((sys.argv[1:] or ["/root/testdata/sf0.1"])[0])
+    documents, chunk = fit(texts)
+    print(f"# {len(texts)} texts\nDOCUMENT_FIT = {documents}\nCHUNK_FIT = {chunk}")
