@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 import struct
@@ -35,8 +36,9 @@ class TokenBytes:
     A .json vocabulary is read by tokenizers, a .tiktoken file of the same
     vocabulary's ranks by tiktoken, which gives the same ids several times
     faster; a text with a very long run of white space, which its pattern
-    cannot take, is read by the .json beside it.  Strings that look like
-    special tokens are ordinary text.
+    cannot take, is read by the .json beside it.  As is the default of
+    tokenizers, a text is split at the vocabulary's added tokens, which the
+    .json lists, and each is its one id.
     """
 
     def __init__(self, path: str):
@@ -45,18 +47,30 @@ class TokenBytes:
             os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
             from tokenizers import Tokenizer
             self.tokenizer = Tokenizer.from_file(path)
-            self.tokenizer.encode_special_tokens = True
         else:
             import public_tokenizers
             import tiktoken
             with open(path, "rb") as lines:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-            self.tokenizer = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self.added = {}
+            if os.path.exists(self._json()):
+                with open(self._json(), encoding="utf-8") as words:
+                    self.added = {t["content"]: t["id"] for t in json.load(words)["added_tokens"]}
+            ranks = {token: rank for token, rank in ranks.items() if rank not in self.added.values()}
+            self.tokenizer = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.added)
+
+    def _json(self) -> str:
+        return self.path.removesuffix(".tiktoken") + ".json"
+
+    def _ids(self, text: str) -> list[int]:
+        if any(t in text for t in self.added):
+            return self.tokenizer.encode(text, allowed_special="all")
+        return self.tokenizer.encode_ordinary(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.ranks:
-            return [encoder(self.path.removesuffix(".tiktoken") + ".json").encode([t])[0] if len(t) >= 65536 and LONG_SPACE.search(t)
-                    else np.array(self.tokenizer.encode_ordinary(t), "<u4").tobytes() for t in texts]
+            return [encoder(self._json()).encode([t])[0] if len(t) >= 65536 and LONG_SPACE.search(t)
+                    else np.array(self._ids(t), "<u4").tobytes() for t in texts]
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 

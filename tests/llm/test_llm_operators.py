@@ -176,6 +176,18 @@ def test_both_vocabulary_files_give_the_same_ids():
         assert ranks.encode([text]) == json.encode([text])
 
 
+def test_ids_are_those_of_an_unmodified_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mine = packing.encoder(packing.vocabulary())
+    end = "<|endoftext|>"
+    for text in (f"a {end} b", end, end * 3, f"{end}  x\n {end}\n", f" \t {end}é", "<|endoftext", "<|endoftext |>", "|>" + end + "<|", f"x{end}" + " " * 66_000 + "y", "plain"):
+        want = reference.encode(text, add_special_tokens=False).ids
+        assert mine.encode([text])[0] == np.array(want, "<u4").tobytes()
+    assert 50256 in reference.encode(f"a {end} b", add_special_tokens=False).ids
+
+
 def test_best_fit_takes_the_tightest_bin():
     r = random.Random(5)
     lengths = sorted((r.randint(1, 64) for _ in range(500)), reverse=True)
