@@ -22,13 +22,14 @@ def held_out(doc_id="doc_id"):
 
 def labelled(docs: DataFrame, labels: DataFrame, target: str, rows: int = TRAIN_ROWS) -> DataFrame:
     """(text, y) of at most ``rows`` labelled documents outside the held-out
-    part, chosen by a hash of the id.  The ids are bounded by ``rows``, so
-    they are broadcast and no text is shuffled but the chosen ones."""
+    part, chosen by a hash of the id, one row an id: the least of its texts.
+    The ids are bounded by ``rows``, so they are broadcast and no text is
+    shuffled but the chosen ones; a repeated id is one row after each task."""
     chosen = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(target).cast("int").alias("y"))
               .where(F.col("y").isin(0, 1) & ~held_out()).groupBy("doc_id").agg(F.max("y").alias("y"))
               .orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(rows))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y")
 
 
 class Points:

@@ -7,15 +7,15 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
-from .features import Points
+from .features import Points, point_chunks
 
-TRAIN_ROWS = 4000       # documents that the text likelihoods are fitted on, at most
+MOST_LANGUAGES = 500    # more distinct values of lang are refused: the model has a row for each
 BUCKETS = 1 << 14
 NGRAMS = (1, 2, 3)
 TEMPER = 0.1            # overlapping n-grams are far from independent evidence
@@ -36,19 +36,34 @@ def _ngrams(p: Points) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([(h % BUCKETS).astype(np.int64) for h, _ in parts]), np.concatenate([t for _, t in parts])
 
 
-def fit(texts: list[str], lang: list[str]) -> tuple[list[str], np.ndarray]:
-    """(languages, log probability of each n-gram bucket in each), add-one smoothed."""
-    names = sorted(set(lang))
-    ids, text = _ngrams(Points([t.lower() for t in texts]))
-    at = np.array([names.index(x) for x in lang])[text]
-    count = np.bincount(at * BUCKETS + ids, minlength=len(names) * BUCKETS).reshape(len(names), BUCKETS) + 1.0
-    return names, np.log(count / count.sum(1, keepdims=True)).astype(np.float32)
+def _counts(names: list[str]):
+    """(language number, bucket, n) of the n-grams in the texts of a task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(names) * BUCKETS, np.int64)
+        for batch in batches:
+            at = pc.index_in(batch.column("lang"), pa.array(names, batch.schema.field("lang").type)).to_numpy(zero_copy_only=False).astype(np.int64)
+            for i, _, p in point_chunks(batch, lower=True):
+                ids, text = _ngrams(p)
+                total += np.bincount(at[i + text] * BUCKETS + ids, minlength=len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some // BUCKETS), pa.array(some % BUCKETS), pa.array(total[some])], names=["at", "bucket", "n"])
+    return run
 
 
-def _fit_task(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("doc_id")
-    names, table = fit(pdf["text"].tolist(), pdf["lang"].tolist())
-    return pd.DataFrame({"names": [names], "table": [table.astype("<f4").tobytes()]})
+def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
+    """(languages, log probability of each n-gram bucket in each), add-one
+    smoothed, from all rows of docs(text, lang) that have both.  Counts are
+    plain sums: each task gives one for each language and bucket it met."""
+    rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
+    names = sorted(r[0] for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
+    if len(names) > MOST_LANGUAGES:
+        raise ValueError(f"lang has more than {MOST_LANGUAGES} distinct values")
+    count = np.ones((len(names), BUCKETS))
+    if names:
+        sums = rows.mapInArrow(_counts(names), "at long, bucket long, n long").groupBy("at", "bucket").agg(F.sum("n").alias("n")).toArrow()
+        at, bucket, n = (sums.column(c).to_numpy() for c in ("at", "bucket", "n"))
+        count[at, bucket] += n
+    return names, np.log(count / count.sum(1, keepdims=True)).astype(np.float32)
 
 
 def _likelihoods(spread_model):
@@ -81,13 +96,13 @@ def _sums(df: DataFrame, key: list, n: int, name: str) -> DataFrame:
     return rows.select(*key, F.array(*[F.col(f"s{k}") for k in range(n)]).alias(name))
 
 
-def identify(pages: DataFrame, docs: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """(page_id, lang, posterior, text_lang, declared, host, suffix) for each row of pages(page_id, url, html, ...).
 
     Evidence, multiplied: the likelihood of the page's visible text under
-    n-gram models of each language, fitted on at most ``rows`` rows of
-    docs(doc_id, text, lang); the chance that a page of that language declares
-    what this one's markup does; and the host's prior.  Priors and chances come from
+    n-gram models of each language, fitted on all rows of docs(text, lang);
+    the chance that a page of that language declares what this one's markup
+    does; and the host's prior.  Priors and chances come from
     grouped sums of text posteriors over all pages: a host's counts are
     smoothed by those of its address suffix, these by those of all pages, and
     a page's own share is taken out of its host's counts first.  Sums are
@@ -98,23 +113,19 @@ def identify(pages: DataFrame, docs: DataFrame, rows: int = TRAIN_ROWS) -> DataF
     suffix (none), markup without a language declares none.  Ties go to the
     first language by name.  Repeated rows give repeated results, other
     columns are ignored; no pages give no rows, no labelled documents the
-    language null.
+    language null; more than MOST_LANGUAGES languages are refused.
     """
     spark = pages.sparkSession
-    chosen = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-              .where("doc_id is not null and lang is not null").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(rows))
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null").join(
-        F.broadcast(chosen), "doc_id")
-    model = sample.groupBy(F.lit(0).alias("g")).applyInPandas(_fit_task, "names array<string>, table binary").first()
+    names, table = fit(docs)
+    n = len(names)
     host = F.coalesce(F.lower(F.regexp_extract(F.col("url").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)", 1)), F.lit(""))
     given = F.coalesce(F.lower(F.regexp_extract(F.col("html").cast("string"), r"""(?is)<html\b[^>]*?\s(?:xml:)?lang\s*=\s*["']?([A-Za-z]{2,3})""", 1)), F.lit(""))
     rows_ = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), given.alias("declared"), F.col("html").cast("string").alias("html"))
     rows_ = rows_.select("page_id", "host", F.when(F.col("host").rlike(r"^[0-9.]*$"), "").otherwise(F.substring_index("host", ".", -1)).alias("suffix"), "declared", "html")
-    if model is None:
+    if not names:
         none = F.lit(None).cast("string")
         return rows_.select("page_id", none.alias("lang"), F.lit(None).cast("double").alias("posterior"), none.alias("text_lang"), "declared", "host", "suffix")
-    names, n = list(model["names"]), len(model["names"])
-    spread = spark.sparkContext.broadcast((names, np.frombuffer(model["table"], "<f4").reshape(n, BUCKETS)))
+    spread = spark.sparkContext.broadcast((names, table))
     base = stored(rows_.mapInArrow(_likelihoods(spread), "page_id long, host string, suffix string, declared string, log array<double>")
                   .withColumn("post", _normal(F.col("log"))), "pages")
 

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from lendspark.llm import (common, exact_dedup, language_id, mixing, near_dedup, packing, quality_model, quality_rules,
+from lendspark.llm import (common, exact_dedup, features, language_id, mixing, near_dedup, packing, quality_model, quality_rules,
                            secrets, substring_dedup, suffix_array, toxicity)
 
 SF = "/root/testdata/sf0.001"
@@ -320,6 +320,26 @@ def test_language_id(spark):
     assert language_id.identify(odd, docs.limit(0)).where("lang is null").count() == 4
 
 
+def test_language_models_hold_all_labelled_rows(spark):
+    """A language of one document among thousands, and an id with rows in two languages."""
+    late = max(range(9000), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    rows = [(i, "zwqx zwqx kvjz" if i == late else "plain words of prose", "zz" if i == late else "en") for i in range(9000)]
+    both = [(9001, "el perro grande", "es"), (9001, "der große hund", "de")] * 3
+    docs = spark.createDataFrame(rows + both, "doc_id long, text string, lang string").repartition(3)
+    pages = spark.createDataFrame([(1, None, "zwqx kvjz " * 20), (2, None, "perro grande " * 20), (3, None, "große hund " * 20)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text_lang"] for r in language_id.identify(pages, docs).collect()}
+    assert got == {1: "zz", 2: "es", 3: "de"}
+    many = spark.range(language_id.MOST_LANGUAGES + 1).select(F.lit("x").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError):
+        language_id.identify(pages, many)
+
+
+def test_labelled_sample_has_one_row_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(3, "other")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (3, 0)], "doc_id long, quality int")
+    assert sorted(map(tuple, features.labelled(docs, labels, "quality").collect())) == [(1, "text 0", 1), (3, "other", 0)]
+
+
 def test_empty_tables(spark, docs):
     none, labels = docs.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     pages = spark.createDataFrame([], "page_id long, url string, html string")
