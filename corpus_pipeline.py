@@ -16,6 +16,9 @@ from lendspark.llm.common import documents
 from lendspark.session import ensure_checkpoint_dir
 
 
+NEAR_PERCENT = 80  # similarity on five-word shingles; the query op1_near_dedup has its own
+
+
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return quality_rules.keep_good(docs)
@@ -27,8 +30,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the smallest doc_id."""
-    return _kept(docs, near_dedup.near_duplicates(docs))
+    """One document of each group of near duplicates, linked from NEAR_PERCENT on: the smallest doc_id."""
+    return _kept(docs, near_dedup.near_duplicates(docs, NEAR_PERCENT))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

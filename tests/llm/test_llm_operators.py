@@ -361,6 +361,17 @@ def test_pipeline_stages(spark, docs, rows):
     assert len(rows) > rules > exact > near > 0
 
 
+def test_near_stage_links_from_80_percent(spark):
+    import corpus_pipeline
+    base = [f"w{k}" for k in range(400)]
+    other = list(base)
+    for at in (50, 100, 150, 200, 250, 300, 350, 390):  # 356 of 436 shingles shared: 0.817
+        other[at] = "x"
+    df = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(other))], "doc_id long, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.near(spark, df, "").collect()] == [1]
+    assert near_dedup.near_duplicates(df).where("kept").count() == 2
+
+
 def test_registered():
     names = set(E.queries())
     assert {f"op{n}_" for n in range(1, 11)} <= {m[0] for n in names if (m := re.match(r"op\d+_", n))} and "pipeline" in names
