@@ -372,6 +372,77 @@ def test_near_stage_links_from_80_percent(spark):
     assert near_dedup.near_duplicates(df).where("kept").count() == 2
 
 
+def _mixed(rows):
+    """(doc_id, times) of rows (doc_id, text, source), in plain Python."""
+    whole, hashed = Counter(), defaultdict(Counter)
+    for i, t, s in rows:
+        h = int(hashlib.md5(str("null" if i is None else i).encode()).hexdigest()[:15], 16)
+        whole[s] += len(WORD.findall(t))
+        hashed[s][h] += len(WORD.findall(t))
+    names = sorted(whole, key=lambda s: (s is None, s or ""))
+    open_, target, rest = {s: k % 3 + 1 for k, s in enumerate(names)}, {}, sum(whole.values())
+    while open_:
+        level = rest / sum(open_.values())
+        for s in [s for s in open_ if level * open_[s] > 3 * whole[s]] or list(open_):
+            target[s] = min(3 * whole[s], level * open_.pop(s))
+        rest = sum(whole.values()) - sum(target.values())
+    out = Counter()
+    for s in names:
+        left, more = target[s] % whole[s], set()
+        for h in sorted(hashed[s]):
+            size = hashed[s][h]
+            if size <= left or left > size - left:
+                more.add(h)
+            if size > left:
+                break
+            left -= size
+        for i, _, source in rows:
+            if source == s:
+                out[i] += int(target[s] // whole[s]) + (int(hashlib.md5(str("null" if i is None else i).encode()).hexdigest()[:15], 16) in more)
+    return +out
+
+
+def test_pipeline_run_against_a_plain_chain(spark, docs, rows, tmp_path, monkeypatch):
+    import corpus_pipeline
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "ensure_checkpoint_dir", lambda spark: str(tmp_path))
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    at = next(tmp_path.glob("corpus-*"))
+    got = [Counter(r[0] for r in spark.read.parquet(f"{at}/{k}").select("doc_id").collect()) for k in range(4)]
+
+    verdict = {(r["doc_id"], r["n_words"]): r["kept"] for r in quality_rules.quality_rules(docs).collect()}
+    now = [(i, t, s) for i, t, _, s, *_ in rows if verdict[i, len(WORD.findall(t or ""))]]
+    assert got[0] == Counter(i for i, *_ in now)
+
+    best = {}
+    for i, t, _ in now:
+        key = re.sub(r"[\x20\x09-\x0D]", "", t)
+        best[key] = min(best.get(key, (1, True, 0, None)), (-len(t), i is None, i or 0, i))
+    stay = {i for i, t, _ in now if best[re.sub(r"[\x20\x09-\x0D]", "", t)][3] == i}
+    now = [r for r in now if r[0] in stay]
+    assert got[1] == Counter(i for i, *_ in now)
+
+    sets, root = dict(_sets(now)), {i: i for i, *_ in now}
+    ids = sorted(i for i in sets if i is not None)
+    for a in ids:
+        for b in ids:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    now = [r for r in now if r[0] is None or root[r[0]] == r[0]]
+    assert got[2] == Counter(i for i, *_ in now)
+    assert got[3] == _mixed(now)
+    assert Counter(r["doc_id"] for r in packed.where("piece = 0").collect()) == got[3]
+
+
+@pytest.mark.parametrize("column, value", [("quality", 0), ("toxic", 1)])
+def test_classifiers_find_the_hard_class(spark, column, value):
+    docs, labels = common.documents(spark, "/root/testdata/sf0.01"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    out = quality_model.quality_scores(docs, labels) if column == "quality" else toxicity.toxicity(docs, labels)
+    recall = _labelled_accuracy(out, labels, column, value)
+    assert recall > 0.5
+
+
 def test_registered():
     names = set(E.queries())
     assert {f"op{n}_" for n in range(1, 11)} <= {m[0] for n in names if (m := re.match(r"op\d+_", n))} and "pipeline" in names
