@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (exact_dedup, language_id, mixing, near_dedup, packing, quality_model, quality_rules, secrets,
-               substring_dedup, toxicity)
+from . import (decontamination, exact_dedup, language_id, mixing, near_dedup, packing, periodic_runs, quality_model, quality_rules,
+               secrets, substring_dedup, toxicity, whitening)
 from .common import documents
 
 
@@ -53,11 +53,46 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(documents(spark, sf_dir)))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.repeat_tails(documents(spark, sf_dir))))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_toxicity, op3_quality_model, op4_language_id, op5_quality_rules, op6_mixing, op7_packing,
-    op8_substring_dedup, op9_exact_dedup, op10_secrets)}
+    op8_substring_dedup, op9_exact_dedup, op10_secrets, op11_periodic_runs, op12_decontamination, op13_whitening)}
 
 ORACLE = {
+    "op12_decontamination": r"""
+with d as (
+  select row_number() over () as key, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from documents),
+b as (
+  select cast(item_id as varchar) as item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from benchmark),
+w as (
+  select distinct item_id, least(len(words), 10) as size, array_to_string(words[i:i + 9], ' ') as piece
+  from (select *, unnest(range(1, greatest(len(words) - 8, 2))) as i from b where len(words) > 0)),
+p as (
+  select key, i, size, array_to_string(words[i:i + size - 1], ' ') as piece
+  from (select key, words, size, unnest(range(1, len(words) - size + 2)) as i
+        from d, (select distinct size from w) where len(words) >= size)),
+m as (select key, i, p.size, item_id from p join w on p.size = w.size and p.piece = w.piece),
+h as (select key, count(distinct place) as hit from (select key, unnest(range(i, i + size)) as place from m) group by key),
+t as (select key, list_sort(list(distinct item_id)) as items from m where item_id is not null group by key)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(hit, 0) as n_hit, cast(coalesce(len(items), 0) as bigint) as n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) as items_sha256, coalesce(hit, 0) > 0 as contaminated
+from d left join h using (key) left join t using (key)
+""",
     "op9_exact_dedup": r"""
 with t as (
   select doc_id, length(coalesce(text, '')) as n_points,
