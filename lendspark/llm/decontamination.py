@@ -16,12 +16,16 @@ from .common import stored
 
 WINDOW = 10   # words of a passage
 BLOCK = 512   # places of a text that are indexed together
-WORD = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # what stands between words: A-Z become a-z
 
 
 def _words(text: Column) -> Column:
-    lower = F.translate(F.coalesce(text.cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.regexp_extract_all(lower, F.lit(WORD), F.lit(1))
+    spaced = F.trim(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), BETWEEN, " "))
+    return _split(F.translate(spaced, string.ascii_uppercase, string.ascii_lowercase))
+
+
+def _split(text: Column) -> Column:
+    return F.filter(F.split(text, " "), lambda w: w != "")  # no words: one empty string
 
 
 # ------------------------------------------------------------ test passages
@@ -52,7 +56,7 @@ def passages(benchmark: DataFrame, window: int = WINDOW) -> Passages:
 
 @dataclass
 class Index:
-    blocks: DataFrame    # (key, doc_id, n_words, block, words): BLOCK words of a text and the next ``reach``
+    blocks: DataFrame    # (key, doc_id, n_words, block, text): BLOCK words of a text and the next ``reach``, joined by a space
     postings: DataFrame  # (id, key, block, place): every place of a test term in a block
     reach: int
 
@@ -64,9 +68,10 @@ def build_index(docs: DataFrame, terms: DataFrame, reach: int = WINDOW - 1) -> I
     check; beyond it the join of a frequent term is split by adaptive execution."""
     words = docs.select(F.monotonically_increasing_id().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), _words(F.col("text")).alias("words"))
     block = F.explode(F.sequence(F.lit(0), F.floor(F.greatest(F.size("words") - 1, F.lit(0)) / BLOCK).cast("int")))
+    part = F.array_join(F.slice("words", F.col("block") * BLOCK + 1, F.lit(BLOCK + reach)), " ")
     blocks = stored(words.select("key", "doc_id", F.size("words").cast("long").alias("n_words"), "words", block.alias("block"))
-                    .withColumn("words", F.slice("words", F.col("block") * BLOCK + 1, F.lit(BLOCK + reach))), "blocks")
-    places = blocks.select("key", "block", F.posexplode("words").alias("place", "term"))
+                    .select("key", "doc_id", "n_words", "block", part.alias("text")), "blocks")
+    places = blocks.select("key", "block", F.posexplode(F.split("text", " ")).alias("place", "term"))
     return Index(blocks, stored(places.join(terms, "term").select("id", "key", "block", "place"), "postings"), reach)
 
 
@@ -109,7 +114,7 @@ def search(index: Index, found: Passages, slop: int = 0) -> DataFrame:
     # what is left is compared on the words themselves, all candidates of a block at once
     at = "place" if slop else "start"
     by_block = both.groupBy("key", "block").agg(F.collect_list(F.struct("win", "size", F.col(at).alias("at"))).alias("near"))
-    text = index.blocks.select("key", "block", "words").join(by_block, ["key", "block"])
+    text = index.blocks.select("key", "block", "text").join(by_block, ["key", "block"]).withColumn("words", F.split("text", " "))
     if not slop:
         pieces = F.expr("transform(near, c -> struct(c.win as win, c.size as size, c.at as start, slice(words, c.at + 1, c.size) as piece))")
         cut = text.select("key", "block", F.inline(pieces))

@@ -205,7 +205,8 @@ def repeat_tails(docs: DataFrame) -> DataFrame:
     joined by one space; all others, and rows with a null doc_id, stay.
     """
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    spaced = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
+    words = F.when(spaced != "", F.split(spaced, " "))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = rows.withColumn("h", h).withColumn("words", F.when(F.col("h") % 10 == 0, words)) \
         .withColumn("n", F.expr("nullif(greatest(size(words), 0), 0)")).withColumn("g", F.floor(F.col("h") / 10)) \
