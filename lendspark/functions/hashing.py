@@ -34,3 +34,9 @@ def hash_normal(key: Column, seed: int, mean: float = 0.0, std: float = 1.0) ->
 def hash_fold(key: Column, seed: int, k: int) -> Column:
     """Fold id in [0, k) for cross-validation / splits."""
     return F.pmod(F.xxhash64(key.cast("string"), F.lit(int(seed)), F.lit(7)), F.lit(int(k))).cast("int")
+
+
+def md5_bits(text: Column, digits: int = 15) -> Column:
+    """The first ``digits`` hex digits (4 bits each, 15 at most) of md5(text) as
+    a bigint: the one hash here that SQL engines share."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("bigint")

@@ -2,8 +2,8 @@
 calibration, scoring, importances and persistence.
 
 Training and scoring are distributed (Spark ML GBT / IsotonicRegression);
-splits are exact and deterministic (hash order + distributed rank), not
-``rand()``, so they survive recomputation after an executor loss.
+splits are exact and deterministic (md5 order up to a quota), not ``rand()``,
+so they survive recomputation after an executor loss.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import json
 import os
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_fold
 from .features import INCOME_ESTIMATION_FEATURES, LEAD_SCORING_FEATURES, materialize
 from .income import assign_confidence_band, income_deviation
-from .stats import global_rank
+from .splits import random_split, stratified_split
 
 SEED = 42
 
@@ -38,12 +39,13 @@ class GBTParams:
     subsampling_rate: float = 0.8
     feature_subset: str = "0.8"
     min_instances_per_node: int = 10
-    validation_tol: float = 0.001
-    # Spark's early stopping halts at the first non-improving round (no
-    # patience), which on small validation slices stops after a few trees;
-    # off by default, available when the validation slice is large.
-    early_stopping: bool = False
-    training_partitions: int | None = None  # default: the cluster's parallelism
+    # Early stopping: a tenth of the training rows (never test rows) is kept
+    # apart, and the trees after the best round on them are dropped; a better
+    # round counts only if none of the ``patience`` rounds before it was
+    # without improvement.  None keeps every tree and trains on all rows.
+    patience: int | None = 10
+    validation_folds: int = 10
+    training_partitions: int = 8
     parallelism: int = 4  # concurrent fits (base + calibration folds)
     extra: dict = field(default_factory=dict)
 
@@ -58,38 +60,57 @@ def available_features(df: DataFrame, wanted: list[str]) -> tuple[list[str], lis
 # splits
 # ---------------------------------------------------------------------------
 
-def training_layout(df: DataFrame, partitions: int | None = None, key: str = "customer_id") -> DataFrame:
+def training_layout(df: DataFrame, partitions: int, key: str = "customer_id") -> DataFrame:
     """Deal a training frame by key over a stated number of partitions, each in
     key order.  Boosting draws its subsamples per partition, so with this
-    layout the fitted model does not depend on how the input was split.
-    ``partitions`` defaults to the cluster's parallelism."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n, key).sortWithinPartitions(key)
+    layout the fitted model depends neither on how the input was split nor on
+    the cluster's size."""
+    return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
-def _hash_order(key: str, seed: int):
-    return F.xxhash64(F.col(key).cast("string"), F.lit(seed))
-
-
-def random_split(df: DataFrame, test_fraction: float = 0.2, seed: int = SEED, key: str = "customer_id",
-                 out: str = "is_test") -> DataFrame:
-    """Exactly ceil(f·n) rows go to test, chosen in hash order of ``key``."""
-    r = global_rank(df.withColumn("_h", _hash_order(key, seed)), [F.col("_h"), F.col(key)], "_r")
-    n = df.agg(F.count(F.lit(1)).alias("_n"))
-    j = r.crossJoin(F.broadcast(n))
-    return j.withColumn(out, F.col("_r") <= F.ceil(F.col("_n") * test_fraction)).drop("_h", "_r", "_n")
-
+# ---------------------------------------------------------------------------
+# early stopping
+# ---------------------------------------------------------------------------
 
-def stratified_split(df: DataFrame, label: str, test_fraction: float = 0.2, seed: int = SEED,
-                     key: str = "customer_id", out: str = "is_test") -> DataFrame:
-    """Per class, the first round(f·n_class) rows in hash order go to test.
-    Classes are ranked with the distributed rank (a class may hold most rows)."""
-    r = global_rank(df.withColumn("_h", _hash_order(key, seed)), [F.col(label), F.col("_h"), F.col(key)], "_r")
-    st = r.groupBy(label).agg(F.min("_r").alias("_start"), F.count(F.lit(1)).alias("_nc"))
-    st = st.withColumnRenamed(label, "_class")  # one row per class; NULL is a class
-    j = r.join(st, F.col(label).eqNullSafe(F.col("_class"))).drop("_class")
-    pos = F.col("_r") - F.col("_start")
-    return j.withColumn(out, pos < F.floor(F.col("_nc") * test_fraction + 0.5)).drop("_h", "_r", "_start", "_nc")
+def best_round(errors: list[float], patience: int) -> int:
+    """How many rounds to keep: up to the least error seen before ``patience``
+    rounds in a row bring no lower one (the earliest of equal ones)."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_trees(model, count: int):
+    """The boosted model of the first ``count`` trees of ``model``."""
+    if count >= model.getNumTrees:
+        return model
+    sc, old = SparkContext._active_spark_context, model._java_obj
+    ml, all_trees, all_weights = sc._jvm.org.apache.spark.ml, old.trees(), old.treeWeights()
+    trees = sc._gateway.new_array(ml.regression.DecisionTreeRegressionModel, count)
+    weights = sc._gateway.new_array(sc._jvm.double, count)
+    for i in range(count):
+        trees[i], weights[i] = all_trees[i], float(all_weights[i])
+    new = ml.classification.GBTClassificationModel(old.uid(), trees, weights, old.numFeatures(), 2) \
+        if isinstance(model, GBTClassificationModel) \
+        else ml.regression.GBTRegressionModel(old.uid(), trees, weights, old.numFeatures())
+    old.copyValues(new, old.extractParamMap())
+    return type(model)(new)
+
+
+def fit_with_patience(gbt, train: DataFrame, validation: DataFrame | None, patience: int | None):
+    """Fit on ``train``; keep the trees up to the best round on ``validation``
+    (loss after each round, one distributed pass).  Without validation rows,
+    or with patience None, every tree is kept."""
+    model = gbt.fit(train)
+    if patience is None or validation is None or validation.isEmpty():
+        return model
+    errors = model.evaluateEachIteration(validation) if isinstance(model, GBTClassificationModel) \
+        else model.evaluateEachIteration(validation, "squared")
+    return first_trees(model, best_round(list(errors), patience))
 
 
 # ---------------------------------------------------------------------------
@@ -155,18 +176,27 @@ def _assembler(cols):
 
 
 def _fit_gbt_classifier(train: DataFrame, cols, label, params: GBTParams, weight: str | None,
-                        validation: str | None) -> PipelineModel:
+                        validation: str) -> PipelineModel:
+    """``validation`` marks the training rows that early stopping keeps apart."""
     gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=params.max_iter, maxDepth=params.max_depth,
                         stepSize=params.step_size, subsamplingRate=params.subsampling_rate,
                         featureSubsetStrategy=params.feature_subset,
-                        minInstancesPerNode=params.min_instances_per_node, validationTol=params.validation_tol,
-                        seed=SEED, **params.extra)
+                        minInstancesPerNode=params.min_instances_per_node, seed=SEED, **params.extra)
     if weight:
         gbt.setWeightCol(weight)
-    if validation:
-        gbt.setValidationIndicatorCol(validation)
-    asm = _assembler(cols)
-    return PipelineModel(stages=[asm, gbt.fit(asm.transform(train))])
+    return _fit_stopped(gbt, _assembler(cols), train, params, validation)
+
+
+def _fit_stopped(gbt, asm: VectorAssembler, train: DataFrame, params: GBTParams, validation: str) -> PipelineModel:
+    rows = asm.transform(train)
+    if params.patience is None:
+        return PipelineModel(stages=[asm, gbt.fit(rows)])
+    model = fit_with_patience(gbt, rows.filter(~F.col(validation)), rows.filter(F.col(validation)), params.patience)
+    return PipelineModel(stages=[asm, model])
+
+
+def _validation_rows(params: GBTParams):
+    return hash_fold(F.col("customer_id"), SEED + 1, params.validation_folds) == 0
 
 
 def train_lead_model(features: DataFrame, label: str = "loan_converted", feature_cols=None,
@@ -174,7 +204,7 @@ def train_lead_model(features: DataFrame, label: str = "loan_converted", feature
     """Returns (model, test rows with calibrated probability, all rows scored).
 
     80/20 stratified split; positives weighted n_neg / max(n_pos, 1); early
-    stopping on a validation slice carved from the *training* rows (not the
+    stopping with patience on rows carved from the *training* rows (not the
     test rows); isotonic calibration on ``n_folds`` out-of-fold predictions,
     averaged as in cross-validated calibration.
     """
@@ -186,15 +216,15 @@ def train_lead_model(features: DataFrame, label: str = "loan_converted", feature
     counts = train.agg(F.sum("label").alias("p"), F.count(F.lit(1)).alias("n")).first()
     spw = (counts["n"] - counts["p"]) / max(counts["p"], 1)
     train = train.withColumn("_w", F.when(F.col("label") == 1, F.lit(float(spw))).otherwise(F.lit(1.0))) \
-                 .withColumn("_val", hash_fold(F.col("customer_id"), SEED + 1, 10) == 0)
+                 .withColumn("_val", _validation_rows(params))
     train = materialize(training_layout(train, params.training_partitions))
     fold = hash_fold(F.col("customer_id"), SEED + 2, n_folds)
 
     def fit_base():
-        return _fit_gbt_classifier(train, cols, "label", params, "_w", "_val" if params.early_stopping else None)
+        return _fit_gbt_classifier(train, cols, "label", params, "_w", "_val")
 
     def fit_fold(k):
-        g = _fit_gbt_classifier(train.filter(fold != k), cols, "label", params, "_w", None)
+        g = _fit_gbt_classifier(train.filter(fold != k), cols, "label", params, "_w", "_val")
         p = _positive_probability(g.transform(train.filter(fold == k)), "features_iso")
         iso = IsotonicRegression(featuresCol="features_iso", labelCol="label", isotonic=True).fit(p)
         return g, iso
@@ -235,20 +265,22 @@ def _model_inputs(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def train_income_model(features: DataFrame, target: str = "true_monthly_income", feature_cols=None,
                        params: GBTParams | None = None) -> tuple[PipelineModel, list[str], DataFrame]:
-    """GBT regressor (squared error) on an exact 80/20 hash split.  Returns
+    """GBT regressor (squared error) on an exact 80/20 hash split.
+    Early stopping as for the lead model.  Returns
     (model, features used, all rows with estimated_income, band, deviation,
     ``label`` and ``is_test``)."""
     params = params or GBTParams()
     cols, _ = available_features(features, feature_cols or INCOME_ESTIMATION_FEATURES)
     data = _model_inputs(features.drop("label"), cols).withColumn("label", F.col(target).cast("double"))
     data = materialize(random_split(data))
-    train = materialize(training_layout(data.filter(~F.col("is_test")), params.training_partitions))
+    train = materialize(training_layout(data.filter(~F.col("is_test")).withColumn("_val", _validation_rows(params)),
+                                        params.training_partitions))
     asm = _assembler([_X + c for c in cols])
     gbt = GBTRegressor(labelCol="label", featuresCol="features", maxIter=params.max_iter, maxDepth=params.max_depth,
                        stepSize=params.step_size, subsamplingRate=params.subsampling_rate,
                        featureSubsetStrategy=params.feature_subset,
                        minInstancesPerNode=params.min_instances_per_node, seed=SEED, **params.extra)
-    model = PipelineModel(stages=[asm, gbt.fit(asm.transform(train))])
+    model = _fit_stopped(gbt, asm, train, params, "_val")
     return model, cols, predict_income(model, data.drop(*[_X + c for c in cols]), true_col="label")
 
 

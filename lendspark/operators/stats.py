@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_normal, hash_uniform
 from ..functions.scalar import sigmoid
-from .features import materialize
+from .features import INTENT_FLAGS, materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | row index
 
@@ -222,61 +222,83 @@ def label_summary(labelled: DataFrame) -> DataFrame:
 # Intent categories that count as big-ticket spend.
 SCORECARD_INTENT = ["Auto_Dealer", "Real_Estate_Broker", "Wedding_Services", "Home_Improvement",
                     "Education", "Jewellery"]
+SCORECARD_INTENT_FLAGS = [name for category, name in INTENT_FLAGS if category in SCORECARD_INTENT]
 
 
 def scorecard_inputs(customers: DataFrame, txns: DataFrame) -> DataFrame:
     """customers ⟕ per-customer transaction facts with defaults
     (cv 0.3, EMI 0, spend 0, intent 0).  The facts come from the shared
     transaction aggregate, so this is one join on customer_id."""
-    from .features import INTENT_FLAGS, transaction_aggregates
+    from .features import transaction_aggregates
     a = txns if "credit_months" in txns.columns else transaction_aggregates(txns)
-    intent_cols = [name for cat, name in INTENT_FLAGS if cat in SCORECARD_INTENT]
     facts = a.select(
         "customer_id",
         F.when(F.col("credit_months") > 0,
                F.coalesce(F.col("credit_std"), F.lit(0.0))
                / F.when(F.col("credit_mean") == 0, F.lit(1.0)).otherwise(F.col("credit_mean"))).alias("_cv"),
         (F.coalesce(F.col("emi_sum"), F.lit(0.0)) / 12).alias("_emi"),
-        F.greatest(*[F.coalesce(F.col(c), F.lit(0)) for c in intent_cols]).alias("_intent"),
+        F.greatest(*[F.coalesce(F.col(c), F.lit(0)) for c in SCORECARD_INTENT_FLAGS]).alias("_intent"),
         F.coalesce(F.col("total_debit"), F.lit(0.0)).alias("_spend"))
     j = customers.join(facts, "customer_id", "left")
     return j.select(*customers.columns,
-                    F.coalesce(F.col("_cv"), F.lit(0.3)).alias("sc_cashflow_cv"),
+                    F.coalesce(F.col("_cv"), F.lit(DEFAULT_CV)).alias("sc_cashflow_cv"),
                     F.coalesce(F.col("_emi"), F.lit(0.0)).alias("sc_monthly_emi"),
                     F.coalesce(F.col("_intent"), F.lit(0)).alias("sc_has_intent"),
                     F.coalesce(F.col("_spend"), F.lit(0.0)).alias("sc_total_debit"))
 
 
-def scorecard_logit(cols=None) -> Column:
-    eng = F.col("digital_engagement_score")
-    cv = F.col("sc_cashflow_cv")
+# The scorecard's intercept and its terms, as (input, [(test,
+# limit, points), ...]); the first test that holds gives the points, none gives 0.
+SCORECARD_INTERCEPT = -4.5
+SCORECARD_TERMS = [
+    ("engagement", [(">", 0.75, 1.8), (">", 0.60, 0.8), (">", 0.45, 0.3), ("<", 0.25, -0.5)]),
+    ("cashflow_cv", [("<", 0.10, 1.2), ("<", 0.18, 0.5), (">", 0.35, -0.8)]),
+    ("emi_ratio", [("<", 0.05, 0.8), ("<", 0.15, 0.3), (">", 0.35, -1.0)]),
+    ("has_intent", [(">", 0, 0.7)]),
+    ("income", [(">", 180_000, 0.4), ("<", 25_000, -0.5)]),
+    ("occupation", [("=", "salaried", 0.4), ("=", "gig_worker", -0.3)]),
+    ("tenure", [(">", 60, 0.3), ("<", 12, -0.4)]),
+    ("city_tier", [("=", "Tier 1", 0.2)]),
+]
+DEFAULT_CV = 0.3  # of a customer without credits
+
+
+def _emi_ratio(income: Column, emi: Column) -> Column:
+    return F.when(income > 0, emi / income).otherwise(F.lit(0.0))
+
+
+def scorecard_logit(cv: Column, emi: Column, intent: Column) -> Column:
+    """The scorecard's logit over customer columns and three transaction facts."""
     income = F.col("true_monthly_income")
-    ratio = F.when(income > 0, F.col("sc_monthly_emi") / income).otherwise(F.lit(0.0))
-    tenure = F.col("tenure_months")
-    terms = [
-        F.lit(-4.5),
-        F.when(eng > 0.75, 1.8).when(eng > 0.60, 0.8).when(eng > 0.45, 0.3).when(eng < 0.25, -0.5).otherwise(0.0),
-        F.when(cv < 0.10, 1.2).when(cv < 0.18, 0.5).when(cv > 0.35, -0.8).otherwise(0.0),
-        F.when(ratio < 0.05, 0.8).when(ratio < 0.15, 0.3).when(ratio > 0.35, -1.0).otherwise(0.0),
-        F.when(F.col("sc_has_intent") > 0, 0.7).otherwise(0.0),
-        F.when(income > 180_000, 0.4).when(income < 25_000, -0.5).otherwise(0.0),
-        F.when(F.col("occupation") == "salaried", 0.4).when(F.col("occupation") == "gig_worker", -0.3).otherwise(0.0),
-        F.when(tenure > 60, 0.3).when(tenure < 12, -0.4).otherwise(0.0),
-        F.when(F.col("city_tier") == "Tier 1", 0.2).otherwise(0.0),
-    ]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
+    inputs = {"engagement": F.col("digital_engagement_score"), "cashflow_cv": cv, "emi_ratio": _emi_ratio(income, emi),
+              "has_intent": intent, "income": income, "occupation": F.col("occupation"), "tenure": F.col("tenure_months"),
+              "city_tier": F.col("city_tier")}
+    holds = {">": lambda c, v: c > v, "<": lambda c, v: c < v, "=": lambda c, v: c == v}
+    total = F.lit(SCORECARD_INTERCEPT)
+    for name, tests in SCORECARD_TERMS:
+        points = F
+        for test, limit, value in tests:
+            points = points.when(holds[test](inputs[name], limit), value)
+        total = total + points.otherwise(0.0)
     return total
 
 
+def scorecard_score(features: DataFrame, out: str = "lead_score") -> DataFrame:
+    """``out`` = the scorecard's probability in percent (1 dp), from the feature
+    matrix: no further read of transactions.  A customer without credits
+    counts with the default variation."""
+    intent = F.greatest(*[F.coalesce(F.col(name), F.lit(0)) for name in SCORECARD_INTENT_FLAGS])
+    cv = F.when(F.col("monthly_credit_mean") == 0, F.lit(DEFAULT_CV)).otherwise(F.col("cashflow_cv"))
+    p = sigmoid(scorecard_logit(cv, F.col("avg_monthly_emi"), intent))
+    return features.withColumn(out, F.round(p * 100, 1))
+
+
 def rule_scorecard(customers: DataFrame, txns: DataFrame, seed: int = 42) -> DataFrame:
     """customer_id, conversion_probability, loan_converted, cashflow_cv,
     existing_emi_ratio (the label columns the customer table receives)."""
     x = scorecard_inputs(customers, txns)
-    income = F.col("true_monthly_income")
-    ratio = F.when(income > 0, F.col("sc_monthly_emi") / income).otherwise(F.lit(0.0))
-    p = sigmoid(scorecard_logit())
+    ratio = _emi_ratio(F.col("true_monthly_income"), F.col("sc_monthly_emi"))
+    p = sigmoid(scorecard_logit(F.col("sc_cashflow_cv"), F.col("sc_monthly_emi"), F.col("sc_has_intent")))
     return x.select("customer_id",
                     F.bround(p, 4).alias("conversion_probability"),
                     (hash_uniform(F.col("customer_id"), seed, 3) < p).cast("int").alias("loan_converted"),

@@ -149,11 +149,34 @@ def with_features(body: str) -> str:
     return sql_views() + FEATURE_CTES + "\n" + body
 
 SCORED_CTES = """
+, f_ols as (
+  select occupation, grouping(occupation) as all_rows, count(*) as n,
+         coalesce(regr_slope(true_monthly_income, monthly_credit_mean), 0) as slope,
+         coalesce(regr_intercept(true_monthly_income, monthly_credit_mean), avg(true_monthly_income)) as intercept
+  from f_matrix where cast('0x' || substr(md5(cast(customer_id as varchar)), 1, 8) as bigint) % 5 <> 0
+  group by rollup (occupation))
+, f_logit as (
+  select *, -4.5e0
+    + case when digital_engagement_score > 0.75 then 1.8e0 when digital_engagement_score > 0.60 then 0.8e0
+           when digital_engagement_score > 0.45 then 0.3e0 when digital_engagement_score < 0.25 then -0.5e0 else 0 end
+    + case when cv < 0.10 then 1.2e0 when cv < 0.18 then 0.5e0 when cv > 0.35 then -0.8e0 else 0 end
+    + case when emi_r < 0.05 then 0.8e0 when emi_r < 0.15 then 0.3e0 when emi_r > 0.35 then -1.0e0 else 0 end
+    + case when greatest(has_auto_spend, has_realestate_spend, has_wedding_spend, has_education_spend,
+                         has_home_improvement_spend, has_jewellery_spend) > 0 then 0.7e0 else 0 end
+    + case when true_monthly_income > 180000 then 0.4e0 when true_monthly_income < 25000 then -0.5e0 else 0 end
+    + case when occupation = 'salaried' then 0.4e0 when occupation = 'gig_worker' then -0.3e0 else 0 end
+    + case when tenure_months > 60 then 0.3e0 when tenure_months < 12 then -0.4e0 else 0 end
+    + case when city_tier = 'Tier 1' then 0.2e0 else 0 end as logit
+  from (select *, case when monthly_credit_mean = 0 then 0.3e0 else cashflow_cv end as cv,
+               case when true_monthly_income > 0 then avg_monthly_emi / true_monthly_income else 0 end as emi_r from f_matrix) m)
 , f_scored0 as (
-  select m.*, round(true_monthly_income * (0.70 + 0.05 * (customer_id % 13)), 4) as estimated_income,
-         cast(customer_id * 37 % 1000 as double) / 10 as lead_score,
-         case when (customer_id * 17 % 100) < (customer_id * 37 % 1000) / 20 then 1 else 0 end as loan_converted
-  from f_matrix m)
+  select m.* exclude (cv, emi_r, logit),
+         round(greatest(coalesce(o.intercept, a.intercept) + coalesce(o.slope, a.slope) * monthly_credit_mean, 0), 2) as estimated_income,
+         round(100 / (1 + exp(-logit)), 1) as lead_score,
+         coalesce(v.loan_converted, 0) as loan_converted
+  from f_logit m left join (select * from f_ols where all_rows = 0) o on m.occupation is not distinct from o.occupation
+  cross join (select * from f_ols where all_rows = 1) a
+  left join v_conversions v on m.customer_id = v.customer_id)
 , f_scored1 as (
   select *,
          case when abs(estimated_income - true_monthly_income) / greatest(true_monthly_income, 1) * 100 < 10 then 'High'

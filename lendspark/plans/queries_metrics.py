@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from ..operators import income as inc
 from ..operators import metrics as mx
+from ..operators import stats as st
 from .catalog import register, round_cols
 from .oracle_sql import with_scored
-from .scored import scored
+from .scored import feature_matrix, scored
 
 RANK_CTE = """
 , f_rank as (select customer_id, lead_score, loan_converted,
@@ -106,6 +107,29 @@ def q_mape(spark, sf):
     return mx.percentage_errors(scored(spark, sf), "true_monthly_income", "estimated_income")
 
 
+@register("income_ols_baseline", with_scored(
+    "select coalesce(occupation, 'all') as fitted_on, n, round(slope, 6) as slope, round(intercept, 4) as intercept, "
+    "round_even(mape, 1) as mape_pct, held_out from f_ols left join (select occupation as o, count(*) as held_out, "
+    "avg(abs(true_monthly_income - estimated_income) / true_monthly_income) * 100 as mape from f_scored "
+    "where true_monthly_income > 1000 and cast('0x' || substr(md5(cast(customer_id as varchar)), 1, 8) as bigint) % 5 = 0 "
+    "group by rollup (occupation)) e on o is not distinct from occupation"))
+def q_income_ols(spark, sf):
+    """The regression lines behind estimated_income and their error on the customers they were not fitted on."""
+    fit = inc.fit_income_ols(feature_matrix(spark, sf).filter(inc.ols_training_rows()))
+    ape = F.abs(F.col("true_monthly_income") - F.col("estimated_income")) / F.col("true_monthly_income")
+    errors = (scored(spark, sf).filter(~inc.ols_training_rows() & (F.col("true_monthly_income") > 1000)).rollup("occupation")
+              .agg(F.count(F.lit(1)).alias("held_out"), F.bround(F.avg(ape) * 100, 1).alias("mape_pct"))
+              .withColumnRenamed("occupation", "_o"))
+    out = fit.join(errors, F.col("group").eqNullSafe(F.col("_o")), "left")
+    return round_cols(out.select(F.coalesce("group", F.lit("all")).alias("fitted_on"), "n", "slope",
+                                 F.round("intercept", 4).alias("intercept"), "mape_pct", "held_out"), ["slope"])
+
+
+@register("scorecard_score", with_scored("select customer_id, lead_score from f_scored"))
+def q_scorecard_score(spark, sf):
+    return st.scorecard_score(feature_matrix(spark, sf)).select("customer_id", "lead_score")
+
+
 @register("near_zero_exclusion", with_scored(
     "select count(*) filter (where true_monthly_income > 1000) as n_included, "
     "count(*) filter (where not (true_monthly_income > 1000)) as n_excluded from f_scored"))

@@ -1,5 +1,6 @@
-"""Model operators (§2.9, §2.11 tree attribution).  Rows-only checks in the
-driver (trained models are not SQL); invariants are asserted in tests."""
+"""Model operators (§2.9, §2.11 tree attribution).  Splits are checked by SQL;
+trained models are not SQL, so the driver checks their rows only and tests
+assert invariants."""
 
 from __future__ import annotations
 
@@ -12,7 +13,8 @@ from ..operators import models as md
 from ..operators import stats as st
 from ..operators import treeshap as ts
 from .catalog import register
-from .scored import feature_matrix, input_snapshot
+from .oracle_sql import with_scored
+from .scored import feature_matrix, input_snapshot, scored
 
 _MODELS: dict[tuple, object] = {}
 
@@ -51,12 +53,20 @@ def income(spark, sf):
     return _MODELS[k]
 
 
-@register("stratified_split")
+_HASH = "cast('0x' || substr(md5('42:' || cast(customer_id as varchar)), 1, 15) as bigint)"
+
+
+@register("stratified_split", with_scored(
+    "select customer_id, loan_converted, row_number() over (partition by loan_converted order by h) <= "
+    "floor(count(*) over (partition by loan_converted) * 0.2e0 + 0.5e0) as is_test "
+    f"from (select customer_id, loan_converted, {_HASH} as h from f_scored) t"))
 def q_stratified(spark, sf):
-    return md.stratified_split(labelled(spark, sf).select("customer_id", "loan_converted"), "loan_converted")
+    return md.stratified_split(scored(spark, sf).select("customer_id", "loan_converted"), "loan_converted")
 
 
-@register("random_split")
+@register("random_split", with_scored(
+    "select customer_id, row_number() over (order by h) <= ceil(count(*) over () * 0.2e0) as is_test "
+    f"from (select customer_id, {_HASH} as h from v_customers) t"))
 def q_random_split(spark, sf):
     return md.random_split(feature_matrix(spark, sf).select("customer_id"))
 

@@ -1,8 +1,8 @@
 """Driver tables → the library's input schemas.
 
 The driver ships TPC-H-like tables.  These four projections turn them into
-``transactions``, ``customers`` and ``behavioral_signals`` (plus a model-free
-``scored`` stand-in).  Each adapter exists twice: as a DataFrame plan (used by
+``transactions``, ``customers`` and ``behavioral_signals`` (plus the customers
+who converted).  Each adapter exists twice: as a DataFrame plan (used by
 the library) and as SQL text (used by the DuckDB oracle).  Only the columns
 each adapter needs are read, so the Parquet scans are pruned.
 """
@@ -110,18 +110,10 @@ def behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("period", "month"))
 
 
-def stand_in_predictions(df: DataFrame) -> DataFrame:
-    """Model-free stand-ins for lead score, income estimate and label.
-
-    Lets metric, band, underwriting and portfolio operators be checked
-    against SQL without a trained model.
-    """
-    k = F.col("customer_id")
-    return (df.withColumn("estimated_income",
-                          F.round(F.col("true_monthly_income") * ((F.lit(70) + F.lit(5) * (k % 13)) / F.lit(100)), 4))
-            .withColumn("lead_score", (k * 37 % 1000).cast("double") / 10)
-            .withColumn("loan_converted",
-                        F.when((k * 17 % 100) < (k * 37 % 1000) / 20, 1).otherwise(0)))
+def conversions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(customer_id, loan_converted = 1) of the customers with a sign-up event."""
+    ev = table(spark, sf_dir, "events").select("user_id", "event_type").filter(F.col("event_type") == "signup")
+    return ev.groupBy(F.col("user_id").alias("customer_id")).agg(F.lit(1).alias("loan_converted"))
 
 
 # ---------------------------------------------------------------------------
@@ -170,8 +162,12 @@ from events group by 1,2
 """
 
 
+SQL_CONVERSIONS = "select distinct user_id as customer_id, 1 as loan_converted from events where event_type = 'signup'"
+
+
 def sql_views() -> str:
-    """``WITH`` prefix defining the three input views."""
+    """``WITH`` prefix defining the input views."""
     return (f"with v_transactions as ({SQL_TRANSACTIONS}),\n"
             f"v_customers as ({SQL_CUSTOMERS}),\n"
-            f"v_behavior as ({SQL_BEHAVIOR})")
+            f"v_behavior as ({SQL_BEHAVIOR}),\n"
+            f"v_conversions as ({SQL_CONVERSIONS})")
