@@ -20,7 +20,7 @@ Plan shape (the point of this module):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip, month_bucket, nonzero
@@ -385,6 +385,41 @@ def _engagement_groups(behavior: DataFrame) -> DataFrame:
         F.sum("product_page_visits").alias("_sp"))
 
 
+def engagement_series(behavior: DataFrame) -> DataFrame:
+    """One row a customer: its behaviour rows as an array (month, e, c) sorted by
+    month, then engagement e, with c equal rows counted once, and the sums over
+    them.  Rows are combined by (customer, month, e) before they meet, so a
+    customer with very many rows sends one entry for each different pair."""
+    g = _engagement_groups(behavior)
+    entry = F.struct(F.col("month"), F.col("_e").cast("double").alias("e"), F.col("_c").alias("c"))
+    return g.groupBy("customer_id").agg(
+        F.sort_array(F.collect_list(entry)).alias("series"), F.sum("_c").alias("n_rows"),
+        F.sum(F.col("_c") * F.col("_e")).cast("double").alias("total_sum"),
+        *[F.sum(c).alias(c) for c in ("_sl", "_nl", "_se", "_ne", "_sv", "_nv", "_sp")])
+
+
+def first_rows_sum(series, count):
+    """Sum of e over the first ``count`` rows of a series, without expanding it."""
+    start = F.struct(count.cast("bigint").alias("left"), F.lit(0.0).alias("sum"))
+
+    def step(done, x):
+        taken = F.least(done["left"], x["c"])
+        return F.struct((done["left"] - taken).alias("left"), (done["sum"] + taken * F.coalesce(x["e"], F.lit(0.0))).alias("sum"))
+    return F.aggregate(series, start, step, lambda done: done["sum"])
+
+
+def row_positions(series: DataFrame) -> DataFrame:
+    """(customer_id, month, engagement, position): every behaviour row with its
+    1-based place in the customer's order; equal rows share the first place."""
+    placed = F.expr("""aggregate(series, cast(array() as array<struct<month:string,e:double,c:bigint,at:bigint>>), (done, x) -> concat(done,
+        array(struct(cast(x.month as string) as month, x.e as e, x.c as c,
+                     if(size(done) = 0, 1L, element_at(done, -1).at + element_at(done, -1).c) as at))))""")
+    month = next(f.dataType for f in series.schema["series"].dataType.elementType.fields if f.name == "month")
+    each = series.select("customer_id", F.inline(placed))
+    return each.select("customer_id", F.col("month").cast(month).alias("month"), F.col("e").alias("engagement"),
+                       F.col("at").alias("position"), F.explode(F.expr("sequence(1L, c)")).alias("_i")).drop("_i")
+
+
 def engagement_stats(behavior: DataFrame) -> DataFrame:
     """Per-customer means, product-view sum and half-split trend.
 
@@ -392,27 +427,15 @@ def engagement_stats(behavior: DataFrame) -> DataFrame:
     deterministic tie-break).  With n ≥ 6 rows the first n // 2 rows are
     compared with the rest: (mean₂ − mean₁) / max(mean₁, 1).
     """
-    g = _engagement_groups(behavior)
-    w_run = Window.partitionBy("customer_id").orderBy("month", "_e").rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy("customer_id")
-    g = (g.withColumn("_cum", F.sum("_c").over(w_run))
-          .withColumn("_n", F.sum("_c").over(w_all)))
-    half = F.floor(F.col("_n") / 2)
-    take = F.least(F.greatest(half - (F.col("_cum") - F.col("_c")), F.lit(0)), F.col("_c"))
-    a = g.groupBy("customer_id").agg(
-        (F.sum("_sl") / F.sum("_nl")).alias("avg_app_logins"),
-        (F.sum("_se") / F.sum("_ne")).alias("avg_emi_calc_views"),
-        (F.sum("_sv") / F.sum("_nv")).alias("avg_loan_page_visits"),
-        F.sum("_sp").alias("total_product_views"),
-        F.max("_n").alias("_n"),
-        F.sum(take * F.col("_e")).alias("_first_sum"),
-        F.sum(F.col("_c") * F.col("_e")).alias("_tot_sum"))
-    h = F.floor(F.col("_n") / 2)
-    m1 = F.col("_first_sum") / h
-    m2 = (F.col("_tot_sum") - F.col("_first_sum")) / (F.col("_n") - h)
-    trend = F.when(F.col("_n") >= 6, (m2 - m1) / F.greatest(m1, F.lit(1.0))).otherwise(F.lit(0.0))
-    return a.select("customer_id", "avg_app_logins", "avg_emi_calc_views", "avg_loan_page_visits",
-                    "total_product_views", F.bround(trend.cast("double"), 4).alias("engagement_trend"))
+    a = engagement_series(behavior)
+    n, h = F.col("n_rows"), F.floor(F.col("n_rows") / 2)
+    first = first_rows_sum(F.col("series"), h)
+    m1, m2 = first / h, (F.col("total_sum") - first) / (n - h)
+    trend = F.when(n >= 6, (m2 - m1) / F.greatest(m1, F.lit(1.0))).otherwise(F.lit(0.0))
+    return a.select("customer_id", (F.col("_sl") / F.col("_nl")).alias("avg_app_logins"),
+                    (F.col("_se") / F.col("_ne")).alias("avg_emi_calc_views"),
+                    (F.col("_sv") / F.col("_nv")).alias("avg_loan_page_visits"), F.col("_sp").alias("total_product_views"),
+                    F.bround(trend.cast("double"), 4).alias("engagement_trend"))
 
 
 def digital_engagement(behavior: DataFrame) -> DataFrame:
@@ -468,6 +491,15 @@ def transaction_features(txns: DataFrame, months: int = 12) -> DataFrame:
     return j.select("customer_id", *cols)
 
 
+def join_feature_groups(customers: DataFrame, groups: list[DataFrame]) -> DataFrame:
+    """customers ⟕ each feature group on customer_id, numeric NULL → 0.  Over
+    tables bucketed by customer_id alike, no join moves a row."""
+    out = customers
+    for g in groups:
+        out = out.join(g, "customer_id", "left")
+    return out.na.fill(0)
+
+
 def build_feature_matrix(customers: DataFrame, txns: DataFrame, behavior: DataFrame,
                          months: int = 12) -> DataFrame:
     """customers ⟕ transaction features ⟕ engagement on customer_id,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .stats import global_cumsum, global_rank, grouped_exact_median
+from .stats import global_cumsum, global_rank, grouped_median
 
 CUTOFFS = [5, 10, 15, 20, 25, 30, 50]
 
@@ -99,13 +99,14 @@ def class_weight(df: DataFrame, label: str = "loan_converted") -> DataFrame:
                    / F.greatest(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)), F.lit(1))).alias("scale_pos_weight"))
 
 
-def training_profile(df: DataFrame, label: str = "loan_converted", income: str = "true_monthly_income") -> DataFrame:
+def training_profile(df: DataFrame, label: str = "loan_converted", income: str = "true_monthly_income",
+                     median: str = "exact") -> DataFrame:
     a = df.agg(F.count(F.lit(1)).alias("n_rows"),
                F.count(F.when(F.col(label) == 1, 1)).alias("n_positive"),
                F.count(F.when(F.col(label) == 0, 1)).alias("n_negative"),
                F.bround(F.avg(label) * 100, 1).alias("base_rate_pct"),
                F.min(income).alias("income_min"), F.max(income).alias("income_max"))
-    med = grouped_exact_median(df, [], income, "income_median")
+    med = grouped_median(df, [], income, "income_median", median)
     return a.crossJoin(med)
 
 
@@ -120,13 +121,24 @@ def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
                     F.bround("r2_score", 4).alias("r2_score"))
 
 
-def percentage_errors(df: DataFrame, y: str, pred: str, min_y: float = 1000.0) -> DataFrame:
-    """MAPE and MdAPE (%) over rows with y > min_y; exact median."""
-    e = df.filter(F.col(y) > min_y).select((F.abs(F.col(y) - F.col(pred)) / F.col(y)).alias("_ape"))
-    mape = e.agg(F.avg("_ape").alias("_m"))
-    med = grouped_exact_median(e, [], "_ape", "_md")
-    return mape.crossJoin(med).select(F.bround(F.col("_m") * 100, 1).alias("mape_pct"),
-                                      F.bround(F.col("_md") * 100, 1).alias("mdape_pct"))
+def _absolute_percentage_errors(df: DataFrame, y: str, pred: str, min_y: float) -> DataFrame:
+    return df.filter(F.col(y) > min_y).select((F.abs(F.col(y) - F.col(pred)) / F.col(y)).alias("_ape"))
+
+
+def mape(df: DataFrame, y: str, pred: str, min_y: float = 1000.0) -> DataFrame:
+    """MAPE (%) over rows with y > min_y: one aggregate, no sort."""
+    return _absolute_percentage_errors(df, y, pred, min_y).agg(F.bround(F.avg("_ape") * 100, 1).alias("mape_pct"))
+
+
+def mdape(df: DataFrame, y: str, pred: str, min_y: float = 1000.0, median: str = "exact") -> DataFrame:
+    """MdAPE (%) over rows with y > min_y; ``median`` is exact or sketch (see stats.grouped_median)."""
+    e = _absolute_percentage_errors(df, y, pred, min_y)
+    return grouped_median(e, [], "_ape", "_md", median).select(F.bround(F.col("_md") * 100, 1).alias("mdape_pct"))
+
+
+def percentage_errors(df: DataFrame, y: str, pred: str, min_y: float = 1000.0, median: str = "exact") -> DataFrame:
+    """MAPE and MdAPE (%) over rows with y > min_y."""
+    return mape(df, y, pred, min_y).crossJoin(mdape(df, y, pred, min_y, median))
 
 
 def band_metrics(df: DataFrame, y: str, pred: str, band: str = "income_confidence_band") -> DataFrame:
@@ -141,3 +153,44 @@ def deviation_flag_rate(df: DataFrame, declared: str = "declared_monthly_income"
     dev = (F.col(declared) - F.col(pred)) / F.greatest(F.col(pred), F.lit(1.0)) * 100
     return df.agg(F.count(F.when(F.abs(dev) > 20, 1)).alias("n_flagged"),
                   F.bround(F.count(F.when(F.abs(dev) > 20, 1)) / F.count(F.lit(1)) * 100, 1).alias("pct_flagged"))
+
+
+# ---------------------------------------------------------------------------
+# metric documents
+# ---------------------------------------------------------------------------
+
+def lead_metrics_document(test: DataFrame, n_train, n_features, score: str = "lead_score", label: str = "loan_converted",
+                          base: DataFrame | None = None) -> DataFrame:
+    """One row with all fields of the lead model's metric document, over test
+    rows; the base rate is over ``base`` (all rows) where given.  n_train and
+    n_features are numbers or columns of literals."""
+    auc = roc_auc_and_ap(test, score, label).select(F.bround("roc_auc", 4).alias("roc_auc"),
+                                                    F.bround("average_precision", 4).alias("average_precision"))
+    cuts = conversion_at_cutoffs(test, score, label).agg(*[
+        F.max(F.when(F.col("cutoff_pct") == p, F.col("conversion_rate"))).alias(f"top_{p}pct") for p in CUTOFFS])
+    cuts = cuts.select(F.struct(*cuts.columns).alias("conversion_rate_simulation"))
+    n = test.agg(F.count(F.lit(1)).alias("n_test"))
+    one = auc.crossJoin(precision_at_top(test, 20, score, label)).crossJoin(base_rate(test if base is None else base, label))
+    return one.crossJoin(cuts).crossJoin(n).select(
+        "roc_auc", "average_precision", "precision_at_top20", "base_conversion_rate", "conversion_rate_simulation",
+        F.lit(n_train).cast("bigint").alias("n_train"), "n_test", F.lit(n_features).cast("bigint").alias("n_features"))
+
+
+BANDS = ["High", "Medium", "Low"]
+INCOME_DOCUMENT_COLUMNS = ["customer_id", "true_monthly_income", "estimated_income", "declared_monthly_income", "income_confidence_band"]
+
+
+def income_metrics_document(test: DataFrame, n_train, y: str = "true_monthly_income", pred: str = "estimated_income",
+                            median: str = "exact") -> DataFrame:
+    """One row with all fields of the income model's metric document, over test
+    rows.  A band without rows counts 0 and has no error."""
+    per = band_metrics(test, y, pred)
+    at = lambda c, b: F.max(F.when(F.col("income_confidence_band") == b, F.col(c)))
+    bands = per.agg(*[F.coalesce(at("n_customers", b), F.lit(0)).alias(f"n{b}") for b in BANDS], *[at("band_mape", b).alias(f"e{b}") for b in BANDS])
+    bands = bands.select(F.struct(*[F.col(f"n{b}").alias(b) for b in BANDS]).alias("confidence_band_distribution"),
+                         F.struct(*[F.col(f"e{b}").alias(b) for b in BANDS]).alias("confidence_band_mape"))
+    flagged = deviation_flag_rate(test).select(F.col("n_flagged").alias("income_deviation_flagged_n"),
+                                               F.col("pct_flagged").alias("income_deviation_flagged_pct"))
+    one = regression_metrics(test, y, pred).crossJoin(percentage_errors(test, y, pred, median=median)).crossJoin(bands)
+    n = test.agg(F.count(F.lit(1)).alias("n_test"))
+    return one.crossJoin(flagged).select("*", F.lit(n_train).cast("bigint").alias("n_train")).crossJoin(n)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import fmt_currency, fmt_fixed, fmt_percent, title_from_snake, unit_scale
 from . import metrics as mx
-from .stats import global_rank, grouped_exact_median
+from .stats import global_rank, grouped_median
 from .underwriting import PRE_QUALIFIED
 
 ALL = "All"
@@ -193,19 +193,16 @@ def sorted_distinct_options(df: DataFrame, col: str) -> DataFrame:
     return all_row.unionByName(r.select("option", "position"))
 
 
-def profile_income_by_occupation(df: DataFrame, income: str = "true_monthly_income") -> DataFrame:
+def profile_income_by_occupation(df: DataFrame, income: str = "true_monthly_income", median: str = "exact") -> DataFrame:
     a = df.groupBy("occupation").agg(F.avg(income).alias("mean_income"), F.count(F.lit(1)).alias("n"))
-    m = grouped_exact_median(df, ["occupation"], income, "median_income").withColumnRenamed("occupation", "_occupation")
+    m = grouped_median(df, ["occupation"], income, "median_income", median).withColumnRenamed("occupation", "_occupation")
     return a.join(m, F.col("occupation").eqNullSafe(F.col("_occupation")), "left").drop("_occupation")
 
 
 def profile_category_counts(df: DataFrame, cols=("occupation", "city_tier", "loan_product_interest")) -> DataFrame:
-    parts = [df.groupBy(F.lit(c).alias("attribute"), F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-             for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Counts of each value of ``cols``, from one read of the table."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("attribute"), F.col(c).alias("value")) for c in cols]))
+    return df.select(each.alias("_v")).groupBy("_v.attribute", "_v.value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def profile_conversion(df: DataFrame, label: str = "loan_converted") -> DataFrame:

@@ -42,19 +42,15 @@ def run_pipeline(customers: DataFrame, txns: DataFrame, behavior: DataFrame, out
         income_f = pool.submit(md.train_income_model, labelled, params=params)
         lead_model, lead_test, lead_all = lead_f.result()
         income_model, income_cols, income_all = income_f.result()
-    t = lead_test.select(F.col("lead_score_raw").alias("p"), F.col("label").cast("int").alias("y"), "customer_id")
-    lead_metrics = {
-        **io.metrics_row(mx.roc_auc_and_ap(t, "p", "y")),
-        **io.metrics_row(mx.precision_at_top(t, 20, "p", "y")),
-        **io.metrics_row(mx.base_rate(labelled)),
-        "conversion_rate_simulation": {f"top_{r['cutoff_pct']}pct": r["conversion_rate"]
-                                       for r in mx.conversion_at_cutoffs(t, "p", "y").collect()},
-        "n_features": len(lead_model.feature_cols),
-    }
-    test = income_all.filter(F.col("is_test"))
-    income_metrics = {**io.metrics_row(mx.regression_metrics(test, "label", "estimated_income")),
-                      **io.metrics_row(mx.percentage_errors(test, "label", "estimated_income")),
-                      **io.metrics_row(mx.deviation_flag_rate(test))}
+    # the test predictions are stored once; every metric reads them
+    t = materialize(lead_test.select(F.col("lead_score_raw").alias("p"), F.col("label").cast("int").alias("y"), "customer_id"))
+    lead_metrics = io.metrics_row(mx.lead_metrics_document(
+        t, lead_all.filter(~F.col("is_test")).count(), len(lead_model.feature_cols), "p", "y",
+        base=labelled.select(F.col("loan_converted").alias("y"))))
+    test = materialize(income_all.filter(F.col("is_test")).select(
+        "customer_id", "label", "estimated_income", "declared_monthly_income", "income_confidence_band"))
+    income_metrics = io.metrics_row(mx.income_metrics_document(
+        test, income_all.filter(~F.col("is_test")).count(), "label", "estimated_income"))
     out = income_all.drop("label", "is_test").join(
         lead_all.select("customer_id", "lead_score", "lead_score_raw"), "customer_id")
 

@@ -63,6 +63,20 @@ DETAILS_CTE = _attr_sql() + _templates_sql() + f"""
 """
 
 
+_SUMMARY = """
+, f_summary as (
+select customer_id,
+       case when coalesce(len(pos_texts), 0) > 0
+            then array_to_string(list_slice(pos_texts, 1, 3), ' + ')
+                 || case when p is not null and p <> '' then ' → strong ' || p || ' intent' else '' end
+            else 'Mixed signals detected for ' || coalesce(nullif(p, ''), 'loan') || ' eligibility — review recommended'
+       end as explanation_summary
+from (select customer_id, any_value(loan_product_interest) as p,
+             list(description order by rank) filter (where direction = 'positive') as pos_texts
+      from f_details group by customer_id) s)
+"""
+
+
 def attributed(spark, sf):
     return ex.linear_attribution(scored(spark, sf))
 
@@ -96,16 +110,7 @@ def q_details(spark, sf):
 
 
 @register("explanation_summary", with_scored(
-    DETAILS_CTE + """
-select customer_id,
-       case when coalesce(len(pos_texts), 0) > 0
-            then array_to_string(list_slice(pos_texts, 1, 3), ' + ')
-                 || case when p is not null and p <> '' then ' → strong ' || p || ' intent' else '' end
-            else 'Mixed signals detected for ' || coalesce(nullif(p, ''), 'loan') || ' eligibility — review recommended'
-       end as explanation_summary
-from (select customer_id, any_value(loan_product_interest) as p,
-             list(description order by rank) filter (where direction = 'positive') as pos_texts
-      from f_details group by customer_id) s"""))
+    DETAILS_CTE + _SUMMARY + "select * from f_summary"))
 def q_summary(spark, sf):
     return explained(spark, sf).select("customer_id", "explanation_summary")
 
@@ -133,16 +138,32 @@ def q_template_table(spark, sf):
         "feature", "direction", "kind", F.coalesce(F.col("_n"), F.lit(0)).alias("n_used"))
 
 
-@register("attribution_map")
-def q_attribution_map(spark, sf):
-    return explained(spark, sf).select("customer_id", "shap_values_dict")
+DRIVERS = 12
 
 
-@register("batch_explanations")
-def q_batch(spark, sf):
-    return explained(spark, sf).select("customer_id", "explanation_summary", "explanation_details", "shap_values_dict")
+@register("attribution_map", with_scored(
+    _attr_sql() + "select customer_id, feature, round_even(shap_value, 4) as shap_value from f_att"))
+def q_attribution_map(spark, sf):
+    """The map of every customer, listed entry by entry."""
+    return explained(spark, sf).select("customer_id", F.explode("shap_values_dict").alias("feature", "shap_value"))
 
 
-@register("top_drivers")
+@register("batch_explanations", with_scored(
+    DETAILS_CTE + _SUMMARY + "select customer_id, explanation_summary, rank, feature, direction, description, shap_value, feature_value, "
+    "shap_value as shap_in_map, cast(" + str(len(_attr_terms())) + " as integer) as n_attributions from f_summary join f_details using (customer_id)"))
+def q_batch(spark, sf):
+    """The three explanation columns of every customer, one row for each listed factor."""
+    each = explained(spark, sf).select("customer_id", "explanation_summary", "shap_values_dict",
+                                       F.posexplode("explanation_details").alias("pos", "d"))
+    return each.select("customer_id", "explanation_summary", (F.col("pos") + 1).alias("rank"), "d.feature", "d.direction", "d.description",
+                       "d.shap_value", "d.feature_value", F.col("shap_values_dict")[F.col("d.feature")].alias("shap_in_map"),
+                       F.size("shap_values_dict").alias("n_attributions"))
+
+
+@register("top_drivers", with_scored(
+    _attr_sql() + "select customer_id, cast(rnk as integer) as rank, list_aggr(list_transform(string_split(replace(feature, '_', ' '), ' '), "
+    "lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ') as driver, v as shap_value from ("
+    "select customer_id, feature, v, row_number() over (partition by customer_id order by abs(v) desc, feature) as rnk from "
+    f"(select customer_id, feature, round_even(shap_value, 4) as v from f_att) r) t where rnk <= {DRIVERS}"))
 def q_top_drivers(spark, sf):
-    return ex.top_drivers(explained(spark, sf), 12)
+    return ex.top_drivers(explained(spark, sf), DRIVERS)

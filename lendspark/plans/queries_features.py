@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import month_bucket
 from ..operators import features as fx
 from ..sources import adapters as ad
+from ..sources import io
 from .catalog import register, round_cols, sql_round
 from .oracle_sql import with_features
 from .scored import build_matrix, feature_matrix
@@ -82,10 +82,10 @@ def q_monthly_credit_total(spark, sf):
     "count(distinct case when category = 'Salary' then date_trunc('month', txn_date) end) as salary_months "
     "from v_transactions where txn_type = 'credit' group by 1"))
 def q_distinct_months(spark, sf):
-    # two-level: (customer, month) first, so no per-customer distinct set is built
-    m = fx.monthly_credits(ad.transactions(spark, sf))
-    return m.groupBy("customer_id").agg(F.count("month").alias("credit_months"),
-                                        F.count(F.when(F.col("salary_rows") > 0, 1)).alias("salary_months"))
+    # two-level: (customer, month) first, so no per-customer distinct set is built; credits only, so debits are not read
+    t = ad.transactions(spark, sf).filter(F.col("txn_type") == "credit")
+    m = t.groupBy("customer_id", month_bucket(F.col("txn_date")).alias("month")).agg(F.max(F.col("category") == "Salary").alias("salary"))
+    return m.groupBy("customer_id").agg(F.count("month").alias("credit_months"), F.count(F.when(F.col("salary"), 1)).alias("salary_months"))
 
 
 @register("distinct_customers", with_features("select distinct customer_id from v_transactions"))
@@ -201,14 +201,30 @@ def q_feature_matrix_cold(spark, sf):
     return round_cols(build_matrix(spark, sf).select(*MATRIX_COLS), MATRIX_D)
 
 
+BUCKETS = 16
+
+
+def bucketed_groups(spark, sf):
+    """Catalog names of customers, transaction facts and engagement, each bucketed by customer_id alike."""
+    frames = {"customers": ad.customers(spark, sf).select("customer_id"),
+              "facts": fx.transaction_aggregates(ad.transactions(spark, sf)),
+              "engagement": fx.engagement_stats(ad.behavior(spark, sf)).select("customer_id", "engagement_trend")}
+    return [io.write_bucketed(df, f"lend_{name}", "customer_id", BUCKETS) for name, df in frames.items()]
+
+
 @register("feature_left_joins", with_features(
     "select customer_id, round(cashflow_cv, 6) as cashflow_cv, has_salary_credit, "
     "round(emi_to_income_ratio, 6) as emi_to_income_ratio, round(recency_score, 6) as recency_score, "
     "spend_concentration_hhi, engagement_trend from f_matrix"))
 def q_feature_left_joins(spark, sf):
-    m = feature_matrix(spark, sf).select("customer_id", "cashflow_cv", "has_salary_credit", "emi_to_income_ratio",
-                                         "recency_score", "spend_concentration_hhi", "engagement_trend")
-    return round_cols(m, ["cashflow_cv", "emi_to_income_ratio", "recency_score"])
+    """The feature groups joined from tables bucketed by customer: written once, then joined without an exchange."""
+    customers, facts, engagement = bucketed_groups(spark, sf)
+    facts = spark.table(facts)
+    groups = [fx.cashflow_stability(facts), fx.salary_pattern(facts).drop("estimated_salary"), fx.emi_burden(facts),
+              fx.rfm_scores(facts), fx.spend_patterns(facts), spark.table(engagement)]
+    m = fx.join_feature_groups(spark.table(customers), groups)
+    return round_cols(m.select("customer_id", "cashflow_cv", "has_salary_credit", "emi_to_income_ratio", "recency_score",
+                               "spend_concentration_hhi", "engagement_trend"), ["cashflow_cv", "emi_to_income_ratio", "recency_score"])
 
 
 @register("fill_missing", with_features(
@@ -229,13 +245,6 @@ def q_project_base(spark, sf):
     return fx.base_projection(ad.customers(spark, sf)).select(*fx.BASE_COLUMNS)
 
 
-@register("project_optional", with_features(
-    "select customer_id, round(true_monthly_income, 6) as true_monthly_income from v_customers"))
-def q_project_optional(spark, sf):
-    b = fx.base_projection(ad.customers(spark, sf))
-    return round_cols(b.select("customer_id", "true_monthly_income"), ["true_monthly_income"])
-
-
 @register("encode_ordinal", with_features(
     "select customer_id, occupation_encoded, city_tier_encoded from f_matrix"))
 def q_encode_ordinal(spark, sf):
@@ -257,15 +266,9 @@ def q_one_hot(spark, sf):
     "rank() over (partition by customer_id order by month, app_logins + loan_page_visits) as position "
     "from v_behavior"))
 def q_sort_multi_key(spark, sf):
-    """Position of each behaviour row in (month, engagement) order.  The
-    window runs over (customer, month, engagement) groups, not raw rows."""
-    b = ad.behavior(spark, sf).select("customer_id", "month",
-                                      (F.col("app_logins") + F.col("loan_page_visits")).alias("engagement"))
-    g = b.groupBy("customer_id", "month", "engagement").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy("customer_id").orderBy("month", "engagement").rowsBetween(Window.unboundedPreceding, 0)
-    g = g.withColumn("position", F.sum("_c").over(w) - F.col("_c") + 1)
-    return b.join(g.drop("_c"), ["customer_id", "month", "engagement"]).select(
-        "customer_id", "month", "engagement", F.col("position").cast("bigint").alias("position"))
+    """Position of each behaviour row in (month, engagement) order, from the customer's sorted series."""
+    out = fx.row_positions(fx.engagement_series(ad.behavior(spark, sf)))
+    return out.withColumn("engagement", F.col("engagement").cast("bigint"))
 
 
 @register("half_split", with_features(
@@ -274,11 +277,8 @@ def q_sort_multi_key(spark, sf):
     "cast(sum(case when rn <= floor(n / 2) then e else 0 end) as bigint) as first_half_sum, "
     "cast(sum(e) as bigint) as total_sum from f_eng_rows group by 1"))
 def q_half_split(spark, sf):
-    g = fx._engagement_groups(ad.behavior(spark, sf))
-    w = Window.partitionBy("customer_id").orderBy("month", "_e").rowsBetween(Window.unboundedPreceding, 0)
-    g = g.withColumn("_cum", F.sum("_c").over(w)).withColumn("_n", F.sum("_c").over(Window.partitionBy("customer_id")))
-    take = F.least(F.greatest(F.floor(F.col("_n") / 2) - (F.col("_cum") - F.col("_c")), F.lit(0)), F.col("_c"))
-    return g.groupBy("customer_id").agg(
-        F.sum("_c").cast("bigint").alias("n_rows"), F.sum(take).cast("bigint").alias("first_half_rows"),
-        F.sum(take * F.col("_e")).cast("bigint").alias("first_half_sum"),
-        F.sum(F.col("_c") * F.col("_e")).cast("bigint").alias("total_sum"))
+    s = fx.engagement_series(ad.behavior(spark, sf))
+    half = F.floor(F.col("n_rows") / 2)
+    return s.select("customer_id", "n_rows", half.alias("first_half_rows"),
+                    fx.first_rows_sum(F.col("series"), half).cast("bigint").alias("first_half_sum"),
+                    F.col("total_sum").cast("bigint").alias("total_sum"))

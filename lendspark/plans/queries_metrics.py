@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import income as inc
 from ..operators import metrics as mx
+from ..operators import models as md
 from ..operators import stats as st
+from ..session import ensure_checkpoint_dir
+from ..sources import io
+from ..sources.io import stored_sorted
 from .catalog import register, round_cols
 from .oracle_sql import with_scored
 from .scored import feature_matrix, scored
@@ -187,11 +193,70 @@ def q_deviation_rate(spark, sf):
     "select round_even(avg(abs(true_monthly_income - estimated_income) / true_monthly_income) * 100, 1) as mape_pct "
     "from f_scored where true_monthly_income > 1000"))
 def q_mape_only(spark, sf):
-    return mx.percentage_errors(scored(spark, sf), "true_monthly_income", "estimated_income").select("mape_pct")
+    return mx.mape(scored(spark, sf), "true_monthly_income", "estimated_income")
 
 
 @register("mdape", with_scored(
     "select round_even(median(abs(true_monthly_income - estimated_income) / true_monthly_income) * 100, 1) as mdape_pct "
     "from f_scored where true_monthly_income > 1000"))
 def q_mdape_only(spark, sf):
-    return mx.percentage_errors(scored(spark, sf), "true_monthly_income", "estimated_income").select("mdape_pct")
+    return mx.mdape(scored(spark, sf), "true_monthly_income", "estimated_income")
+
+
+# --- metric documents ---------------------------------------------------------------
+
+_HASH = "cast('0x' || substr(md5('42:' || cast(customer_id as varchar)), 1, 15) as bigint)"
+_FIELD = "select '{0}' as document, '{1}' as field, cast({2} as double) as value from {3}"
+_LEAD_FIELDS = [
+    ("roc_auc", "round_even(sum(pos * (tn - cum_neg + 0.5e0 * neg)) / (max(tp) * max(tn)), 4)", "stc"),
+    ("average_precision", "round_even(sum((pos / tp) * (cum_pos / (cum_pos + cum_neg))), 4)", "stc"),
+    ("precision_at_top20", "round_even(avg(case when rn <= greatest(floor(n * 20 / 100), 1) then loan_converted end), 4)", "r"),
+    ("base_conversion_rate", "round_even(avg(loan_converted) * 100, 1)", "f_scored"),
+    *[(f"conversion_rate_simulation.top_{p}pct",
+       f"round_even(avg(case when rn <= greatest(floor(n * {p} / 100), 1) then loan_converted end) * 100, 1)", "r") for p in mx.CUTOFFS],
+    ("n_train", "count(*)", "f_split where not lead_test"), ("n_test", "count(*)", "r"), ("n_features", "max(8)", "r")]
+_ERR = "(true_monthly_income - estimated_income)"
+_INCOME_FIELDS = [
+    ("mae", f"round_even(avg(abs{_ERR}), 2)", "i"), ("rmse", f"round_even(sqrt(avg({_ERR} * {_ERR})), 2)", "i"),
+    ("r2_score", f"round_even(1 - sum({_ERR} * {_ERR}) / sum((true_monthly_income - mu) * (true_monthly_income - mu)), 4)", "i"),
+    ("mape_pct", f"round_even(avg(case when true_monthly_income > 1000 then abs{_ERR} / true_monthly_income end) * 100, 1)", "i"),
+    ("mdape_pct", f"round_even(median(case when true_monthly_income > 1000 then abs{_ERR} / true_monthly_income end) * 100, 1)", "i"),
+    *[(f"confidence_band_distribution.{b}", f"count(case when income_confidence_band = '{b}' then 1 end)", "i") for b in mx.BANDS],
+    *[(f"confidence_band_mape.{b}", f"round_even(avg(case when income_confidence_band = '{b}' then abs{_ERR} / "
+       "greatest(true_monthly_income, 1) end) * 100, 1)", "i") for b in mx.BANDS],
+    ("income_deviation_flagged_n", "count(case when abs(d) > 20 then 1 end)", "i"),
+    ("income_deviation_flagged_pct", "round_even(count(case when abs(d) > 20 then 1 end) / count(*) * 100, 1)", "i"),
+    ("n_train", "count(*)", "f_split where not income_test"), ("n_test", "count(*)", "i")]
+
+
+@register("json_metrics_scan", with_scored(
+    f""", f_split as (
+  select *, (declared_monthly_income - estimated_income) / greatest(estimated_income, 1) * 100 as d,
+         row_number() over (partition by loan_converted order by h) <= floor(count(*) over (partition by loan_converted) * 0.2e0 + 0.5e0) as lead_test,
+         row_number() over (order by h) <= ceil(count(*) over () * 0.2e0) as income_test
+  from (select *, {_HASH} as h from f_scored) t)
+, r as (select *, row_number() over (order by lead_score desc, customer_id) as rn, count(*) over () as n from f_split where lead_test)
+, st as (select lead_score as s, cast(sum(loan_converted) as double) as pos, cast(sum(1 - loan_converted) as double) as neg from r group by 1)
+, stc as (select *, sum(pos) over (order by s desc rows between unbounded preceding and current row) as cum_pos,
+                 sum(neg) over (order by s desc rows between unbounded preceding and current row) as cum_neg,
+                 sum(pos) over () as tp, sum(neg) over () as tn from st)
+, i as (select *, avg(true_monthly_income) over () as mu from f_split where income_test)
+""" + " union all ".join([_FIELD.format("lead_scoring", *f) for f in _LEAD_FIELDS]
+                         + [_FIELD.format("income_estimation", *f) for f in _INCOME_FIELDS])))
+def q_json_metrics_scan(spark, sf):
+    """Both metric documents of the scorecard and the regression, over the test
+    rows of the two splits: written as JSON of different shapes, read back as
+    VARIANT and listed field by field."""
+    s = scored(spark, sf)
+    lead = md.stratified_split(s, "loan_converted").select("customer_id", "lead_score", "loan_converted", "is_test")
+    income = md.random_split(s).select(*[c for c in s.columns if c in mx.INCOME_DOCUMENT_COLUMNS], "is_test")
+    lead, income = stored_sorted(lead, "customer_id"), stored_sorted(income, "customer_id")
+    train = lambda df: df.filter("not is_test").agg(F.count(F.lit(1)).alias("n_train"))
+    documents = {"lead_scoring": mx.lead_metrics_document(lead.filter("is_test"), 0, len(st.SCORECARD_TERMS), base=lead)
+                 .drop("n_train").crossJoin(train(lead)),
+                 "income_estimation": mx.income_metrics_document(income.filter("is_test"), 0).drop("n_train").crossJoin(train(income))}
+    docs = [d.select(F.lit(name).alias("document"), F.to_json(F.struct(*d.columns), {"ignoreNullFields": "false"}).alias("doc"))
+            for name, d in documents.items()]
+    path = f"{ensure_checkpoint_dir(spark)}/metrics-{uuid.uuid4().hex}"
+    io.write_metric_documents(docs[0].unionByName(docs[1]), path)
+    return io.metric_fields(io.read_metric_documents(spark, path)).select("document", "field", "value")

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import metrics as mx
@@ -101,17 +102,24 @@ def q_lead_cutoffs(spark, sf):
     return mx.conversion_at_cutoffs(s, "p", "y")
 
 
+def importances(spark, sf):
+    """(model, feature, importance) of both fitted engines."""
+    lead_model, _t, _a = lead(spark, sf)
+    income_model, income_cols, _p = income(spark, sf)
+    parts = [("lead_scoring", lead_model.base, lead_model.feature_cols), ("income_estimation", income_model, income_cols)]
+    frames = [md.feature_importance(m, cols).select(F.lit(name).alias("model"), "feature", "importance") for name, m, cols in parts]
+    return frames[0].unionByName(frames[1])
+
+
 @register("feature_importance")
 def q_importance(spark, sf):
-    model, _t, _a = lead(spark, sf)
-    return md.feature_importance(model.base, model.feature_cols)
+    return importances(spark, sf)
 
 
 @register("importance_topk")
 def q_importance_topk(spark, sf):
-    model, _t, _a = lead(spark, sf)
-    imp = md.feature_importance(model.base, model.feature_cols)
-    return imp.orderBy(F.col("importance").desc(), F.col("feature")).limit(10)
+    w = Window.partitionBy("model").orderBy(F.col("importance").desc(), F.col("feature"))  # one row a feature
+    return importances(spark, sf).withColumn("rank", F.row_number().over(w)).filter("rank <= 10")
 
 
 @register("train_income_model")

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import portfolio as pf
 from ..sources import adapters as ad
-from .catalog import register, round_cols
+from .catalog import register, round_cols, sql_round
 from .oracle_sql import with_scored
+from .queries_features import MATRIX_D
 from .scored import scored, underwritten
 
 RANK_CTE = """
@@ -18,6 +19,7 @@ RANK_CTE = """
                      as top20_conversion from f_rank)
 , f_base as (select round_even(avg(loan_converted) * 100, 1) as base_conversion_rate from f_scored)
 """
+FLAT_D = MATRIX_D + ["lead_score", "loan_readiness_score", "estimated_income"]
 TITLE_OCC = ("list_aggr(list_transform(string_split(replace(occupation, '_', ' '), ' '), "
              "lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ')")
 
@@ -231,13 +233,7 @@ def q_pipeline_summary(spark, sf):
 
 
 @register("flat_summary_projection", with_scored(
-    "select customer_id, name, city, city_tier, occupation, loan_product_interest, recommendation, "
-    "income_confidence_band, round(lead_score, 6) as lead_score, round(loan_readiness_score, 6) as loan_readiness_score, "
-    "eligible_loan_amount, risk_flag_count, round(estimated_income, 6) as estimated_income from f_uw"))
+    f"select {sql_round(FLAT_D)} from (select * exclude (risk_flags) from f_uw) t"))
 def q_flat(spark, sf):
-    f = pf.flat_summary_projection(underwritten(spark, sf))
-    keep = ["customer_id", "name", "city", "city_tier", "occupation", "loan_product_interest", "recommendation",
-            "income_confidence_band", "lead_score", "loan_readiness_score", "eligible_loan_amount", "risk_flag_count",
-            "estimated_income"]
-    assert all(c in f.columns for c in keep)
-    return round_cols(f.select(*keep), ["lead_score", "loan_readiness_score", "estimated_income"])
+    """Every column that the projection keeps."""
+    return round_cols(pf.flat_summary_projection(underwritten(spark, sf)), FLAT_D)

@@ -25,7 +25,8 @@ def q_month_bucket(spark, sf):
     "select customer_id, cast((select max(last_date) from f_rfm_raw) + 1 - last_date as bigint) as recency_days "
     "from f_rfm_raw"))
 def q_recency_days(spark, sf):
-    a = fx.transaction_aggregates(ad.transactions(spark, sf)).select("customer_id", "last_date")
+    t = ad.transactions(spark, sf)
+    a = fx.materialize(t.groupBy("customer_id").agg(F.max("txn_date").alias("last_date")))  # read twice, computed once
     ref = a.agg(F.date_add(F.max("last_date"), 1).alias("_ref"))
     return a.crossJoin(F.broadcast(ref)).select(
         "customer_id", F.datediff("_ref", "last_date").cast("bigint").alias("recency_days"))

@@ -134,6 +134,19 @@ def q_semi_join(spark, sf):
         "customer_id", F.coalesce(F.col("_hit"), F.lit(0)).alias("has_intent_spend"))
 
 
+@register("project_optional", with_features(
+    SCORECARD_CTE + "select c.customer_id, round(c.true_monthly_income, 6) as true_monthly_income, v.loan_converted, "
+    "s.conversion_probability, s.cashflow_cv as cashflow_cv_label, s.existing_emi_ratio as existing_emi_ratio_label "
+    "from v_customers c left join f_scorecard s on c.customer_id = s.customer_id left join v_conversions v on c.customer_id = v.customer_id"))
+def q_project_optional(spark, sf):
+    """All five optional columns, two of them renamed, from a customer table that carries its label columns."""
+    from ..operators.features import OPTIONAL_COLUMNS, base_projection
+    c, t = ad.customers(spark, sf), ad.transactions(spark, sf)
+    labels = st.rule_scorecard(c, t).drop("loan_converted")
+    b = base_projection(c.join(labels, "customer_id", "left").join(ad.conversions(spark, sf), "customer_id", "left"))
+    return round_cols(b.select("customer_id", *[name for _, name in OPTIONAL_COLUMNS]), ["true_monthly_income"])
+
+
 @register("label_left_join", with_features(
     SCORECARD_CTE + "select c.customer_id, c.occupation, s.conversion_probability, s.existing_emi_ratio "
     "from v_customers c left join f_scorecard s on c.customer_id = s.customer_id"))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..functions import sql_functions as sqlf
 from ..operators import underwriting as uw
 from .catalog import register, round_cols, sql_round
 from .oracle_sql import with_scored
@@ -121,6 +124,21 @@ def q_run_underwriting(spark, sf):
     return round_cols(u, ["estimated_income"])
 
 
+@register("underwriting_sql", with_scored(
+    f"select {sql_round(['estimated_income'])} from (select {', '.join(UW_COLS)}, "
+    "array_to_string(risk_flags, ' | ') as risk_flags_text from f_uw) t"))
+def q_underwriting_sql(spark, sf):
+    """The decision by SQL text alone, over the session's SQL functions."""
+    sqlf.register_sql_functions(spark)
+    view = f"lend_scored_{uuid.uuid4().hex}"
+    scored(spark, sf).drop("income_confidence_band").createTempView(view)
+    banded = (f"select *, lend_income_band(estimated_income, true_monthly_income, cashflow_cv) as income_confidence_band from {view}")
+    out = spark.sql(f"select {', '.join(UW_COLS[:3])}, round(estimated_income, 6) as estimated_income, {', '.join(UW_COLS[4:])}, "
+                    f"array_join(risk_flags, ' | ') as risk_flags_text from ({sqlf.underwriting_sql('(' + banded + ')')})")
+    spark.catalog.dropTempView(view)
+    return out
+
+
 @register("underwriting_summary", with_scored(
     f"select {sql_round(['avg_readiness', 'avg_positive_eligible'])} from ("
     "select count(*) as total_processed, count(case when recommendation = 'Pre-qualified' then 1 end) as pre_qualified, "

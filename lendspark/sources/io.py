@@ -67,6 +67,18 @@ def write_table_overwrite(df: DataFrame, name: str, path: str | None = None) ->
     w.saveAsTable(name)
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> str:
+    """Write ``df`` as a new catalog table ``name_<unique>`` of ``buckets`` buckets
+    by ``key``, sorted in each, and return its name.  Tables bucketed alike are
+    joined on the key without an exchange.  Its files lie in the shared folder
+    of ``spark.checkpoint.dir``; a row with a null key is kept."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", f"{ensure_checkpoint_dir(spark)}/{table}").saveAsTable(table))
+    return table
+
+
 def stored_sorted(df: DataFrame, key: str) -> DataFrame:
     """Write ``df`` as Parquet in key order into the shared folder of
     ``spark.checkpoint.dir`` and read it back.  Row groups then hold narrow key
@@ -105,6 +117,34 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path)
 
 
+def write_metric_documents(docs: DataFrame, path: str) -> None:
+    """One-row frames of metrics, nested or not, as JSON text: docs(document, doc STRING)."""
+    docs.select("document", "doc").write.mode("overwrite").partitionBy("document").text(path)
+
+
+def read_metric_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(document, doc VARIANT): documents of any shape as one table, without a
+    schema of their fields.  A line that is not JSON fails the read."""
+    lines = spark.read.schema("value string, document string").text(path)
+    return lines.select("document", F.parse_json("value").alias("doc"))
+
+
+def metric_fields(docs: DataFrame, depth: int = 3) -> DataFrame:
+    """(document, field, value, text): one row for each leaf of docs(document, doc
+    VARIANT); nested fields are named a.b.  value is the leaf as a number, NULL
+    where it is none; text is the leaf as JSON.  Arrays, and objects below
+    ``depth`` levels, stay one leaf."""
+    rows, leaves = docs.select("document", F.lit("").alias("field"), F.col("doc").alias("node")), None
+    for level in range(depth):
+        inside = rows.lateralJoin(docs.sparkSession.tvf.variant_explode(F.col("node").outer()))
+        rows = inside.select("document", F.concat_ws(".", F.nullif("field", F.lit("")), "key").alias("field"), F.col("value").alias("node"))
+        nested = F.schema_of_variant("node").startswith("OBJECT") if level < depth - 1 else F.lit(False)
+        here = rows.where(~nested)
+        leaves = here if leaves is None else leaves.unionByName(here)
+        rows = rows.where(nested)
+    return leaves.select("document", "field", F.try_variant_get("node", "$", "double").alias("value"), F.to_json("node").alias("text"))
+
+
 def metrics_row(df: DataFrame) -> dict:
     """A one-row metrics DataFrame as a plain dict (tiny by construction)."""
     rows = df.limit(2).collect()
