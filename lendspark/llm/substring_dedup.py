@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -136,13 +137,23 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # -------------------------------------------------------------- suffix arrays
 
-def repeated_windows(texts: list[bytes], weights: list[int]) -> list[tuple[int, int, int]]:
-    """(text number, first window, end window) for the maximal runs of windows
-    of GRAM bytes that occur twice or more, a text counting ``weight`` times."""
+def _runs(flags: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first, end) of the maximal runs of set flags within one text."""
+    at = np.flatnonzero(flags)
+    if not len(at):
+        return at, at
+    new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (text[at[1:]] != text[at[:-1]])])
+    first = np.flatnonzero(new)
+    return at[first], at[np.append(first[1:], len(at)) - 1] + 1
+
+
+def _sorted_windows(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
+    """For each byte of the joined texts, whether the GRAM bytes from it lie in
+    one text and occur twice or more, a text counting ``weight`` times: by the
+    suffix array and its common prefixes."""
     size = np.array([len(t) for t in texts])
     s = np.full(int(size.sum()) + len(texts) + 1, 1, np.uint16)  # 1 parts texts, 0 ends all
     end = np.cumsum(size + 1) - 1
-    start = end - size
     owner = np.repeat(np.arange(len(texts)), size + 1)
     inside = np.ones(len(s), bool)
     inside[end] = False
@@ -152,19 +163,54 @@ def repeated_windows(texts: list[bytes], weights: list[int]) -> list[tuple[int,
     sa = suffix_array(s, 258)
     share = common_prefixes(s, sa)[sa]
     group = np.cumsum(share < GRAM)
-    owner = np.append(owner, len(texts))
-    weight = np.append(np.array(weights, np.int64), 0)[owner[sa]]
     total = np.zeros(int(group[-1]) + 1, np.int64)
-    np.add.at(total, group, weight)
-    twice = np.zeros(len(s) + 1, bool)
+    np.add.at(total, group, np.append(weights[owner], 0)[sa])
+    twice = np.zeros(len(s), bool)
     twice[sa[total[group] >= 2]] = True
-    position = np.flatnonzero(twice[:len(s) - 1])
-    position = position[position + GRAM <= end[owner[position]]]
-    new = np.concatenate([[True], position[1:] != position[:-1] + 1])
-    first = np.flatnonzero(new) if len(position) else np.empty(0, int)
-    last = np.append(first[1:], len(position)) - 1
-    own = owner[position[first]]
-    return list(zip(own.tolist(), (position[first] - start[own]).tolist(), (position[last] + 1 - start[own]).tolist()))
+    twice[:-1] &= np.arange(len(s) - 1) + GRAM <= end[owner]
+    return twice[inside]
+
+
+def repeated_windows(texts: list[bytes], weights: list[int]) -> list[tuple[int, int, int]]:
+    """(text number, first window, end window) for the maximal runs of windows
+    of GRAM bytes that occur twice or more, a text counting ``weight`` times.
+
+    A window whose rolling hash stands once here equals no other, so it repeats
+    if and only if its text does.  Only stretches around the other windows are
+    sorted; there the suffix array decides, never the hash."""
+    size, weight = np.array([len(t) for t in texts], np.int64), np.array(weights, np.int64)
+    if not size.sum():
+        return []
+    raw = b"".join(texts)
+    data, offs = np.frombuffer(raw, np.uint8), np.concatenate([[0], np.cumsum(size)])
+    text = np.repeat(np.arange(len(texts)), size)
+    whole = np.arange(len(data)) + GRAM <= offs[1:][text]
+    at = np.flatnonzero(whole)
+    h = _rolling(data, GRAM)[at]
+    order = np.argsort(h, kind="stable")
+    equal = h[order[1:]] == h[order[:-1]]
+    often = np.zeros(len(data), bool)
+    often[at[order[1:][equal]]] = True
+    often[at[order[:-1][equal]]] = True
+    repeated = whole & (weight[text] >= 2)
+    first, end = _runs(often, text)
+    if len(first):
+        # stretches less than a window apart stay one piece, so no byte is sorted twice
+        apart = np.concatenate([[True], (text[first[1:]] != text[first[:-1]]) | (first[1:] - end[:-1] >= GRAM)])
+        start = first[apart]
+        stop = end[np.append(np.flatnonzero(apart)[1:], len(first)) - 1] + GRAM - 1
+        # equal pieces are one, with the sum of their weights
+        number: defaultdict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
+        which = np.array([number[raw[a:b]] for a, b in zip(start.tolist(), stop.tolist())])
+        found = _sorted_windows(list(number), np.bincount(which, weight[text[start]]).astype(np.int64))
+        own = np.concatenate([[0], np.cumsum([len(piece) for piece in number])])[which]
+        length = stop - start
+        within = np.arange(length.sum()) - np.repeat(np.concatenate([[0], np.cumsum(length)[:-1]]), length)
+        repeated[(np.repeat(start, length) + within)[found[np.repeat(own, length) + within]]] = True
+    first, end = _runs(repeated, text)
+    own = text[first]
+    return list(zip(own.tolist(), (first - offs[own]).tolist(), (end - offs[own]).tolist()))
 
 
 def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -183,9 +229,22 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["id1", "id2", "weight", "bytes"])
 
 
+RANGES = "array<struct<a:int,b:int>>"
+
+
+def _merged(ranges):
+    """One sorted array of disjoint ranges [a, b) from any array of them."""
+    return F.aggregate(F.sort_array(ranges), F.array().cast(RANGES), lambda done, x: F.when(
+        F.try_element_at(done, F.lit(-1))["b"] >= x["a"],
+        F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
+            F.try_element_at(done, F.lit(-1))["a"].alias("a"), F.greatest(F.try_element_at(done, F.lit(-1))["b"], x["b"]).alias("b")))))
+        .otherwise(F.concat(done, F.array(x))))
+
+
 def _repeats(found: DataFrame, texts, level: int) -> DataFrame:
-    """(id1, id2, a, b): ranges of windows that repeat, from units.  texts(live)
-    gives (id1, id2, bytes) of the texts that hold the live units."""
+    """(id1, id2, ranges): ranges [a, b) of windows that repeat, from units, one
+    row a place.  texts(live) gives (id1, id2, bytes) of the texts that hold the
+    live units."""
     keys = found.groupBy("key").agg(F.sum("weight").alias("total"), F.max("again").alias("again")).where("total > 1 or again").select("key")
     live = stored(found.join(keys, "key"), "live")
     sources = texts(live)
@@ -204,13 +263,16 @@ def _repeats(found: DataFrame, texts, level: int) -> DataFrame:
             split = stored(contents.join(hot, "id1", "left_semi"), "split")
             cool = contents.join(hot, "id1", "left_anti")
             marks = _repeats(stored(split.mapInArrow(_of_contents(SEEDS[level + 1]), UNITS), "units"), lambda _: split.drop("weight"), level + 1)
-            marks = marks.select(F.col("id1").alias("key"), F.col("id2").alias("content"), "a", "b")
+            marks = marks.select(F.col("id1").alias("key"), F.col("id2").alias("content"), F.explode("ranges").alias("r")).select("key", "content", "r.a", "r.b")
     shards = total // SHARD_BYTES + 1
     ranges = (cool.withColumn("shard", F.pmod(F.xxhash64("id1"), F.lit(shards)))
               .groupBy("shard").applyInPandas(_shard, "key long, content long, a int, b int"))
-    ranges = stored(ranges.unionByName(marks) if marks is not None else ranges, "ranges")
+    # one row a content, so that each place of it meets one row
+    ranges = (ranges.unionByName(marks) if marks is not None else ranges).groupBy("key", "content").agg(_merged(F.collect_list(F.struct("a", "b"))).alias("ranges"))
+    ranges = stored(ranges, "ranges")
     places = live.select("id1", "id2", "key", "content", "start").distinct()
-    return places.join(ranges, ["key", "content"]).select("id1", "id2", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))
+    moved = F.transform("ranges", lambda r: F.struct((F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"]).alias("b")))
+    return places.join(ranges, ["key", "content"]).select("id1", "id2", moved.alias("ranges"))
 
 
 # -------------------------------------------------------------------- results
@@ -285,7 +347,7 @@ def repeated_substrings(docs: DataFrame) -> DataFrame:
     held: list[DataFrame] = []
     found = stored(docs.select("text").mapInArrow(_of_documents(SEEDS[0]), UNITS), "units")
     ranges = _repeats(found, lambda live: held.append(texts(live)) or held[0], 0)
-    ranges = ranges.groupBy("id1", "id2").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
+    ranges = ranges.groupBy("id1", "id2").agg(F.flatten(F.collect_list("ranges")).alias("r")).select("id1", "id2", F.col("r.a").alias("a"), F.col("r.b").alias("b"))
     cut = stored(held[0].join(ranges, ["id1", "id2"]).mapInArrow(
         _cut, "id1 long, id2 long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"), "cut")
     rows = docs.mapInArrow(_rows, "doc_id long, id1 long, id2 long, n_bytes long, whole string")
