@@ -99,29 +99,41 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _rng = np.random.default_rng(20240517)
 BYTE_VALUE = _rng.integers(0, 2**64, 256, dtype=U64)
-LOWER_VALUE = BYTE_VALUE.copy()
-LOWER_VALUE[65:91] = BYTE_VALUE[97:123]
 ODD = _rng.integers(0, 2**63, 8, dtype=U64) * U64(2) + U64(1)
-_BASE = 0x9E3779B97F4A7C15
-_powers: dict[int, np.ndarray] = {}
+_FIELDS = ((2147483647, 1103515245), (2147483629, 1812433253))  # two primes below 2**31 and a base for each
+BYTES = np.arange(1, 257, dtype=U64)
+LOWER_BYTES = BYTES.copy()
+LOWER_BYTES[65:91] = BYTES[97:123]
+_powers: dict[tuple[int, int], np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    have = _powers.get(base)
+def _power(prime: int, base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo prime."""
+    have = _powers.get((prime, base))
     if have is None or len(have) < n:
-        out = np.full(max(n, CHUNK_BYTES + 1), U64(base))
-        out[0] = 1
-        _powers[base] = have = np.multiply.accumulate(out)
+        have = np.ones(1, U64)
+        while len(have) < max(n, CHUNK_BYTES + 1):
+            have = np.concatenate([have, have * U64(pow(base, len(have), prime)) % U64(prime)])
+        if len(have) <= 4 * CHUNK_BYTES:
+            _powers[prime, base] = have
     return have[:n]
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray = BYTE_VALUE) -> np.ndarray:
-    """64-bit hash of the bytes of each span: differences of one running
-    polynomial sum, so the cost does not depend on the spans."""
-    total = np.zeros(len(data) + 1, U64)
-    np.cumsum(value[data] * _power(_BASE, len(data)), out=total[1:])
-    inverse = pow(_BASE, -1, 2**64)
-    h = (total[end] - total[start]) * _power(inverse, len(data) + 1)[start]
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray = BYTES) -> np.ndarray:
+    """64-bit hash of the bytes of each span: differences of running polynomial
+    sums, so the cost does not depend on the spans.  The polynomials are over
+    two prime fields: modulo a power of two, strings built by doubling
+    (Thue-Morse and its complement) would all collide."""
+    v, h = value[data], U64(0)
+    for prime, base in _FIELDS:
+        p = U64(prime)
+        terms = v * _power(prime, base, len(data))  # below 2**40
+        if len(data) > 1 << 24:
+            terms %= p
+        total = np.zeros(len(data) + 1, U64)
+        np.cumsum(terms, out=total[1:])
+        back = _power(prime, pow(base, -1, prime), len(data) + 1)[start]
+        h = (h << U64(31)) ^ ((total[end] - total[start]) % p * back % p)
     return mix(h + (end - start).astype(U64) * ODD[7])
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .common import ODD, U64, chunks, mix
 
 TRAIN_ROWS = 8000  # labelled rows that a model is fitted on, at most; everything else covers all rows
+LONG_WORD = 64    # longer words are hashed one at a time
 HELD_OUT = 2       # rows with this crc32(doc_id) remainder by 4 are never learned from
 
 
@@ -52,12 +53,17 @@ class Points:
         self.value = mix(self.point.astype(U64) * ODD[0])
 
     def words(self) -> np.ndarray:
-        """A hash of each word."""
+        """A hash of each word, linear in the text."""
         total = np.zeros(len(self.start), U64)
         size = self.end - self.start
-        for k in range(int(size.max()) if len(size) else 0):  # long words are rare: few rows go on
-            going = np.flatnonzero(size > k)
+        going = np.flatnonzero(size <= LONG_WORD)
+        for k in range(int(size[going].max()) if len(going) else 0):
+            going = going[size[going] > k]
             total[going] = total[going] * ODD[1] + self.value[self.start[going] + k]
+        for w in np.flatnonzero(size > LONG_WORD).tolist():  # the same sum, one word at a time
+            powers = np.full(int(size[w]), ODD[1])
+            powers[0] = 1
+            total[w] = (self.value[self.start[w]:self.end[w]] * np.multiply.accumulate(powers)[::-1]).sum()
         return mix(total)
 
     def ngrams(self, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER_VALUE, ODD, U64, chunks, mix, span_hashes, stored, windows, word_spans
+from .common import LOWER_BYTES, ODD, U64, chunks, mix, span_hashes, stored, windows, word_spans
 from .components import connected_components
 
 WORDS = 5          # words in a shingle
@@ -23,7 +23,7 @@ PERCENT = 85       # link where 100 * intersection >= PERCENT * union
 def shingle_sets(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text number) of the distinct shingles, sorted by text, then hash."""
     start, end, text = word_spans(data, offs)
-    words = span_hashes(data, start, end, LOWER_VALUE)
+    words = span_hashes(data, start, end, LOWER_BYTES)
     h, at = windows(words, text, WORDS)
     doc = text[at] if len(at) else np.empty(0, np.int64)
     count = np.bincount(text, minlength=len(offs) - 1)

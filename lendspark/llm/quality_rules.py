@@ -67,22 +67,13 @@ def _repeated_words(words: np.ndarray, text: np.ndarray) -> np.ndarray:
     return out
 
 
-def _duplicate_lines(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """For each text, its lines with a word that equal an earlier line of it."""
-    n = len(offs) - 1
-    cuts = np.flatnonzero(data == 10)
-    start = np.union1d(offs[:-1], cuts + 1)
-    start = start[start < len(data)]
-    end = np.minimum(np.append(start[1:], len(data)), len(data))
-    end = end - ((end > start) & (data[end - 1] == 10)) if len(start) else end
-    text = np.searchsorted(offs, start, "right") - 1
-    filled = np.concatenate([[0], np.cumsum(~DELIMITER[data])])
-    some = filled[end] > filled[start]
-    start, end, text = start[some], end[some], text[some]
-    h = span_hashes(data, start, end)
-    order = np.lexsort((h, text))
-    again = (h[order][1:] == h[order][:-1]) & (text[order][1:] == text[order][:-1])
-    return per_text(again, text[order][1:], n) if len(order) > 1 else np.zeros(n, np.int64)
+def _duplicate_lines(raw: bytes, offs: np.ndarray) -> np.ndarray:
+    """For each text, its lines with a word that equal an earlier line of it, byte by byte."""
+    out = []
+    for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
+        lines = [line for line in raw[a:b].split(b"\n") if line.strip()]  # strips 0x09-0x0D and 0x20
+        out.append(len(lines) - len(set(lines)))
+    return np.array(out, np.int64)
 
 
 def chunk_ratios(press: zstandard.ZstdCompressor, text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +113,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(i, n), *map(pa.array, (
                     n_words, points[offs[1:]] - points[offs[:-1]], signs[offs[1:]] - signs[offs[:-1]],
-                    _duplicate_lines(data, offs), repeat, ratio, share, failed, kept))],
+                    _duplicate_lines(raw, offs), repeat, ratio, share, failed, kept))],
                 names=[c.split()[0] for c in COLUMNS.split(", ")])
 
 
