@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from .common import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 LEVEL_BITS, LEVELS = 12, 5  # 60 bits of hash, 4096 buckets a source and level
+MOST_SOURCES = 1_000_000    # different sources, more are refused: their order is worked out in one task
 MOST = 3                    # a source fills at most this many times its own size
 
 
@@ -25,7 +28,8 @@ def source_targets(sizes: DataFrame, weights=(1, 2, 3), most: int = MOST) -> Dat
     the rest is shared again: targets are the least of that and weight x level,
     where the level uses up the whole sum.  Sources whose limit per weight is
     least are full first, so running sums in that order give the level.
-    The windows run over one row a source, never over documents.
+    The windows run over one row a source, never over documents; more than
+    MOST_SOURCES of them raise an error.
     """
     by_name = Window.orderBy(F.col("source").isNull(), "source")
     w = F.element_at(F.array(*map(F.lit, weights)), (F.row_number().over(by_name) - 1) % len(weights) + 1).cast("double")
@@ -38,6 +42,8 @@ def source_targets(sizes: DataFrame, weights=(1, 2, 3), most: int = MOST) -> Dat
     # the level wanted is that of the first source that is not full: those before it are above their
     # limits, those after it are lower, as they count open sources as full
     rows = rows.withColumn("level", level).withColumn("open", F.when(F.col("level") <= F.col("limit") / F.col("w"), F.col("level")))
+    rows = rows.withColumn("source_size", F.when(F.count("*").over(total) > MOST_SOURCES, F.raise_error(F.lit("too many sources")))
+                           .otherwise(F.col("source_size")))
     return rows.select("source", "source_size", F.least("limit", F.col("w") * F.coalesce(F.max("open").over(total), F.lit(float("inf")))).alias("target"))
 
 
@@ -119,4 +125,5 @@ def repeat(docs: DataFrame, weights=(1, 2, 3), most: int = MOST) -> DataFrame:
     names = [F.col(f"d.`{c}`") for c in docs.columns]
     rows = docs.alias("d").join(choice.alias("c"), F.col("d.source").cast("string").eqNullSafe(F.col("c.s")))
     times = F.col("c.epochs") + (unit_hash("d.doc_id") < F.col("c.threshold")).cast("long")
-    return rows.where(times > 0).select(*names, F.explode(F.sequence(F.lit(1).cast("long"), times)).alias("__copy")).drop("__copy")
+    copy = f"copy_{uuid.uuid4().hex}"  # no column of docs has it
+    return rows.where(times > 0).select(*names, F.explode(F.sequence(F.lit(1).cast("long"), times)).alias(copy)).drop(copy)
