@@ -46,8 +46,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _kept(docs: DataFrame, verdict: DataFrame) -> DataFrame:
     """Rows whose doc_id the verdict keeps; it leaves only if no row of it is kept."""
-    gone = verdict.groupBy(F.col("doc_id").alias("gone")).agg(F.max("kept").alias("stays")).where("not stays").select("gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("gone")), "left_anti")
+    name = f"gone_{uuid.uuid4().hex}"  # no column of docs has it
+    gone = verdict.groupBy(F.col("doc_id").alias(name)).agg(F.max("kept").alias("stays")).where("not stays").select(name)
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone[name]), "left_anti")
 
 
 STAGES = [("quality rules", rules), ("exact dedup", exact), ("near dedup", near), ("mixing", mix), ("packing", pack)]
