@@ -30,10 +30,13 @@ NAME_PARTS = {"password": 3.0, "passwd": 3.0, "passphrase": 3.0, "pwd": 2.5, "pa
 HARMLESS_PARTS = {"name", "file", "path", "url", "uri", "field", "length", "size", "count", "type", "policy", "expiry", "ttl", "public", "hint", "label", "id"}
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|your\W.*|.*change.?me.*|.*example.*|.*placeholder.*|none|null|true|false|undefined|todo.*|<.*>|\$\{.*|\{\{.*)$")
 THRESHOLD = 4.0
-VALUE_MOST = 4096  # characters of constants that one value may take in, and of a bare word: longer ones are data
+VALUE_MOST = 4096  # characters of constants that one value may take in; constants stay as written beyond, and in longer bare words
 
 _OPERATOR = re.compile(r"=>|:=|(?<![=!<>+*/%&|^-])=(?![=~])|:(?!:)")
-_NAME_BEFORE = re.compile(r"""(?:["'`\]]|\[\s*["'])?([A-Za-z_$][A-Za-z0-9_$.-]*)["'`]?\s?\]?(?:\s*:\s*[A-Za-z_][\w.<>\[\]]*)?[ \t]*\Z""")
+# the name before an operator, read backwards from it: blanks, a type after a colon, a bracket, a quote, then the name
+_NAME_REVERSED = re.compile(r"""[ \t]*(?:[\w.<>\[\]]*[A-Za-z_]\s*:\s*)?\]?\s?["'`]?([A-Za-z0-9_$.-]*[A-Za-z_$])""")
+_HARMLESS_START = re.compile(r"(?i)your\W|todo")
+_HARMLESS_INSIDE = re.compile(r"(?i)change.?me|example|placeholder")
 _STRING = re.compile(r"""[rRbBuUfF]{0,2}("(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\]|\\.)*`)""")
 _IDENTIFIER = re.compile(r"[A-Za-z_$][A-Za-z0-9_$.]*")
 _BARE = re.compile(r"[^\s\"'`,;#<>(){}\[\]]+")
@@ -54,20 +57,46 @@ def literal_score(value: str) -> float:
     """How much a literal looks like a secret: length, symbol entropy, kinds of characters; spaces and placeholders count against it."""
     if len(value) < 6 or PLACEHOLDER.match(value):
         return -10.0
-    n = len(value)
-    counts = Counter(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
-    kinds = sum(any(map(f, counts)) for f in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum()))
-    return min(n, 32) / 16 + entropy / 2 + 0.5 * (kinds - 1) - 1.5 * any(map(str.isspace, counts)) - 1.5 * value.isalpha() - (value.isdigit() and n < 10)
+    return _symbol_score(len(value), Counter(value))
 
 
-def _value(text: str, at: int, known: dict[str, str], bare: list[int]) -> tuple[str, int, int] | None:
+def _symbol_score(n: int, counts: Counter) -> float:
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    has = lambda f: any(map(f, counts))
+    kinds = sum(map(has, (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum())))
+    return min(n, 32) / 16 + entropy / 2 + 0.5 * (kinds - 1) - 1.5 * has(str.isspace) - 1.5 * all(map(str.isalpha, counts)) - (
+        all(map(str.isdigit, counts)) and n < 10)
+
+
+class _LongWord:
+    """The rest of one long bare word from ever later places: its literal_score
+    from counts that only lose what is passed, so all operators in the word
+    cost its length once."""
+
+    def __init__(self, text: str, start: int, end: int):
+        self.text, self.at, self.end = text, start, end
+        self.counts = Counter(text[start:end])
+        self.harmless = max((m.start() for m in _HARMLESS_INSIDE.finditer(text, start, end)), default=-1)
+
+    def score(self, at: int) -> float:
+        self.counts -= Counter(self.text[self.at:at])
+        self.at = at
+        n, one = self.end - at, next(iter(self.counts), "") if len(self.counts) == 1 else ""
+        if n <= VALUE_MOST:
+            return literal_score(self.text[at:self.end])
+        if self.harmless >= at or _HARMLESS_START.match(self.text, at) or one and one in "xX*.-":
+            return -10.0
+        return _symbol_score(n, self.counts)
+
+
+def _value(text: str, at: int, known: dict[str, str], bare: list[int]) -> tuple[str | None, int, int] | None:
     """(constant value, start, end) of the expression at ``at``: string
     literals, names of constants and bare words, joined by concatenation.
     Constants are put in up to VALUE_MOST characters in all, and stay as
     written beyond, so values that double line by line cannot grow without
     end.  bare: [start, end] of the bare run last met, as many operators may
-    stand in one run; a run longer than VALUE_MOST is no value."""
+    stand in one run.  A run with more than VALUE_MOST characters left is the
+    value as it is written, given as None with its span."""
     out, start, end, room = [], None, at, VALUE_MOST
 
     def put(name: str, written: str) -> str:
@@ -93,8 +122,10 @@ def _value(text: str, at: int, known: dict[str, str], bare: list[int]) -> tuple[
             if not bare[0] <= end < bare[1]:
                 m = _BARE.match(text, end)
                 bare[:] = m.span() if m else (0, 0)
-            if not bare[0] <= end < bare[1] or bare[1] - end > VALUE_MOST:
+            if not bare[0] <= end < bare[1]:
                 return None
+            if bare[1] - end > VALUE_MOST:
+                return None, end, bare[1]
             return _REFERENCE.sub(reference, text[end:bare[1]]), end, bare[1]
         else:
             break
@@ -114,28 +145,42 @@ def lexed(text: str) -> list[tuple[int, int, str, float]]:
     from earlier names is scored as the text it stands for, at its own place.
     """
     known: dict[str, str] = {}
-    out, done, floor, bare = [], 0, 0, [0, 0]
+    out, done, floor, line, bare, long = [], 0, 0, 0, [0, 0], None
+    backwards, n = text[::-1], len(text)
     for op in _OPERATOR.finditer(text):
         if op.start() < done:
             continue
-        line = max(text.rfind("\n", floor, op.start()) + 1, op.start() - 256, floor, done)  # names are shorter
+        while (newline := text.find("\n", line, op.start())) >= 0:
+            line = newline + 1
+        first = max(line, floor, done)
         if op[0] != ":":
             floor = op.end()  # a name holds no such operator
-        if not (m := _NAME_BEFORE.search(text, line, op.start())):
+        if not (m := _NAME_REVERSED.match(backwards, n - op.start(), n - first)):
             continue
-        at = op.end()
-        while at < len(text) and text[at] in " \t":
+        name, at = m[1][::-1], op.end()
+        while at < n and text[at] in " \t":
             at += 1
-        if at >= len(text) or not (v := _value(text, at, known, bare)):
+        if at >= n or not (v := _value(text, at, known, bare)):
             continue
         value, a, b = v
-        if text[a - 1:a] in "\"'`" or op[0] != ":":
-            known[m[1]] = value
-        if text[a - 1:a] in "\"'`":
+        quoted = text[a - 1:a] in "\"'`"
+        if value is None:
+            known.pop(name, None)
+        elif quoted or op[0] != ":":
+            known[name] = value
+        if quoted:
             done = b  # an operator inside a string is no assignment
-        strength = name_score(m[1])
-        if strength >= 2.0 and (score := strength + literal_score(value)) >= THRESHOLD:
-            out.append((a, b, m[1], round(score, 3)))
+        strength = name_score(name)
+        if strength < 2.0:
+            continue
+        if value is None:
+            if long is None or long.end != b or long.at > a:
+                long = _LongWord(text, a, b)
+            score = strength + long.score(a)
+        else:
+            score = strength + literal_score(value)
+        if score >= THRESHOLD:
+            out.append((a, b, name, round(score, 3)))
     return out
 
 
@@ -186,9 +231,9 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
 
     Kinds assign, access and hex are fixed patterns.  lexed are the literals
     that assignments in source or configuration syntax give to sensitive names,
-    with constants propagated within the text (a bare word over VALUE_MOST
-    characters is data, not a literal).  Rows alone, whole texts,
-    without a shuffle.  Null or empty text has none; repeated rows give
+    with constants propagated within the text (up to VALUE_MOST characters of
+    them into one value).  Names and literals of any length are read whole, in
+    time linear in the text.  Rows alone, without a shuffle.  Null or empty text has none; repeated rows give
     repeated results; other columns are ignored; an empty table gives no rows.
     """
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
