@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import DELIMITER, chunks, per_text, span_hashes, windows, word_spans
 
 #: (mean, standard deviation) of bytes / compressed bytes of clean texts by half octave of the length, floor(2 log2 bytes),
-#: and of their whole chunks of CHUNK bytes; scripts/fit_bands.py measures both.
+#: and of their whole chunks of CHUNK bytes; quality_bands.fit_bands measures both.
 DOCUMENT_FIT = {16: (1.5659, 0.0504), 17: (1.5995, 0.0757), 18: (1.6769, 0.0652), 19: (1.812, 0.0664), 20: (1.9125, 0.0493),
                 21: (1.9901, 0.0435), 22: (2.0621, 0.0371), 23: (2.1231, 0.0323), 24: (2.188, 0.028), 25: (2.2321, 0.0368),
                 26: (2.2696, 0.0319), 27: (2.3272, 0.04)}
@@ -117,15 +118,23 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=[c.split()[0] for c in COLUMNS.split(", ")])
 
 
-def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        parts = list(_measure(iter([pa.RecordBatch.from_arrays([pa.nulls(len(batch), pa.int64()), batch.column("text")], ["doc_id", "text"])])))
-        yield batch.filter(pa.concat_arrays([p.column("kept") for p in parts])) if parts else batch
+def _where(flag: str, value: bool):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = list(_measure(iter([pa.RecordBatch.from_arrays([pa.nulls(len(batch), pa.int64()), batch.column("text")], ["doc_id", "text"])])))
+            found = pa.concat_arrays([p.column(flag) for p in parts]) if parts else None
+            yield batch if found is None else batch.filter(pc.equal(found, value))
+    return keep
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs(text, ...) that ``quality_rules`` keeps, with all their columns and without a shuffle."""
-    return docs.mapInArrow(_keep, docs.schema)
+    return docs.mapInArrow(_where("kept", True), docs.schema)
+
+
+def passing(docs: DataFrame) -> DataFrame:
+    """The rows of docs(text, ...) that the base rules pass, whatever the bands say."""
+    return docs.mapInArrow(_where("base_failed", False), docs.schema)
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:

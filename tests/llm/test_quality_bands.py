@@ -2,15 +2,12 @@
 
 import base64
 import random
-import sys
 import zlib
-from pathlib import Path
 
 import pytest
 
-from lendspark.llm import common, quality_rules
+from lendspark.llm import common, quality_bands, quality_rules
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "scripts"))
 SF = "/root/testdata/sf0.1"
 
 
@@ -33,9 +30,17 @@ def clean(spark):
     return common.documents(spark, SF).join(labels, "doc_id").cache()
 
 
-def test_fit_is_that_of_the_labelled_clean_rows():
-    import fit_bands
-    assert fit_bands.fit(fit_bands.clean_texts(SF)) == (quality_rules.DOCUMENT_FIT, quality_rules.CHUNK_FIT)
+def test_fit_is_that_of_the_labelled_clean_rows(spark):
+    documents, chunk = quality_bands.fit_bands(common.documents(spark, SF).repartition(5), spark.read.parquet(f"{SF}/labels.parquet"))
+    near = lambda a, b: all(abs(x - y) <= 1e-4 for x, y in zip(a, b))
+    assert documents.keys() == quality_rules.DOCUMENT_FIT.keys() and near(chunk, quality_rules.CHUNK_FIT)
+    assert all(near(documents[g], quality_rules.DOCUMENT_FIT[g]) for g in documents)
+
+
+def test_fit_on_nothing(spark):
+    docs = spark.createDataFrame([(1, None), (None, "x"), (2, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int")
+    assert quality_bands.fit_bands(docs, labels) == ({}, None)
 
 
 def test_bands_reject_what_passes_the_base_rules(spark, clean):
