@@ -15,6 +15,7 @@ from .components import connected_components
 
 WORDS = 5          # words in a shingle
 BANDS, ROWS = 25, 5  # a pair at 0.85 shares no band with probability 4e-7
+MAP_LONGS = 8      # a set's parity map has 64 times as many bits
 PERCENT = 85       # link where 100 * intersection >= PERCENT * union
 
 
@@ -106,12 +107,23 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "n_shingles", "fp1", "fp2", "bands"])
 
 
+def parity_maps(h: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
+    """(n_docs x MAP_LONGS) bits: one is set where an odd number of the set's
+    elements falls.  An element in one of two sets alone flips one bit, so the
+    maps differ in no more bits than the sets do in elements."""
+    bits = 64 * MAP_LONGS
+    place = (mix(h ^ ODD[6]) % U64(bits)).astype(np.int64)
+    odd = np.bincount(doc * bits + place, minlength=n_docs * bits).reshape(n_docs, MAP_LONGS, 64) & 1
+    return (odd.astype(U64) << np.arange(64, dtype=U64)).sum(2, dtype=U64).view(np.int64)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, data, offs in chunks(batch.column("text")):
             h, doc = shingle_sets(data, offs)
             lists = pa.ListArray.from_arrays(pa.array(_bounds(doc, j - i).astype(np.int32)), pa.array(h.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), lists], names=["doc_id", "shingles"])
+            maps = pa.FixedSizeListArray.from_arrays(pa.array(parity_maps(h, doc, j - i).ravel()), MAP_LONGS).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), lists, maps], names=["doc_id", "shingles", "map"])
 
 
 # -------------------------------------------------------------------- links
@@ -141,7 +153,11 @@ def _prefix_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     1 of each.  A shingle held once only takes a place there.  So the edited
     parts of near copies, not what the group has in common, make candidates,
     and a copy with too many edits makes none.  Rows of a shingle's largest
-    component meet only those of other components.
+    component meet only those of other components, and a pair whose parity maps
+    differ in more bits than a link leaves elements outside the overlap is
+    dropped where it meets, before any set is read.  Look-alikes below the
+    threshold that share rare shingles still meet there pair by pair: what is
+    left of them is cheap, but not fewer.
     """
     held = (sets.join(open_, F.col("doc_id") == F.col("cid"))
             .select("cid", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("s")))
@@ -154,11 +170,14 @@ def _prefix_pairs(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = stored(rows, "prefix")
     most = rows.groupBy("s", "component").count().groupBy("s").agg(
         F.max_by("component", "count").alias("most"), F.count("*").alias("parts")).where("parts > 1").select("s", "most")
-    rows = rows.join(most, "s")
-    few = rows.where("component <> most").select("s", F.col("cid").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("pos").alias("px"))
+    maps = sets.select(F.col("doc_id").alias("cid"), *[F.col("map")[k].alias(f"m{k}") for k in range(MAP_LONGS)])
+    rows = rows.join(most, "s").join(maps, "cid")
+    few = rows.where("component <> most").select("s", F.col("cid").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("pos").alias("px"), *[F.col(f"m{k}").alias(f"x{k}") for k in range(MAP_LONGS)])
+    differ = sum((F.bit_count(F.col(f"m{k}").bitwiseXOR(F.col(f"x{k}"))) for k in range(MAP_LONGS)), F.lit(0))
     overlap = F.ceil((F.col("n") + F.col("nx")) * percent / (100 + percent))
     return (rows.join(few, "s")
-            .where((F.col("component") != F.col("cx")) & (F.col("pos") <= F.col("n") - overlap + 1) & (F.col("px") <= F.col("nx") - overlap + 1))
+            .where((F.col("component") != F.col("cx")) & (F.col("pos") <= F.col("n") - overlap + 1) & (F.col("px") <= F.col("nx") - overlap + 1)
+                   & (differ <= F.col("n") + F.col("nx") - 2 * overlap))
             .select(F.greatest("cid", "x").alias("a"), F.least("cid", "x").alias("b")).distinct())
 
 
@@ -171,7 +190,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     n near copies cost n pairs.  Then all classes in buckets that still hold
     two components meet by their rarest shingles (``_prefix_pairs``), which
     leaves out only pairs of one component or below the threshold.  So no link
-    that could change a component is lost, and no group is paired out.
+    that could change a component is lost.
 
     Null text: empty set, linked with nothing.  Null doc_id: the row is
     returned with a null component and kept.  Rows with the same doc_id are
@@ -190,7 +209,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     live = stored(entry.join(buckets, "key"), "live")
     weight = live.groupBy("cid", "n").agg(F.sum("many").alias("weight"))
     need = weight.select(F.col("cid").alias("doc_id")).distinct()
-    sets = stored(docs.join(need.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>"), "sets")
+    sets = stored(docs.join(need.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>, map array<long>"), "sets")
 
     leaders = live.join(weight, ["cid", "n"]).groupBy("key").agg(F.max_by("cid", "weight").alias("b"))
     votes = live.join(leaders, "key").where("cid <> b").groupBy(F.col("cid").alias("a"), F.col("n").alias("na"), "b").count()

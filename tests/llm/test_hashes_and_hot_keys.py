@@ -132,3 +132,30 @@ def test_too_many_sources_are_refused(spark, monkeypatch):
     assert mixing.mix_sources(docs.where("doc_id < 3")).count() == 3
     with pytest.raises(Exception, match="too many sources"):
         mixing.mix_sources(docs).collect()
+
+
+def test_parity_maps_never_differ_more_than_the_sets():
+    r = np.random.default_rng(2)
+    for _ in range(50):
+        pool = r.integers(0, 2**63, 900, dtype=np.uint64)
+        a, b = pool[:int(r.integers(1, 800))], pool[int(r.integers(0, 700)):]
+        maps = near_dedup.parity_maps(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 3)
+        bits = sum(bin(int(x) & 2**64 - 1).count("1") for x in maps[0] ^ maps[1])
+        assert bits <= len(set(a.tolist()) ^ set(b.tolist())) and not maps[2].any()
+
+
+def test_unlinked_look_alikes_make_few_candidates(spark):
+    """Pages of 20 blocks with two choices each, any two pages two blocks apart
+    or more: they share bands and rare shingles, but no pair is a link."""
+    r = np.random.default_rng(6)
+    block = [[" ".join("".join(r.choice(list("abcdefghijkl"), 6)) for _ in range(18)) for _ in range(2)] for _ in range(20)]
+    for n in (200, 800):
+        choice = r.integers(0, 2, (4 * n, 20))
+        choice[:, 19] = choice[:, :19].sum(1) % 2  # even weight: two of them differ in an even number of blocks
+        choice = np.unique(choice, axis=0)[:n]
+        texts = [" ".join(block[k][x] for k, x in enumerate(c)) for c in choice.tolist()]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+        sets = docs.mapInArrow(near_dedup._sets, "doc_id long, shingles array<long>, map array<long>").cache()
+        open_ = docs.select(F.col("doc_id").alias("cid"), F.col("doc_id").alias("component"))
+        assert near_dedup._prefix_pairs(open_, sets, 85).count() <= n
+        assert near_dedup.near_duplicates(docs).where("kept").count() == len(texts) == n
