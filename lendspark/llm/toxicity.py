@@ -15,7 +15,7 @@ from .features import TRAIN_ROWS, Points, held_out, labelled, point_chunks
 
 BUCKETS = 1 << 18
 NGRAM = 5            # code points of the character features, inside words
-GRADES = 4           # 0 none, 1 to 3 by how much of a toxic text is toxic wording
+GRADES = 4           # 0 none, 1 to 3 by how much toxic wording a toxic text holds
 FEATURES = 4096      # at most so many features get a weight
 LEAST_Z, LEAST_TEXTS = 3.5, 3
 STEPS, RATE, DECAY = 400, 0.05, 1e-3
@@ -39,13 +39,15 @@ def _counts(p: Points, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     return pair // FEATURES, pair % FEATURES, count
 
 
-def grades_of(toxic: np.ndarray, density: np.ndarray) -> np.ndarray:
+def grades_of(toxic: np.ndarray, amount: np.ndarray) -> np.ndarray:
     """Severity of the training rows: labels give toxic or not; toxic rows are
-    parted at the terciles of the share of their wording that is toxic."""
+    parted at the terciles of the amount of toxic wording they hold.  The amount
+    is on the scale of the model's own inputs: a grade by share of the text would
+    ask the shared weights for what no input says, the length, and flatten them."""
     grade = np.zeros(len(toxic), np.int64)
     if toxic.any():
-        cuts = np.quantile(density[toxic == 1], np.arange(1, GRADES - 1) / (GRADES - 1))
-        grade[toxic == 1] = 1 + np.searchsorted(cuts, density[toxic == 1], "left")
+        cuts = np.quantile(amount[toxic == 1], np.arange(1, GRADES - 1) / (GRADES - 1))
+        grade[toxic == 1] = 1 + np.searchsorted(cuts, amount[toxic == 1], "left")
     return grade
 
 
@@ -69,15 +71,13 @@ def fit(texts: list[str], toxic: np.ndarray) -> dict:
     best = best[z[best] > 0]
     chosen = np.full(BUCKETS, -1, np.int64)
     chosen[best] = np.arange(len(best))
-    found, words = [], np.ones(n_texts)
+    found = []
     for lo, p in parts():
         text, ids, count = _counts(p, chosen)
         found.append((lo + text, ids, count))
-        words[lo:lo + p.n] = np.maximum(np.bincount(p.text, minlength=p.n), 1)
     text, ids, count = (np.concatenate([f[k] for f in found]) for k in range(3))
-    grade = grades_of(toxic, np.bincount(text, count, n_texts) / words)
-
     x, k = np.log1p(count), np.arange(GRADES - 1)
+    grade = grades_of(toxic, np.bincount(text, x, n_texts))
     w, low = np.zeros(max(len(best), 1)), np.log((toxic == 0).sum() + 1) - np.log((toxic == 1).sum() + 1)
     gaps = np.zeros(GRADES - 2)          # thresholds rise by exp(gap), so they stay ordered
     above = grade[:, None] > k[None, :]

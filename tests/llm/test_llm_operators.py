@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,7 +87,20 @@ def test_exact_duplicates(docs, rows):
         keep = min(members, key=lambda m: (m[0], m[1], m[2] or 0))[2]
         for _, _, i in members:
             want[(i, keep, len(members), i == keep, hashlib.sha256(content.encode()).hexdigest())] += 1
-    assert Counter(map(tuple, exact_dedup.exact_duplicates(docs).collect())) == want
+    for salts in (1, exact_dedup.SALTS, 63):
+        assert Counter(map(tuple, exact_dedup.exact_duplicates(docs, salts).collect())) == want
+    with pytest.raises(ValueError):
+        exact_dedup.exact_duplicates(docs, 64)
+
+
+def test_exact_duplicates_split_a_hot_digest(spark):
+    """Two rows of three share one text: the join meets them by digest and part, none by the digest alone."""
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).otherwise(F.lit("same text")).alias("text"))
+    out = exact_dedup.exact_duplicates(docs)
+    assert out.where("kept").count() == 2001 and out.agg(F.max("group_size")).first()[0] == 4000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert len(joins) == 1 and "digest#" in joins[0] and "salt#" in joins[0]
 
 
 def test_quality_rules(docs, rows):
@@ -298,6 +312,21 @@ def test_thresholds_are_ordered():
     assert (np.diff(model["cuts"]) > 0).all() and len(model["chosen"]) == len(model["w"])
 
 
+def test_grades_by_amount_not_by_share():
+    """A long text with as much toxic wording as a short one has its grade."""
+    toxic, amount = np.array([0, 1, 1, 1, 1, 1, 1, 0]), np.array([0, 1.0, 1.0, 2.0, 2.0, 5.0, 5.0, 9.0])
+    assert toxicity.grades_of(toxic, amount).tolist() == [0, 1, 1, 2, 2, 3, 3, 0]
+    plain = " plain words that any text has" * 60
+    texts = ["plain words here" + plain * (k % 2) for k in range(60)] + ["vile mean plain words" + plain * (k % 2) for k in range(40)]
+    model = toxicity.fit(texts, np.array([0] * 60 + [1] * 40))
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(["vile mean", "vile mean" + plain, plain])], schema=schema)
+    class Held:
+        value = model
+    score = next(toxicity._score(Held)(iter([batch]))).column("expected_severity").to_pylist()
+    assert score[0] == pytest.approx(score[1]) and score[0] >= toxicity.SEVERE > score[2]
+
+
 def test_models_on_edge_rows(spark, docs):
     labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
     empty = labels.limit(0)
@@ -443,6 +472,13 @@ def test_classifiers_find_the_hard_class(spark, column, value):
     assert recall > 0.5
 
 
+def test_toxic_rows_are_found_among_more(spark):
+    """Held out on the larger table; every fifth toxic row there has no word of its own."""
+    docs, labels = common.documents(spark, "/root/testdata/sf0.1"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    out = toxicity.toxicity(docs, labels).cache()
+    assert _labelled_accuracy(out, labels, "toxic", 1) > 0.8 and _labelled_accuracy(out, labels, "toxic", 0) > 0.98
+
+
 def test_registered():
     names = set(E.queries())
     assert {f"op{n}_" for n in range(1, 11)} <= {m[0] for n in names if (m := re.match(r"op\d+_", n))} and "pipeline" in names
