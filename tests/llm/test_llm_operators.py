@@ -473,7 +473,7 @@ def test_classifiers_find_the_hard_class(spark, column, value):
 
 
 def test_toxic_rows_are_found_among_more(spark):
-    """Held out on the larger table; every fifth toxic row there has no word of its own."""
+    """Held out on the larger table; nearly half of the toxic rows there hold none of the words that mark the others."""
     docs, labels = common.documents(spark, "/root/testdata/sf0.1"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     out = toxicity.toxicity(docs, labels).cache()
     assert _labelled_accuracy(out, labels, "toxic", 1) > 0.8 and _labelled_accuracy(out, labels, "toxic", 0) > 0.98
