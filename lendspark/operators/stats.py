@@ -221,6 +221,15 @@ def solve_base_rate_bias(z: DataFrame, zcol: str, target: float, scale: float =
     return b
 
 
+def calibrate_base_rate(df: DataFrame, zcol: str, target: float, out: str = "probability",
+                        scale: float = LOGISTIC_SCALE) -> DataFrame:
+    """``out`` = σ(scale·z + b) clipped to [0.001, 0.999], with b solved so that
+    the mean before clipping is ``target``; b is in ``calibration_bias``."""
+    b = solve_base_rate_bias(materialize(df.select(zcol)), zcol, target, scale)
+    prob = F.least(F.greatest(sigmoid(F.lit(scale) * F.col(zcol) + F.lit(b)), F.lit(0.001)), F.lit(0.999))
+    return df.withColumn(out, prob).withColumn("calibration_bias", F.lit(b))
+
+
 def assign_conversion_from_features(features: DataFrame, target_base_rate: float = 0.10,
                                     seed: int = 42) -> DataFrame:
     """Label customers from their own features: weighted propensity + noise
@@ -232,15 +241,11 @@ def assign_conversion_from_features(features: DataFrame, target_base_rate: float
     g = p.agg(F.avg("_prop").alias("mu"), F.stddev_samp("_prop").alias("sd")).first()
     mu, sd = g["mu"], max(g["sd"] if g["sd"] is not None else 0.0, 0.01)
     z = p.withColumn("_z", (F.col("_prop") - F.lit(mu)) / F.lit(sd))
-    zz = materialize(z.select("_z"))
-    b = solve_base_rate_bias(zz, "_z", target_base_rate)
-    prob = F.least(F.greatest(sigmoid(F.lit(LOGISTIC_SCALE) * F.col("_z") + F.lit(b)), F.lit(0.001)), F.lit(0.999))
-    out = z.withColumn("_p", prob)
+    out = calibrate_base_rate(z, "_z", target_base_rate, "_p")
     out = out.withColumn("conversion_probability", F.bround(F.col("_p"), 4)) \
              .withColumn("loan_converted", (hash_uniform(F.col("customer_id"), seed, 9) < F.col("_p")).cast("int"))
     keep = [c for c in features.columns if c not in ("conversion_probability", "loan_converted")]
-    return out.select(*keep, "conversion_probability", "loan_converted").withColumn(
-        "calibration_bias", F.lit(b))
+    return out.select(*[c for c in keep if c != "calibration_bias"], "conversion_probability", "loan_converted", "calibration_bias")
 
 
 def label_summary(labelled: DataFrame) -> DataFrame:

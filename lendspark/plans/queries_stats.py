@@ -186,11 +186,24 @@ def q_assign_conversion(spark, sf):
     return lab.select("customer_id", "conversion_probability", "loan_converted")
 
 
-@register("base_rate_calibration")
+@register("base_rate_calibration", with_features(
+    PROP_CTE + ", f_pz as materialized (select (propensity - mu) / greatest(sd, 0.01) as z from f_prop cross join "
+    "(select avg(propensity) as mu, stddev_samp(propensity) as sd from f_prop) g), "
+    "f_step as (select 0 as i, -10.0::double as lo, 10.0::double as hi union all "
+    "select i + 1, case when m > 0.1 then lo else (lo + hi) / 2 end, case when m > 0.1 then (lo + hi) / 2 else hi end "
+    "from (select i, lo, hi, avg(1 / (1 + exp(-(4.5 * z + (lo + hi) / 2)))) as m from f_step cross join f_pz "
+    "where i < 55 group by i, lo, hi) s), "
+    "f_bias as (select (lo + hi) / 2 as b from f_step where i = 55)\n"
+    "select round(max(b), 6) as bias, round(avg(p), 6) as mean_probability, round(min(p), 6) as min_probability, "
+    "round(max(p), 6) as max_probability from (select b, least(greatest(1 / (1 + exp(-(4.5 * z + b))), 0.001), 0.999) as p "
+    "from f_pz cross join f_bias) t").replace("with ", "with recursive ", 1))
 def q_calibration(spark, sf):
-    lab = st.assign_conversion_from_features(feature_matrix(spark, sf), 0.10)
-    return lab.agg(F.first("calibration_bias").alias("bias"),
-                   F.avg("conversion_probability").alias("mean_probability"))
+    """The bias that brings the mean probability of the propensity's z-scores (no noise, no draw) to a tenth."""
+    p = st.weighted_propensity(feature_matrix(spark, sf)).select("customer_id", "propensity")
+    c = st.calibrate_base_rate(st.zscore(p, "propensity", "z"), "z", 0.10)
+    out = c.agg(F.max("calibration_bias").alias("bias"), F.avg("probability").alias("mean_probability"),
+                F.min("probability").alias("min_probability"), F.max("probability").alias("max_probability"))
+    return round_cols(out, ["bias", "mean_probability", "min_probability", "max_probability"])
 
 
 @register("bernoulli_label")

@@ -61,3 +61,15 @@ def test_assign_conversion_calibrated(spark):
     assert s[0] == pytest.approx(0.10, abs=0.002)  # rounding to 4 dp and the clip move it slightly
     assert 0.001 <= s[1] and s[2] <= 0.999
     assert set(r[0] for r in lab.select("loan_converted").distinct().collect()) <= {0, 1}
+
+
+def test_calibration_meets_the_target_whatever_the_layout(spark):
+    z = spark.range(500).select(F.col("id"), ((F.col("id") * 37 % 101) / 25.0 - 2.0).alias("z"))
+    biases = []
+    for parts in (1, 7):
+        out = st.calibrate_base_rate(z.repartition(parts), "z", 0.2)
+        row = out.agg(F.avg(1 / (1 + F.exp(-(st.LOGISTIC_SCALE * F.col("z") + F.col("calibration_bias"))))).alias("m"),
+                      F.min("probability").alias("lo"), F.max("probability").alias("hi"), F.max("calibration_bias").alias("b")).first()
+        assert abs(row["m"] - 0.2) < 1e-9 and 0.001 <= row["lo"] <= row["hi"] <= 0.999
+        biases.append(row["b"])
+    assert abs(biases[0] - biases[1]) < 1e-9
