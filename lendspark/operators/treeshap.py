@@ -1,28 +1,35 @@
-"""Per-row tree attributions (path-dependent TreeSHAP) for Spark GBT models.
-
-Algorithm: Lundberg, Erion & Lee, "Consistent Individualized Feature
-Attribution for Tree Ensembles" (2018), Algorithm 2 — written here
-vectorised over the rows of an Arrow batch: the recursion walks each tree
-once per batch; the path structure (features, zero fractions) is shared,
-and the per-row quantities (one fractions, permutation weights) are numpy
-vectors.
-
-Scale: the node table comes from the saved model (its size is bounded by
-trees × 2^depth, independent of the data) and is broadcast; rows stream
-through ``mapInPandas`` in Arrow batches, so no row ever leaves its
-partition and nothing is collected.
+"""Per-row tree attributions (path-dependent TreeSHAP) for Spark GBT models,
+looked up in a table of the model's leaf paths.
+
+A leaf is worth its value times a product over the features of its path: 1 or
+0 as the row's value lies in the path's interval (feature in the coalition),
+or the share of training rows that go that way (feature outside).  The Shapley
+values of such a product depend on the row only through which intervals it
+meets, so each leaf has one vector for each of these patterns, found once for
+the model; a row's attribution is the sum of its patterns' vectors over all
+leaves.  That equals the values of Lundberg, Erion & Lee, "Consistent
+Individualized Feature Attribution for Tree Ensembles" (2018).
+
+Scale: paths and vectors are bounded by the model (leaves x 2^depth), not by
+the data, and a model above TABLE_BYTES is refused; rows stream through
+``mapInArrow``, so none leaves its partition and nothing is collected.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
+from collections.abc import Iterator
+from math import factorial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+TABLE_BYTES = 256 << 20  # vectors of one model; depth 5 and 60 trees take 2.5 MB
+
 
 class TreeArrays:
     """One tree as flat arrays (node ids re-indexed 0..n-1)."""
@@ -36,92 +43,40 @@ class TreeArrays:
         leaves = self.left < 0
         return float((self.value[leaves] * self.cover[leaves]).sum() / self.cover[0])
 
-    def predict(self, X: np.ndarray) -> np.ndarray:
-        node = np.zeros(len(X), dtype=int)
-        while (internal := self.left[node] >= 0).any():
-            go_left = X[np.arange(len(X)), np.maximum(self.feature[node], 0)] <= self.threshold[node]
-            nxt = np.where(go_left, self.left[node], self.right[node])
-            node = np.where(internal, nxt, node)
-        return self.value[node]
-
-
-def _extend(path, zero_fraction, one_fraction, feature):
-    feats, zeros, ones, pw = path
-    d = len(feats)
-    n = len(one_fraction)
-    feats, zeros, ones = feats + [feature], zeros + [zero_fraction], ones + [one_fraction]
-    pw = [w.copy() for w in pw] + [np.ones(n) if d == 0 else np.zeros(n)]
-    for i in range(d - 1, -1, -1):
-        pw[i + 1] = pw[i + 1] + one_fraction * pw[i] * (i + 1) / (d + 1)
-        pw[i] = zero_fraction * pw[i] * (d - i) / (d + 1)
-    return feats, zeros, ones, pw
-
-
-def _unwind(path, index):
-    feats, zeros, ones, pw = path
-    d = len(feats) - 1
-    of, zf = ones[index], zeros[index]
-    nonzero = of != 0
-    safe_of = np.where(nonzero, of, 1.0)
-    nxt = pw[d].copy()
-    pw = [w.copy() for w in pw]
-    for i in range(d - 1, -1, -1):
-        tmp = pw[i]
-        a = nxt * (d + 1) / ((i + 1) * safe_of)
-        b = pw[i] * (d + 1) / (zf * (d - i))
-        nxt = np.where(nonzero, tmp - a * zf * (d - i) / (d + 1), nxt)
-        pw[i] = np.where(nonzero, a, b)
-    feats = feats[:index] + feats[index + 1:]
-    zeros = zeros[:index] + zeros[index + 1:]
-    ones = ones[:index] + ones[index + 1:]
-    return feats, zeros, ones, pw[:d]
-
-
-def _unwound_sum(path, index):
-    feats, zeros, ones, pw = path
-    d = len(feats) - 1
-    of, zf = ones[index], zeros[index]
-    nonzero = of != 0
-    safe_of = np.where(nonzero, of, 1.0)
-    nxt = pw[d]
-    total_one = np.zeros_like(nxt)
-    total_zero = np.zeros_like(nxt)
-    for i in range(d - 1, -1, -1):
-        tmp = nxt / ((i + 1) * safe_of)
-        total_one = total_one + tmp
-        nxt = pw[i] - tmp * zf * (d - i)
-        total_zero = total_zero + pw[i] / (zf * (d - i))
-    return np.where(nonzero, total_one, total_zero) * (d + 1)
-
-
-def tree_shap(tree: TreeArrays, X: np.ndarray, n_features: int) -> np.ndarray:
-    """SHAP values (rows × features) of one tree's output."""
-    n = len(X)
-    phi = np.zeros((n, n_features))
-    rows = np.arange(n)
-
-    def recurse(node, path, zero_fraction, one_fraction, feature):
-        path = _extend(path, zero_fraction, one_fraction, feature)
-        if tree.left[node] < 0:
-            feats, zeros, ones, _ = path
-            for i in range(1, len(feats)):
-                w = _unwound_sum(path, i)
-                phi[rows, feats[i]] += w * (ones[i] - zeros[i]) * tree.value[node]
-            return
-        f = int(tree.feature[node])
-        go_left = (X[:, f] <= tree.threshold[node]).astype(float)
-        in_zero, in_one = 1.0, np.ones(n)
-        feats = path[0]
-        if f in feats[1:]:
-            k = feats.index(f, 1)
-            in_zero, in_one = path[1][k], path[2][k]
-            path = _unwind(path, k)
-        lc, rc = tree.left[node], tree.right[node]
-        recurse(lc, path, tree.cover[lc] / tree.cover[node] * in_zero, in_one * go_left, f)
-        recurse(rc, path, tree.cover[rc] / tree.cover[node] * in_zero, in_one * (1.0 - go_left), f)
-
-    recurse(0, ([], [], [], []), 1.0, np.ones(n), -1)
-    return phi
+    def paths(self) -> list[tuple[float, list[tuple]]]:
+        """(leaf value, [(feature, above, up to, share of rows)]) for each leaf:
+        one interval for each feature on its path, None where it is open."""
+        found, stack = [], [(0, {})]
+        while stack:
+            node, met = stack.pop()
+            if self.left[node] < 0:
+                found.append((float(self.value[node]), [(f, *m) for f, m in met.items()]))
+                continue
+            f, cut = int(self.feature[node]), float(self.threshold[node])
+            above, upto, share = met.get(f, (None, None, 1.0))
+            for child, interval in ((self.left[node], (above, cut if upto is None else min(cut, upto))),
+                                    (self.right[node], (cut if above is None else max(cut, above), upto))):
+                stack.append((child, met | {f: (*interval, share * self.cover[child] / self.cover[node])}))
+        return found
+
+
+def pattern_values(share: np.ndarray) -> np.ndarray:
+    """Shapley values (paths x patterns x features) of products of ``share``
+    (paths x features); bit j of a pattern says that interval j is met.  The
+    coefficients of prod(share + met * t) sum the coalitions of each size."""
+    n, k = share.shape
+    met = (np.arange(1 << k)[:, None] >> np.arange(k) & 1).astype(float)
+    weight = np.array([factorial(s) * factorial(k - 1 - s) / factorial(k) for s in range(k)])
+    out = np.empty((n, 1 << k, k))
+    for i in range(k):
+        size = np.zeros((n, 1 << k, k))
+        size[..., 0] = 1.0
+        for j in set(range(k)) - {i}:
+            grown = size * share[:, None, j, None]
+            grown[..., 1:] += size[..., :-1] * met[None, :, j, None]
+            size = grown
+        out[..., i] = (size @ weight) * (met[None, :, i] - share[:, None, i])
+    return out
 
 
 def load_gbt_trees(spark, model_path: str) -> tuple[list[TreeArrays], list[float]]:
@@ -147,6 +102,51 @@ def load_gbt_trees(spark, model_path: str) -> tuple[list[TreeArrays], list[float
     return trees, weights
 
 
+def path_tables(trees: list[TreeArrays], weights: list[float]) -> list[tuple[list, np.ndarray]]:
+    """([(feature, above, up to)], weighted values by pattern and feature) for each leaf below a split."""
+    leaves = [(w * value, met) for t, w in zip(trees, weights) for value, met in t.paths() if met]
+    size = sum(8 * len(met) << len(met) for _, met in leaves)
+    if size > TABLE_BYTES:
+        raise ValueError(f"the trees are too deep: their path vectors take {size} bytes, more than {TABLE_BYTES}")
+    return [([m[:3] for m in met], v * pattern_values(np.array([[m[3] for m in met]]))[0]) for v, met in leaves]
+
+
+def _attributions(x: np.ndarray, paths: list[tuple[list, np.ndarray]]) -> np.ndarray:
+    """Sum of the leaves' vectors, features x rows, for features x rows."""
+    out = np.zeros_like(x)
+    for intervals, vectors in paths:
+        pattern = np.zeros(x.shape[1], np.int64)
+        for j, (f, above, upto) in enumerate(intervals):
+            met = np.ones(x.shape[1], bool) if above is None else x[f] > above
+            if upto is not None:
+                met &= x[f] <= upto
+            pattern |= met.astype(np.int64) << j
+        for j, (f, _, _) in enumerate(intervals):
+            out[f] += vectors[pattern, j]
+    return out
+
+
+def attribute(df: DataFrame, trees: list[TreeArrays], weights: list[float], feature_cols: list[str],
+              id_col: str = "customer_id") -> DataFrame:
+    """(id, feature_values, shap_values) for each row; null and NaN features are 0."""
+    n = len(feature_cols)
+    spread = df.sparkSession.sparkContext.broadcast(path_tables(trees, weights))
+    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), T.StructField("x", T.ArrayType(T.DoubleType())),
+                           T.StructField("v", T.ArrayType(T.DoubleType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.stack([batch.column(k + 1).to_numpy(zero_copy_only=False) for k in range(n)])
+            ends = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * n)
+            lists = [pa.ListArray.from_arrays(ends, pa.array(a.T.ravel())) for a in (x, _attributions(x, spread.value))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["id", "x", "v"])
+
+    zero = F.lit(0.0)
+    xs = [F.nanvl(F.coalesce(F.col(c).cast("double"), zero), zero).alias(f"x{k}") for k, c in enumerate(feature_cols)]
+    out = df.select(F.col(id_col).alias("id"), *xs).mapInArrow(run, schema)
+    return out.select(F.col("id").alias(id_col), F.col("x").alias("feature_values"), F.col("v").alias("shap_values"))
+
+
 def tree_attribution(df: DataFrame, gbt_model, feature_cols: list[str], id_col: str = "customer_id",
                      margin_scale: float = 2.0) -> DataFrame:
     """Adds per-feature attributions in log-odds space (Spark's GBT
@@ -156,40 +156,17 @@ def tree_attribution(df: DataFrame, gbt_model, feature_cols: list[str], id_col:
     spark = df.sparkSession
     m = gbt_model.stages[-1] if hasattr(gbt_model, "stages") else gbt_model
     from ..session import ensure_checkpoint_dir
-    ckpt = ensure_checkpoint_dir(spark)  # shared folder: executors read the node table from it
-    path = os.path.join(ckpt, f"treeshap-model-{m.uid}")
-    m.write().overwrite().save(path)
+    path = os.path.join(ensure_checkpoint_dir(spark), f"treeshap-model-{m.uid}-{uuid.uuid4().hex}")
+    m.write().save(path)
     trees, weights = load_gbt_trees(spark, path)
-    base = margin_scale * sum(w * t.expected_value() for t, w in zip(trees, weights))
-    bc = spark.sparkContext.broadcast((trees, weights))
-    nf = len(feature_cols)
-
-    def run(batches):
-        ts, ws = bc.value
-        for pdf in batches:
-            X = pdf[feature_cols].fillna(0.0).to_numpy(dtype=float)
-            phi = np.zeros((len(X), nf))
-            for t, w in zip(ts, ws):
-                phi += w * tree_shap(t, X, nf)
-            phi *= margin_scale
-            out = pd.DataFrame({id_col: pdf[id_col].values})
-            out["shap_values"] = list(phi)
-            out["feature_values"] = list(X)
-            out["attribution_base"] = base
-            yield out
-
-    id_type = df.schema[id_col].dataType
-    schema = T.StructType([T.StructField(id_col, id_type),
-                           T.StructField("shap_values", T.ArrayType(T.DoubleType())),
-                           T.StructField("feature_values", T.ArrayType(T.DoubleType())),
-                           T.StructField("attribution_base", T.DoubleType())])
-    x = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in feature_cols])
-    out = x.mapInPandas(run, schema)
+    weights = [margin_scale * w for w in weights]
+    base = sum(w * t.expected_value() for t, w in zip(trees, weights))
+    out = attribute(df, trees, weights, feature_cols, id_col)
     names = F.array(*[F.lit(c) for c in feature_cols])
-    pos = F.sequence(F.lit(0), F.lit(nf - 1))
+    pos = F.sequence(F.lit(0), F.lit(len(feature_cols) - 1))
     z = F.arrays_zip(names.alias("f"), F.col("shap_values").alias("v"), F.col("feature_values").alias("x"),
                      pos.alias("p"))
-    return out.select(id_col, "attribution_base",
+    return out.select(id_col, F.lit(base).alias("attribution_base"),
                       F.transform(z, lambda e: F.struct(e["f"].alias("feature"), e["v"].alias("shap_value"),
                                                         e["x"].alias("feature_value"), e["p"].alias("position")))
                       .alias("attributions"))

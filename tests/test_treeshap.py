@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lendspark.operators.treeshap import TreeArrays, tree_shap, tree_attribution
+from lendspark.operators import treeshap
+from lendspark.operators.treeshap import TreeArrays, attribute, tree_attribution
 
 
 def _exp_value(t, x, S, node=0):
@@ -44,14 +45,47 @@ def _tree():
     return TreeArrays(left, right, feat, thr, value, cover)
 
 
-def test_matches_brute_force_shapley():
-    t = _tree()
-    rng = np.random.default_rng(5)
-    X = rng.random((40, 4))
-    phi = tree_shap(t, X, 4)
-    for row, x in enumerate(X):
-        np.testing.assert_allclose(phi[row], _brute(t, x, 4), atol=1e-12)
-        assert phi[row].sum() + t.expected_value() == pytest.approx(t.predict(x[None, :])[0])
+def _predict(t, x, node=0):
+    while t.left[node] >= 0:
+        node = t.left[node] if x[t.feature[node]] <= t.threshold[node] else t.right[node]
+    return t.value[node]
+
+
+def test_matches_brute_force_shapley(spark):
+    """Two weighted trees, one with a feature twice on a path; repeated rows, nulls, infinities and values on a threshold."""
+    first, second = _tree(), TreeArrays([1, -1, -1], [2, -1, -1], [3, -1, -1], [0.5, 0, 0], [0, 2.0, -1.0], [10, 4, 6])
+    X = np.random.default_rng(5).random((40, 4))
+    X[0], X[1], X[2] = 0.5, math.inf, -math.inf
+    X[3] = X[4] = [0.5, 0.3, 0.1, 0.5]
+    rows = [(i // 2, *map(float, x)) for i, x in enumerate(X)] + [(99, None, math.nan, 0.2, 0.2), (None, 0.1, 0.2, 0.3, 0.4)]
+    rows += [rows[0]] * 2
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, d double")
+    weights = [1.0, 0.25]
+    got = attribute(df, [first, second], weights, ["a", "b", "c", "d"], "id").collect()
+    assert len(got) == len(rows)
+    plain = lambda v: 0.0 if v is None or v != v else v
+    assert sorted(((r["id"] is None, r["id"] or 0, *r["feature_values"]) for r in got)) \
+        == sorted((r[0] is None, r[0] or 0, *map(plain, r[1:])) for r in rows)
+    for r in got:
+        x = r["feature_values"]
+        want = sum(w * _brute(t, x, 4) for t, w in zip([first, second], weights))
+        np.testing.assert_allclose(r["shap_values"], want, atol=1e-12)
+        base = sum(w * t.expected_value() for t, w in zip([first, second], weights))
+        assert sum(r["shap_values"]) + base == pytest.approx(sum(w * _predict(t, x) for t, w in zip([first, second], weights)))
+
+
+def test_too_deep_trees_are_refused(monkeypatch):
+    monkeypatch.setattr(treeshap, "TABLE_BYTES", 1000)
+    with pytest.raises(ValueError):
+        treeshap.path_tables([_tree()] * 20, [1.0] * 20)
+    assert len(treeshap.path_tables([_tree()], [1.0])) == 6
+
+
+def test_trees_without_splits_and_no_rows(spark):
+    stump = TreeArrays([-1], [-1], [-1], [0], [3.0], [5])
+    df = spark.createDataFrame([(1, 0.5)], "id long, a double")
+    assert attribute(df, [stump], [1.0], ["a"], "id").first()["shap_values"] == [0.0]
+    assert attribute(df.limit(0), [_tree()], [1.0], ["a", "a", "a"], "id").count() == 0
 
 
 def test_spark_gbt_additivity(spark):
