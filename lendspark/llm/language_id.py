@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import chunks, stored
 from .features import Points, point_chunks
 
 MOST_LANGUAGES = 500    # more distinct values of lang are refused: the model has a row for each
@@ -70,13 +70,13 @@ def _likelihoods(spread_model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, table = spread_model.value
         for batch in batches:
-            html = batch.column("html").to_pylist()
-            for lo in range(0, len(html), 256):
-                p = Points([visible(h or "").lower() for h in html[lo:lo + 256]])
+            for lo, hi, data, offs in chunks(batch.column("html")):
+                raw = data.tobytes()
+                p = Points([visible(raw[a:b].decode("utf-8", "replace")).lower() for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())])
                 ids, text = _ngrams(p)
                 log = np.stack([np.bincount(text, row[ids], p.n) for row in table], 1) * TEMPER
                 log -= log.max(1, keepdims=True)
-                part = batch.slice(lo, p.n)
+                part = batch.slice(lo, hi - lo)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(p.n + 1, dtype=np.int32) * len(names)), pa.array(log.ravel()))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("page_id", "host", "suffix", "declared")), lists],
                                                  names=["page_id", "host", "suffix", "declared", "log"])
