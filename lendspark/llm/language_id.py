@@ -17,6 +17,7 @@ from .features import Points, point_chunks
 
 MOST_LANGUAGES = 500    # more distinct values of lang are refused: the model has a row for each
 BUCKETS = 1 << 14
+SALTS = 64              # parts of a host's pages
 NGRAMS = (1, 2, 3)
 TEMPER = 0.1            # overlapping n-grams are far from independent evidence
 HOST_PRIOR, SUFFIX_PRIOR, DECLARED_PRIOR, FLOOR = 20.0, 50.0, 5.0, 0.5  # pseudo-counts
@@ -90,9 +91,9 @@ def _normal(column):
     return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, b: a + b))
 
 
-def _sums(df: DataFrame, key: list, n: int, name: str) -> DataFrame:
-    """Sums of the text posteriors by key, one column each, so that the aggregate is partial and hashed."""
-    rows = df.groupBy(*key).agg(*[F.sum(F.col("post")[k]).alias(f"s{k}") for k in range(n)])
+def _sums(df: DataFrame, key: list, n: int, name: str, of: str = "post") -> DataFrame:
+    """Sums of arrays (the text posteriors) by key, one column each, so that the aggregate is partial and hashed."""
+    rows = df.groupBy(*key).agg(*[F.sum(F.col(of)[k]).alias(f"s{k}") for k in range(n)])
     return rows.select(*key, F.array(*[F.col(f"s{k}") for k in range(n)]).alias(name))
 
 
@@ -106,8 +107,8 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     grouped sums of text posteriors over all pages: a host's counts are
     smoothed by those of its address suffix, these by those of all pages, and
     a page's own share is taken out of its host's counts first.  Sums are
-    partial aggregates, so a host with a third of all pages is one row a task;
-    its join is left to adaptive execution.
+    partial aggregates, so a host with a third of all pages is SALTS rows a task;
+    its prior goes back to the salts that hold its pages, joined by host and salt.
 
     Null or empty html has equal likelihoods, a null url has its own host and
     suffix (none), markup without a language declares none.  Ties go to the
@@ -127,9 +128,11 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
         return rows_.select("page_id", none.alias("lang"), F.lit(None).cast("double").alias("posterior"), none.alias("text_lang"), "declared", "host", "suffix")
     spread = spark.sparkContext.broadcast((names, table))
     base = stored(rows_.mapInArrow(_likelihoods(spread), "page_id long, host string, suffix string, declared string, log array<double>")
-                  .withColumn("post", _normal(F.col("log"))), "pages")
+                  .withColumn("post", _normal(F.col("log")))
+                  .withColumn("salt", F.pmod(F.xxhash64("page_id", "log"), F.lit(SALTS)).cast("int")), "pages")
 
-    by_host, by_suffix = _sums(base, ["host", "suffix"], n, "host_sum"), _sums(base, ["suffix"], n, "suffix_sum")
+    salted = _sums(base, ["host", "suffix", "salt"], n, "part")
+    by_host, by_suffix = _sums(salted, ["host", "suffix"], n, "host_sum", "part"), _sums(base, ["suffix"], n, "suffix_sum")
     everything, by_declared = _sums(base, [], n, "all_sum"), _sums(base, ["declared"], n, "declared_sum")
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
     # one row for all pages, joined to the suffixes and declared languages, which a page has at most one of
@@ -137,7 +140,8 @@ def identify(pages: DataFrame, docs: DataFrame) -> DataFrame:
     suffix = suffix.select("suffix", F.zip_with("suffix_sum", "all_prior", lambda s, a: (s + a * SUFFIX_PRIOR) / (total(F.col("suffix_sum")) + SUFFIX_PRIOR)).alias("suffix_prior"))
     shown = by_declared.crossJoin(everything).select("declared", F.zip_with("declared_sum", "all_sum", lambda d, a: F.log((d + FLOOR) / (a + DECLARED_PRIOR))).alias("declared_log"))
     hosts = by_host.join(suffix, "suffix")
-    fused = base.join(hosts, ["host", "suffix"]).join(shown, "declared")
+    hosts = salted.select("host", "suffix", "salt").join(hosts, ["host", "suffix"])  # at most SALTS rows a host
+    fused = base.join(hosts, ["host", "suffix", "salt"]).join(shown, "declared")
     own = F.zip_with("host_sum", "post", lambda h, p: F.greatest(h - p, F.lit(0.0)))
     prior = F.zip_with(own, "suffix_prior", lambda h, s: F.log(h + s * HOST_PRIOR))
     log = F.zip_with(F.zip_with("log", prior, lambda a, b: a + b), "declared_log", lambda a, b: a + b)
