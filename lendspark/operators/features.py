@@ -2,14 +2,14 @@
 
 Plan shape (the point of this module):
 
-* Raw transactions are reduced **once** to a (customer, month, type,
-  category) rollup.  The reduction is a hash aggregate with map-side partial
-  aggregation, so a customer holding a third of all rows is combined inside
-  every map task before the shuffle and never lands in one task as raw rows.
-* The rollup is re-partitioned by ``customer_id`` alone.  Every later
+* Raw transactions are reduced **once** to partial sums by (customer, month,
+  type, category).  Rows are combined in bounded runs inside the map tasks
+  (Arrow), so a customer holding a third of all rows is combined before the
+  shuffle and never lands in one task as raw rows.
+* The partial sums are partitioned by ``customer_id`` alone.  Every later
   aggregate ((customer, month), (customer, category), customer) and every
   join on ``customer_id`` is then satisfied by that partitioning, so the
-  whole feature matrix costs two shuffles of reduced data plus one for the
+  whole feature matrix costs one shuffle of combined rows plus one for the
   customer table.
 * Global statistics (latest date, min/max for scaling, engagement maxima)
   are one-row aggregates cross-joined as broadcasts — size bound: one row.
@@ -20,8 +20,12 @@ Plan shape (the point of this module):
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import clip, month_bucket, nonzero
 
@@ -106,22 +110,56 @@ def materialize(df: DataFrame) -> DataFrame:
         held.unpersist()
 
 
+COMBINED_ROWS = 1 << 18  # rows of a task that are combined at a time: some 20 MB
+
+
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of equal keys of each run of COMBINED_ROWS rows as one row."""
+    keys = ["customer_id", "month", "txn_type", "category", "nan"]
+    sums = [("amt", "sum"), ("n", "sum"), ("rows", "sum"), ("max_amt", "max"), ("last_date", "max")]
+
+    def combined(run):
+        t = pa.Table.from_batches(run)
+        g = t.group_by(keys, use_threads=False).aggregate(sums)
+        g = g.select([*keys, *(f"{c}_{f}" for c, f in sums)]).rename_columns(t.column_names)
+        return g.cast(t.schema).combine_chunks().to_batches()
+
+    run, size = [], 0
+    for batch in batches:
+        run.append(batch)
+        size += batch.num_rows
+        if size >= COMBINED_ROWS:
+            yield from combined(run)
+            run, size = [], 0
+    if size:
+        yield from combined(run)
+
+
 def txn_rollup(txns: DataFrame) -> DataFrame:
-    """(customer, month, type, category) partial sums, partitioned by customer."""
+    """Partial sums by (customer, month, type, category), partitioned by
+    customer: rows are combined in bounded runs inside the map tasks and then
+    moved once.  A key may have several partial sums, one for each run at
+    most; all of them are in one partition."""
     cols = set(txns.columns)
     cat = F.col("category") if "category" in cols else F.lit(None).cast("string")
+    day = F.col("txn_date").cast("date")
+    keys = [F.col("customer_id"), month_bucket(day).alias("month"), F.col("txn_type"), cat.alias("category")]
     # Rows without a customer cannot be attributed (pandas drops NaN group
     # keys too).
-    return (txns.filter(F.col("customer_id").isNotNull())
-            .groupBy(F.col("customer_id"),
-                     month_bucket(F.col("txn_date").cast("date")).alias("month"),
-                     F.col("txn_type"), cat.alias("category"))
-            .agg(F.sum("amount").alias("amt"),
-                 F.count("amount").alias("n"),
-                 F.count(F.lit(1)).alias("rows"),
-                 F.max("amount").alias("max_amt"),
-                 F.max(F.col("txn_date").cast("date")).alias("last_date"))
-            .repartition("customer_id"))
+    known = txns.filter(F.col("customer_id").isNotNull())
+    amount = F.col("amount")
+    if txns.schema["amount"].dataType != T.DoubleType():  # sums of other types are left to Spark's own widening
+        return (known.groupBy(*keys)
+                .agg(F.sum("amount").alias("amt"), F.count("amount").alias("n"), F.count(F.lit(1)).alias("rows"),
+                     F.max("amount").alias("max_amt"), F.max(day).alias("last_date"))
+                .repartition("customer_id"))
+    # NaN is the greatest amount here but not in Arrow, so it is a key of its own
+    each = known.select(*keys, F.coalesce(F.isnan(amount), F.lit(False)).alias("nan"), amount.alias("amt"),
+                        amount.isNotNull().cast("long").alias("n"), F.lit(1).cast("long").alias("rows"),
+                        amount.alias("max_amt"), day.alias("last_date"))
+    sums = each.mapInArrow(_combine, each.schema)
+    return (sums.withColumn("max_amt", F.when(F.col("nan"), F.lit(float("nan"))).otherwise(F.col("max_amt")))
+            .drop("nan").repartition("customer_id"))
 
 
 def _levels(r: DataFrame) -> DataFrame:
@@ -151,9 +189,9 @@ def _levels(r: DataFrame) -> DataFrame:
 def transaction_aggregates(txns: DataFrame) -> DataFrame:
     """Every raw per-customer transaction statistic in one row.
 
-    raw → (customer, month, type, category) partial aggregate [shuffle 1]
-    → repartition by customer [shuffle 2, reduced data] → grouping sets
-    → customer aggregate.  The last two steps reuse the partitioning.
+    raw → (customer, month, type, category) partial sums → repartition by
+    customer [the one shuffle] → grouping sets → customer aggregate.  The last
+    two steps reuse the partitioning.
     """
     lv = _levels(txn_rollup(txns))
     m = (F.col("lvl") == 0) & (F.col("credit_rows") > 0)  # observed credit month
@@ -505,8 +543,8 @@ def build_feature_matrix(customers: DataFrame, txns: DataFrame, behavior: DataFr
     """customers ⟕ transaction features ⟕ engagement on customer_id,
     encodings, one-hots, numeric NULL → 0.
 
-    Transactions are reduced to one per-customer row (two shuffles of
-    reduced data) and materialised once; every transaction feature group is
+    Transactions are reduced to one per-customer row (one shuffle of
+    combined rows) and materialised once; every transaction feature group is
     a projection of that row, so the matrix needs two joins, both keyed on
     the same customer partitioning."""
     out = base_projection(customers)
