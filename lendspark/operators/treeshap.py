@@ -111,18 +111,33 @@ def path_tables(trees: list[TreeArrays], weights: list[float]) -> list[tuple[lis
     return [([m[:3] for m in met], v * pattern_values(np.array([[m[3] for m in met]]))[0]) for v, met in leaves]
 
 
+MET_BYTES = 64 << 20  # comparisons held at a time
+
+
 def _attributions(x: np.ndarray, paths: list[tuple[list, np.ndarray]]) -> np.ndarray:
-    """Sum of the leaves' vectors, features x rows, for features x rows."""
+    """Sum of the leaves' vectors, features x rows, for features x rows without
+    NaN.  Each comparison is made once, as many leaves share a cut."""
     out = np.zeros_like(x)
-    for intervals, vectors in paths:
-        pattern = np.zeros(x.shape[1], np.int64)
-        for j, (f, above, upto) in enumerate(intervals):
-            met = np.ones(x.shape[1], bool) if above is None else x[f] > above
-            if upto is not None:
-                met &= x[f] <= upto
-            pattern |= met.astype(np.int64) << j
-        for j, (f, _, _) in enumerate(intervals):
-            out[f] += vectors[pattern, j]
+    cuts = {(f, cut) for intervals, _ in paths for f, *ends in intervals for cut in ends if cut is not None}
+    vectors = [([tuple(i) for i in intervals], np.ascontiguousarray(v.T)) for intervals, v in paths]
+    step = max(MET_BYTES // max(len(cuts), 1), 1)
+    for at in range(0, x.shape[1], step):
+        part, total = x[:, at:at + step], out[:, at:at + step]
+        over = {(f, cut): part[f] > cut for f, cut in cuts}
+        taken = np.empty(part.shape[1])
+        for intervals, by_feature in vectors:
+            # patterns in bytes where they fit: a leaf is mostly comparisons
+            kind = np.uint8 if len(intervals) <= 8 else np.intp
+            pattern = np.zeros(part.shape[1], kind)
+            for j, (f, above, upto) in enumerate(intervals):
+                if upto is None:
+                    met = over[f, above]
+                else:
+                    met = ~over[f, upto] if above is None else over[f, above] & ~over[f, upto]
+                pattern |= met.view(np.uint8).astype(kind, copy=False) * kind(1 << j)
+            pattern = pattern.astype(np.intp, copy=False)
+            for (f, _, _), values in zip(intervals, by_feature, strict=True):
+                total[f] += np.take(values, pattern, out=taken, mode="clip")  # patterns are in range: no check
     return out
 
 
