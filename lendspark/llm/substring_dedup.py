@@ -9,11 +9,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUE, ODD, U64, chunks, mix, span_hashes, stored
+from .common import BYTE_VALUE, CHUNK_BYTES, ODD, U64, as_bytes, chunks, mix, span_hashes, stored
 from .suffix_array import common_prefixes, suffix_array
 
 GRAM = 200                      # bytes of a string that must not start twice
@@ -221,12 +222,25 @@ def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The wanted stretches of each text, given out in runs of about CHUNK_BYTES
+    bytes of them: stretches overlap, so a batch of texts would grow many times."""
     for batch in batches:
-        out = []
-        for raw, wanted in zip(batch.column("bytes").to_pylist(), batch.column("wanted").to_pylist()):
-            out += [(w["key"], w["content"], w["weight"], raw[w["start"]:w["start"] + w["length"]]) for w in wanted]
-        yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                                         names=["id1", "id2", "weight", "bytes"])
+        data, offs = as_bytes(batch.column("bytes"))
+        wanted = batch.column("wanted")
+        w = wanted.flatten()
+        key, content, weight, start, length = (w.field(c) for c in ("key", "content", "weight", "start", "length"))
+        start = np.repeat(offs[:-1], pc.fill_null(pc.list_value_length(wanted), 0).to_numpy()) + start.to_numpy()
+        end = np.cumsum(length.to_numpy(), dtype=np.int64)
+        i = 0
+        while i < len(end):
+            before = int(end[i - 1]) if i else 0
+            j = max(int(np.searchsorted(end, before + CHUNK_BYTES, "right")), i + 1)
+            at = np.concatenate([[before], end[i:j]]) - before
+            index = np.repeat(start[i:j] - at[:-1], np.diff(at)) + np.arange(at[-1])
+            raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(at), pa.py_buffer(data[index])])
+            yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in (key, content, weight)), raw.cast(pa.binary())],
+                                             names=["id1", "id2", "weight", "bytes"])
+            i = j
 
 
 RANGES = "array<struct<a:int,b:int>>"
@@ -292,7 +306,9 @@ def removed_spans(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n_removed, n_spans, digest, spans = [], [], [], []
-        for raw, a, b in zip(batch.column("bytes").to_pylist(), batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+        data, offs = as_bytes(batch.column("bytes"))
+        for k in range(batch.num_rows):
+            raw, a, b = memoryview(data[offs[k]:offs[k + 1]]), batch.column("a")[k].as_py(), batch.column("b")[k].as_py()
             runs = removed_spans(a, b)
             kept, at = hashlib.sha256(), 0
             for x, y in runs:
