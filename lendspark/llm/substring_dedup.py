@@ -277,12 +277,13 @@ def _repeats(found: DataFrame, texts, level: int) -> DataFrame:
             split = stored(contents.join(hot, "id1", "left_semi"), "split")
             cool = contents.join(hot, "id1", "left_anti")
             marks = _repeats(stored(split.mapInArrow(_of_contents(SEEDS[level + 1]), UNITS), "units"), lambda _: split.drop("weight"), level + 1)
-            marks = marks.select(F.col("id1").alias("key"), F.col("id2").alias("content"), F.explode("ranges").alias("r")).select("key", "content", "r.a", "r.b")
+            marks = marks.select(F.col("id1").alias("key"), F.col("id2").alias("content"), "ranges")  # one row a place: not opened
     shards = total // SHARD_BYTES + 1
     ranges = (cool.withColumn("shard", F.pmod(F.xxhash64("id1"), F.lit(shards)))
-              .groupBy("shard").applyInPandas(_shard, "key long, content long, a int, b int"))
+              .groupBy("shard").applyInPandas(_shard, "key long, content long, a int, b int")
+              .select("key", "content", F.array(F.struct("a", "b")).alias("ranges")))
     # one row a content, so that each place of it meets one row
-    ranges = (ranges.unionByName(marks) if marks is not None else ranges).groupBy("key", "content").agg(_merged(F.collect_list(F.struct("a", "b"))).alias("ranges"))
+    ranges = (ranges.unionByName(marks) if marks is not None else ranges).groupBy("key", "content").agg(_merged(F.flatten(F.collect_list("ranges"))).alias("ranges"))
     ranges = stored(ranges, "ranges")
     places = live.select("id1", "id2", "key", "content", "start").distinct()
     moved = F.transform("ranges", lambda r: F.struct((F.col("start") + r["a"]).alias("a"), (F.col("start") + r["b"]).alias("b")))
