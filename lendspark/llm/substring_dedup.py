@@ -120,6 +120,113 @@ def _of_contents(seed: int):
     return run
 
 
+def _gathered(data: np.ndarray, first: np.ndarray, length: np.ndarray, step: int = 1) -> pa.Array:
+    """The bytes data[first], data[first + step], ... as one binary value a row."""
+    at = np.concatenate([[0], np.cumsum(length)])
+    index = np.repeat(first, length) + step * (np.arange(at[-1]) - np.repeat(at[:-1], length))
+    raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(at), pa.py_buffer(data[index])])
+    return raw.cast(pa.binary())
+
+
+ANCHORS = "id1 long, id2 long, at int, places array<int>, again boolean, before binary, after binary"
+
+
+def _anchors(seed: int):
+    """The places of the key's seed in a content, with the bytes before them,
+    backwards, and after them, as far as windows reach that hold this place first.
+    Equal windows hold their first place at the same offset.  Places of a content
+    with the same bytes around them are one row, named by the first (at)."""
+    slack = GRAM - seed
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, ids, weight = (batch.column(c).to_numpy() for c in ("id1", "id2", "weight"))
+            for i, j, data, offs in chunks(batch.column("bytes")):
+                text = np.repeat(np.arange(j - i), np.diff(offs))
+                end = offs[1:][text]
+                place = np.flatnonzero((_rolling(data, seed) == keys[i:j].view(U64)[text]) & (np.arange(len(data)) + seed <= end))
+                text, end = text[place], end[place]
+                last = offs[text] - 1  # the place before this one, or just before the text
+                follows = text[1:] == text[:-1]
+                last[1:][follows] = place[:-1][follows]
+                before = np.minimum(slack, place - last - 1)
+                after = np.minimum(slack, end - place - seed)
+                ok = before + after >= slack
+                text, place, before, after = text[ok], place[ok], before[ok], after[ok]
+                same: dict[tuple, list[int]] = {}
+                raw = data.tobytes()
+                for k, (t, p, x, y) in enumerate(zip(text.tolist(), place.tolist(), before.tolist(), after.tolist())):
+                    same.setdefault((t, raw[p - x:p], raw[p:p + seed + y]), []).append(k)
+                row = np.array([k[0] for k in same.values()], int)
+                at = (place - offs[text]).astype(np.int32)
+                several = np.array([len(k) > 1 for k in same.values()], bool)
+                text, place = text[row], place[row]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[i:j][text]), pa.array(ids[i:j][text]), pa.array(at[row]), pa.array([at[k] for k in same.values()], pa.list_(pa.int32())),
+                     pa.array((weight[i:j][text] > 1) | several), _gathered(data, place - 1, before[row], -1), _gathered(data, place + seed, after[row])],
+                    names=[c.split()[0] for c in ANCHORS.split(", ")])
+    return run
+
+
+def _shared(strings: list[bytes]) -> np.ndarray:
+    """Bytes that each string shares with the next, from the front."""
+    size = np.array([len(x) for x in strings])
+    wide = max(int(size.max()), 1)
+    table = np.frombuffer(b"".join(x.ljust(wide, b"\0") for x in strings), np.uint8).reshape(len(strings), wide)
+    differ = table[1:] != table[:-1]
+    same = np.where(differ.any(1), differ.argmax(1), wide)
+    return np.minimum(same, np.minimum(size[1:], size[:-1]))
+
+
+def _reach(edges: dict[int, tuple]):
+    """Bytes that each row shares with any other row of its side and key: in
+    sorted order, with the one before or after.  edges: for each part of the
+    order, the last row before it and the first one after it, or None."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values(["side", "id1", "string"], kind="stable", ignore_index=True)
+        low, high = edges[int(rows["part"].iloc[0])]
+        groups = list(zip(rows["side"].tolist(), rows["id1"].tolist()))
+        groups = [low and low[:2], *groups, high and high[:2]]
+        strings = [low[2] if low else b"", *map(bytes, rows["string"]), high[2] if high else b""]
+        shared = _shared(strings)
+        shared[[a != b for a, b in zip(groups[:-1], groups[1:])]] = 0
+        size = np.array([len(x) for x in strings[1:-1]])
+        rows["reach"] = np.where(rows["again"], size, np.maximum(shared[:-1], shared[1:])).astype(np.int32)
+        return rows.loc[rows["reach"] >= rows["need"], ["side", "id1", "id2", "at", "reach"]]
+    return run
+
+
+def _trimmed(split: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Units of the stretches of hot contents that can repeat: around a place of
+    the seed, as far to both sides as any other place under the key goes along.
+    A window that leaves this on one side equals no other, so the surroundings
+    of a common passage, different in each text, are not split.  Windows around
+    places that are alike in one content, as in periodic texts, repeat: they come
+    as ranges (key, content, ranges), and one place stands for all as a unit."""
+    slack = GRAM - seed
+    anchors = stored(split.mapInArrow(_anchors(seed), ANCHORS), "anchors")
+    sides = [anchors.select(F.lit(side).alias("side"), "id1", "id2", "at", "again", F.col(own).alias("string"),
+                            (slack - F.length(other)).alias("need")) for side, own, other in ((0, "before", "after"), (1, "after", "before"))]
+    both = sides[0].unionByName(sides[1])
+    parts = (both.agg(F.sum(F.length("string"))).first()[0] or 0) // SHARD_BYTES + 1
+    ranged = stored(both.repartitionByRange(parts, "side", "id1", "string", "id2", "at").withColumn("part", F.spark_partition_id()), "ranged")
+    row = F.struct("side", "id1", "string")
+    ends = [(x["part"], tuple(x["low"]), tuple(x["high"]))  # two rows a part
+            for x in ranged.groupBy("part").agg(F.min(row).alias("low"), F.max(row).alias("high")).orderBy("part").collect()]
+    ends = [(part, (*low[:2], bytes(low[2])), (*high[:2], bytes(high[2]))) for part, low, high in ends]
+    edges = {part: (ends[k - 1][2] if k else None, ends[k + 1][1] if k + 1 < len(ends) else None) for k, (part, _, _) in enumerate(ends)}
+    reach = ranged.groupBy("part").applyInPandas(_reach(edges), "side int, id1 long, id2 long, at int, reach int")
+    extents = (reach.groupBy("id1", "id2", "at").agg(F.max(F.when(F.col("side") == 0, F.col("reach"))).alias("before"),
+                                                     F.max(F.when(F.col("side") == 1, F.col("reach"))).alias("after"))
+               .where(F.col("before") + F.col("after") >= slack))
+    inner = split.join(extents, ["id1", "id2"]).select(
+        "id1", "id2", (F.col("at") - F.col("before")).alias("start"), (F.col("before") + F.col("after") + seed).alias("length"), F.col("id1").alias("key"),
+        F.xxhash64(F.expr(f"substring(bytes, at - before + 1, before + after + {seed})")).alias("content"), "weight", F.lit(False).alias("again"))
+    known = anchors.where("again").select(F.col("id1").alias("key"), F.col("id2").alias("content"), F.transform("places", lambda p: F.struct(
+        (p - F.length("before")).alias("a"), (p + F.length("after") - (slack - 1)).alias("b"))).alias("ranges"))
+    return inner, known
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id1, id2, bytes) of the different texts of a task; copies go no further."""
     seen: set[tuple[int, int]] = set()
@@ -235,10 +342,8 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         while i < len(end):
             before = int(end[i - 1]) if i else 0
             j = max(int(np.searchsorted(end, before + CHUNK_BYTES, "right")), i + 1)
-            at = np.concatenate([[before], end[i:j]]) - before
-            index = np.repeat(start[i:j] - at[:-1], np.diff(at)) + np.arange(at[-1])
-            raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(at), pa.py_buffer(data[index])])
-            yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in (key, content, weight)), raw.cast(pa.binary())],
+            raw = _gathered(data, start[i:j], np.diff(end[i:j], prepend=before))
+            yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in (key, content, weight)), raw],
                                              names=["id1", "id2", "weight", "bytes"])
             i = j
 
@@ -255,10 +360,11 @@ def _merged(ranges):
         .otherwise(F.concat(done, F.array(x))))
 
 
-def _repeats(found: DataFrame, texts, level: int) -> DataFrame:
+def _repeats(found: DataFrame, texts, level: int, trimmed: bool = False) -> DataFrame:
     """(id1, id2, ranges): ranges [a, b) of windows that repeat, from units, one
     row a place.  texts(live) gives (id1, id2, bytes) of the texts that hold the
-    live units."""
+    live units.  Contents of a hot key are trimmed once; what is still too much
+    is split by the next seeds."""
     keys = found.groupBy("key").agg(F.sum("weight").alias("total"), F.max("again").alias("again")).where("total > 1 or again").select("key")
     live = stored(found.join(keys, "key"), "live")
     sources = texts(live)
@@ -276,8 +382,10 @@ def _repeats(found: DataFrame, texts, level: int) -> DataFrame:
         if not hot.isEmpty():
             split = stored(contents.join(hot, "id1", "left_semi"), "split")
             cool = contents.join(hot, "id1", "left_anti")
-            marks = _repeats(stored(split.mapInArrow(_of_contents(SEEDS[level + 1]), UNITS), "units"), lambda _: split.drop("weight"), level + 1)
+            inner, known = (split.mapInArrow(_of_contents(SEEDS[level + 1]), UNITS), None) if trimmed else _trimmed(split, SEEDS[level])
+            marks = _repeats(stored(inner, "units"), lambda _: split.drop("weight"), level + trimmed, True)
             marks = marks.select(F.col("id1").alias("key"), F.col("id2").alias("content"), "ranges")  # one row a place: not opened
+            marks = marks.unionByName(known) if known is not None else marks
     shards = total // SHARD_BYTES + 1
     ranges = (cool.withColumn("shard", F.pmod(F.xxhash64("id1"), F.lit(shards)))
               .groupBy("shard").applyInPandas(_shard, "key long, content long, a int, b int")
@@ -346,9 +454,11 @@ def repeated_substrings(docs: DataFrame) -> DataFrame:
     the others are dealt by key over shards, each with a suffix array built by
     induced sorting; neighbours that share GRAM bytes are repeats, copies of a
     content counting as often as they occur.  Equal contents are combined
-    first, so copies cost nothing; a key with too many different contents is
-    split by keys of longer seeds, at last by the window itself, so a passage
-    in a third of all texts does not gather in one shard.
+    first, so copies cost nothing; of a key with too many different contents
+    only the stretches are kept that another one goes along with on both sides
+    of the seed, found by sorting them over ranges, and if these are still too
+    many it is split by keys of longer seeds, at last by the window itself, so a
+    passage in a third of all texts does not gather in one shard.
 
     Null text is empty; texts under GRAM bytes lose nothing.  Equal rows and
     null doc_ids are rows like others.  Other columns are ignored; an empty

@@ -42,3 +42,40 @@ def test_places_of_inner_levels_stay_one_row(spark, monkeypatch):
     assert got == dict(enumerate(_kept(texts)))
     assert len(plans) > 1  # the passage was split
     assert not any("Generate" in p for p in plans)  # what an inner level found is not opened into a row a range
+
+
+def _inner_rows(spark, monkeypatch, texts):
+    """Rows of the units inside hot keys; the result is compared with brute force."""
+    rows, keep = [], substring_dedup.stored
+
+    def stored(df, name):
+        out = keep(df, name)
+        if name == "units":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(substring_dedup, "stored", stored)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_sha256"] for r in substring_dedup.repeated_substrings(docs).collect()}
+    assert got == dict(enumerate(_kept(texts)))
+    assert len(rows) > 1  # a key was hot
+    return sum(rows[1:])
+
+
+def test_periodic_contents_are_not_split_into_their_windows(spark, monkeypatch):
+    # the windows of a line repeated for long are the same few: they made a row each, in each text
+    monkeypatch.setattr(substring_dedup, "HOT_BYTES", 2000)
+    rnd = random.Random(5)
+    line = _text(rnd, 60)
+    texts = [_text(rnd, 150) + line * (8 + k) + _text(rnd, 150) for k in range(30)]
+    assert _inner_rows(spark, monkeypatch, texts) < 20 * len(texts)
+
+
+def test_surroundings_of_a_passage_are_not_split(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT_BYTES", 4000)
+    rnd = random.Random(6)
+    passage = _text(rnd, 400)
+    texts = [_text(rnd, 200) + passage + _text(rnd, 200) for _ in range(60)]
+    texts += [t[:300 + k] + "#" + t[301 + k:] for k, t in enumerate(texts[:20])]  # near copies
+    texts += [passage[:250] * 3 + _text(rnd, 30), passage[100:], "", passage]
+    assert _inner_rows(spark, monkeypatch, texts) < 30 * len(texts)
